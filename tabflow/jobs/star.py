@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.functions.codes import decode
-from tabflow.operators.quality import dedupe_by_key
+from tabflow.operators.quality import dedupe_by_key, distinct_rows
 from tabflow.operators.windows import top_n_per_group
 from tabflow.session import shared_path
 from tabflow.sources.files import read_layer, write_layer
@@ -39,10 +39,12 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_lines(df: DataFrame) -> DataFrame:
+    """Line items have no reliable natural key (two different lines can share
+    order, line number, part and supplier), so only fully identical rows are
+    removed: a key-based dedupe would drop real records."""
     kept = (df.filter(F.col("l_orderkey").isNotNull() & F.col("l_returnflag").isin("A", "N", "R"))
             .withColumn("flag_label", decode("l_returnflag", FLAG_LABELS, UNKNOWN)))
-    return dedupe_by_key(kept, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-                         [F.asc("l_shipdate")])
+    return distinct_rows(kept)
 
 
 def build_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators.windows import (daily_series, moving_average, range_window_sum, share_of_total,
                                        top_n_per_group, with_next, with_previous, with_ranks)
+from tabflow.operators.ranking import ranks_skew_safe, ranks_within_groups
 from tabflow.queries.registry import query, tbl
 
 # total order for lineitem rows (l_orderkey, l_linenumber alone is not unique)
@@ -24,16 +25,33 @@ def win_top3(spark, sf):
     return top_n_per_group(li, ["l_suppkey"], [F.desc("l_extendedprice"), *LINE_TIES], 3)
 
 
-@query("win_ranks", "W2", sql="""
+_RANKS_SQL = """
 SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_quantity,
        row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey) AS row_number,
        rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC) AS rank,
        dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC) AS dense_rank
 FROM lineitem
-""")
+"""
+
+
+@query("win_ranks", "W2", sql=_RANKS_SQL)
 def win_ranks(spark, sf):
     """row_number vs rank vs dense_rank on tied quantities."""
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return ranks_within_groups(li, ["l_suppkey"], "l_quantity", True, [F.asc(c) for c in LINE_TIES])
+
+
+@query("win_ranks_skew_safe", "W2 D13", sql=_RANKS_SQL)
+def win_ranks_skew_safe(spark, sf):
+    """The range-partitioned rank path forced on (what a hot group gets)."""
+    li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return ranks_skew_safe(li, ["l_suppkey"], "l_quantity", True, [F.asc(c) for c in LINE_TIES])
+
+
+@query("win_ranks_window", "W2", sql=_RANKS_SQL)
+def win_ranks_window(spark, sf):
+    """Same ranks with plain window functions (one task per group)."""
+    li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     return with_ranks(li, ["l_suppkey"], [F.desc("l_quantity")], [F.asc(c) for c in LINE_TIES])
 
 

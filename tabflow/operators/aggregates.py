@@ -10,6 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def decimal_sum(col, scale: int = 2) -> Column:
+    """Sum of a column holding values with at most ``scale`` decimals (money,
+    rates), rounded back to ``scale``: the float error of the sum is far below
+    half a unit of the last decimal, so the result is the exact decimal sum,
+    whatever order the partial sums were added in."""
+    return F.round(F.sum(col), scale)
+
+
+def decimal_mean(col, scale: int = 2) -> Column:
+    """Mean from the exact ``decimal_sum``: order-independent to the last bit."""
+    c = F.col(col) if isinstance(col, str) else col
+    return decimal_sum(c, scale) / F.count(c)
+
+
 def group_stats(df: DataFrame, keys: Sequence[str | Column], aggs: Sequence[Column],
                 having: Column | None = None) -> DataFrame:
     """``GROUP BY keys`` with ``aggs`` and an optional post-aggregation filter."""

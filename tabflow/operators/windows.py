@@ -65,11 +65,15 @@ def with_next(series: DataFrame, order_col: str, value_col: str, keys: Sequence[
 
 
 def moving_average(series: DataFrame, order_col: str, value_col: str, rows: int = 7,
-                   keys: Sequence[str] = (), out: str | None = None) -> DataFrame:
-    """Average over the current row and the ``rows - 1`` preceding rows."""
+                   keys: Sequence[str] = (), out: str | None = None, scale: int | None = None) -> DataFrame:
+    """Average over the current row and the ``rows - 1`` preceding rows.
+    With ``scale`` (values have at most that many decimals) the frame sum is
+    rounded back to the exact decimal sum before dividing."""
     base = Window.partitionBy(*keys).orderBy(order_col) if keys else Window.orderBy(order_col)
     w = base.rowsBetween(-(rows - 1), Window.currentRow)
-    return series.withColumn(out or f"ma{rows}_{value_col}", F.avg(value_col).over(w))
+    mean = (F.avg(value_col).over(w) if scale is None else
+            F.round(F.sum(value_col).over(w), scale) / F.count(value_col).over(w))
+    return series.withColumn(out or f"ma{rows}_{value_col}", mean)
 
 
 def range_window_sum(series: DataFrame, date_col: str, value_col: str, days: int = 7,
@@ -85,15 +89,18 @@ def range_window_sum(series: DataFrame, date_col: str, value_col: str, days: int
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value_col: str,
-                   total_col: str = "group_total", share_col: str = "share_pct") -> DataFrame:
+                   total_col: str = "group_total", share_col: str = "share_pct",
+                   scale: int | None = None) -> DataFrame:
     """Each row's percent of its group total.
 
     Totals come from a partial-aggregated ``groupBy`` joined back on the keys,
     not from an unordered window: a window would pull every row of a group
     into one task, while the join of group totals is small (one row per
-    group) and AQE splits a skewed key on the fact side.
+    group) and AQE splits a skewed key on the fact side. ``scale``: the value
+    has at most that many decimals; the total is then the exact decimal sum.
     """
-    totals = df.groupBy(*keys).agg(F.sum(value_col).alias(total_col))
+    total = F.sum(value_col) if scale is None else F.round(F.sum(value_col), scale)
+    totals = df.groupBy(*keys).agg(total.alias(total_col))
     return (df.join(totals, on=list(keys), how="inner")
             .withColumn(share_col, F.when(F.col(total_col) != 0,
                                           F.lit(100.0) * F.col(value_col) / F.col(total_col))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.jobs import star
+from tabflow.operators.aggregates import decimal_mean
 from tabflow.operators.quality import distinct_rows, drop_nulls, within_bounds
 from tabflow.operators.upsert import upsert_layer
 from tabflow.queries.registry import query, tbl
@@ -60,7 +61,7 @@ WITH clean AS (
   SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
   WHERE o_orderkey IS NOT NULL AND o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
     AND o_totalprice >= 1000 AND o_totalprice <= 500000)
-SELECT o_orderpriority, count(*) AS n_orders, avg(o_totalprice) AS avg_price,
+SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) / count(o_totalprice) AS avg_price,
        quantile_disc(o_totalprice, 0.5) AS median_price, round(sum(o_totalprice), 2) AS total_price
 FROM clean GROUP BY o_orderpriority
 """)
@@ -79,7 +80,7 @@ def ingest_summary(spark, sf):
     write_layer(clean, silver, partition_by=["o_orderpriority"])
     back = read_layer(spark, silver, clean.schema)
     return back.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.avg("o_totalprice").alias("avg_price"),
+        F.count(F.lit(1)).alias("n_orders"), decimal_mean("o_totalprice").alias("avg_price"),
         F.percentile_approx("o_totalprice", 0.5, 1_000_000).alias("median_price"),
         F.round(F.sum("o_totalprice"), 2).alias("total_price"))
 

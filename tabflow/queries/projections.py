@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabflow.functions.codes import decode, decode_many
 from tabflow.functions.columns import (band, days_between, half_open, miles_to_km, minutes_between,
                                       safe_ratio)
+from tabflow.operators.aggregates import decimal_mean
 from tabflow.queries.registry import query, tbl
 
 # Stand-in code tables for the star schema (order status, part type groups).
@@ -152,13 +153,13 @@ def decode_status(spark, sf):
 @query("decode_many_to_one", "B13", sql="""
 SELECT CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'budget' WHEN p_type IN ('PROMO') THEN 'promo'
             WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'bulk' ELSE 'other' END AS part_group,
-       count(*) AS n_parts, avg(p_retailprice) AS avg_price
+       count(*) AS n_parts, round(sum(p_retailprice), 2) / count(p_retailprice) AS avg_price
 FROM part GROUP BY 1
 """)
 def decode_many_to_one(spark, sf):
     p = tbl(spark, sf, "part")
     return (p.groupBy(decode_many("p_type", PART_GROUPS, PART_GROUP_DEFAULT).alias("part_group"))
-            .agg(F.count(F.lit(1)).alias("n_parts"), F.avg("p_retailprice").alias("avg_price")))
+            .agg(F.count(F.lit(1)).alias("n_parts"), decimal_mean("p_retailprice").alias("avg_price")))
 
 
 @query("band_with_null", "B14", sql="""

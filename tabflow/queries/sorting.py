@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabflow.operators.aggregates import group_stats, top_k
+from tabflow.operators.aggregates import decimal_mean, decimal_sum, group_stats, top_k
 from tabflow.operators.relational import lookup_join
 from tabflow.operators.sampling import hash_split, sample_seeded
 from tabflow.queries.registry import query, tbl
@@ -12,8 +12,8 @@ from tabflow.queries.registry import query, tbl
 FLAGSHIP_SQL = """
 SELECT a.l_suppkey, s.s_name, n.n_name, a.n_lines, a.revenue, a.net_revenue, a.avg_discount, a.avg_quantity
 FROM (SELECT l_suppkey, count(*) AS n_lines, round(sum(l_extendedprice), 2) AS revenue,
-             sum(l_extendedprice * (1 - l_discount)) AS net_revenue,
-             avg(l_discount) AS avg_discount, avg(l_quantity) AS avg_quantity
+             round(sum(l_extendedprice * (1 - l_discount)), 4) AS net_revenue,
+             round(sum(l_discount), 2) / count(l_discount) AS avg_discount, avg(l_quantity) AS avg_quantity
       FROM lineitem
       WHERE l_quantity > 0 AND l_extendedprice > 0 AND l_discount >= 0 AND l_discount <= 1
       GROUP BY l_suppkey) a
@@ -34,8 +34,8 @@ def supplier_revenue_report(spark, sf, k: int = 10):
     stats = group_stats(li, ["l_suppkey"], [
         F.count(F.lit(1)).alias("n_lines"),
         F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
-        F.sum(c("l_extendedprice") * (1 - c("l_discount"))).alias("net_revenue"),
-        F.avg("l_discount").alias("avg_discount"), F.avg("l_quantity").alias("avg_quantity")])
+        decimal_sum(c("l_extendedprice") * (1 - c("l_discount")), 4).alias("net_revenue"),
+        decimal_mean("l_discount").alias("avg_discount"), F.avg("l_quantity").alias("avg_quantity")])
     top = top_k(stats, [F.desc("revenue"), F.asc("l_suppkey")], k)
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = tbl(spark, sf, "nation").select("n_nationkey", "n_name")

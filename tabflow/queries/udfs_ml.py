@@ -28,15 +28,17 @@ def udf_three_ways(spark, sf):
 
 
 @query("ml_linreg_coeffs", "M1 M2", sql="""
-SELECT 'intercept' AS term, regr_intercept(l_extendedprice, l_quantity) AS value FROM lineitem
+SELECT 'intercept' AS term, round(regr_intercept(l_extendedprice, l_quantity), 6) AS value FROM lineitem
 UNION ALL
-SELECT 'l_quantity', regr_slope(l_extendedprice, l_quantity) FROM lineitem
+SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 6) FROM lineitem
 """)
 def ml_linreg_coeffs(spark, sf):
-    """OLS fit by the ML Pipeline; the coefficients become a 2-row table."""
+    """OLS fit by the ML Pipeline; the coefficients (shown to 6 decimals)
+    become a 2-row table."""
     li = tbl(spark, sf, "lineitem")
     model = fit_linear(li, ["l_quantity"], "l_extendedprice")
-    return spark.createDataFrame(coefficients(model, ["l_quantity"]), "term string, value double")
+    coef = spark.createDataFrame(coefficients(model, ["l_quantity"]), "term string, value double")
+    return coef.withColumn("value", F.round("value", 6))
 
 
 @query("ml_linreg_metrics", "M3 S6")

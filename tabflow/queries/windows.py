@@ -88,11 +88,12 @@ def win_lead(spark, sf):
 
 @query("win_moving_avg", "W5", sql=_DAILY_SQL + """
 SELECT day, n_events, revenue,
-       avg(revenue) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7_revenue
+       round(sum(revenue) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2)
+         / count(revenue) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7_revenue
 FROM d
 """)
 def win_moving_avg(spark, sf):
-    return moving_average(_daily(spark, sf), "day", "revenue", rows=7)
+    return moving_average(_daily(spark, sf), "day", "revenue", rows=7, scale=2)
 
 
 @query("win_share_of_total", "W6", sql="""
@@ -100,7 +101,7 @@ WITH ranked AS (
   SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
          row_number() OVER (PARTITION BY l_suppkey
                             ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) AS rank,
-         sum(l_extendedprice) OVER (PARTITION BY l_suppkey) AS group_total
+         round(sum(l_extendedprice) OVER (PARTITION BY l_suppkey), 2) AS group_total
   FROM lineitem)
 SELECT r.l_suppkey, r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_extendedprice, r.rank,
        r.group_total, 100.0 * r.l_extendedprice / r.group_total AS share_pct, s.s_name
@@ -112,7 +113,7 @@ def win_share_of_total(spark, sf):
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
                                            "l_extendedprice")
     top = top_n_per_group(li, ["l_suppkey"], [F.desc("l_extendedprice"), *LINE_TIES], 3)
-    totals = li.groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("group_total"))
+    totals = li.groupBy("l_suppkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("group_total"))
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_name")
     return (top.join(totals, on="l_suppkey", how="inner")
             .withColumn("share_pct", F.lit(100.0) * F.col("l_extendedprice") / F.col("group_total"))
@@ -121,15 +122,15 @@ def win_share_of_total(spark, sf):
 
 @query("win_share_rows", "W6", sql="""
 SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice,
-       sum(l_extendedprice) OVER (PARTITION BY l_suppkey) AS group_total,
-       100.0 * l_extendedprice / sum(l_extendedprice) OVER (PARTITION BY l_suppkey) AS share_pct
+       round(sum(l_extendedprice) OVER (PARTITION BY l_suppkey), 2) AS group_total,
+       100.0 * l_extendedprice / round(sum(l_extendedprice) OVER (PARTITION BY l_suppkey), 2) AS share_pct
 FROM lineitem
 """)
 def win_share_rows(spark, sf):
     """Every row's share of its group total (group totals joined back)."""
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
                                            "l_extendedprice")
-    return share_of_total(li, ["l_suppkey"], "l_extendedprice")
+    return share_of_total(li, ["l_suppkey"], "l_extendedprice", scale=2)
 
 
 @query("win_top5_per_month", "W7", sql="""

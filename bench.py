@@ -75,6 +75,17 @@ def main():
         run(od.join(cu, od.o_custkey == cu.c_custkey).groupBy("c_nationkey")
             .agg(F.countDistinct("o_orderkey").alias("n_orders")))
     results["distinct_per_nation"] = timed(distinct_per_nation)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    results["distinct_per_nation_aqe_off"] = timed(distinct_per_nation)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    def plain_agg():
+        li = table(spark, SF_DIR, "lineitem")
+        run(li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"),
+                                           F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
+                                           F.min("l_extendedprice").alias("min_price"),
+                                           F.max("l_extendedprice").alias("max_price")))
+    results["skew_plain_agg"] = timed(plain_agg)
 
     for name in ("topk_revenue", "join_broadcast", "join_sortmerge", "skew_salted_agg",
                  "agg_zone_stats", "win_top3", "win_lag_pct", "word_count", "dq_dedupe_key",

@@ -28,8 +28,11 @@ def _row_width(df: DataFrame) -> int:
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The count runs on a zero-column projection (Parquet then reads row counts,
+    not column data) and each task stops after ``max_rows + 1`` rows."""
+    return df.select(F.lit(1).alias("__one")).limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

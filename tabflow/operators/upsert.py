@@ -42,4 +42,23 @@ def upsert_layer(spark: SparkSession, path: str, changes: DataFrame, keys: Seque
     stage = shared_path(spark, "upsert-stage")
     write_layer(merged, stage, partition_by=partition_by)
     staged = read_layer(spark, stage, base.schema)
+    # partitions whose rows all moved elsewhere: dynamic overwrite would leave
+    # their old files, so they are removed explicitly (one row per partition)
+    emptied = (touched.join(staged.select(*partition_by).distinct(), on=list(partition_by), how="left_anti")
+               .collect())  # before the overwrite: it reads the current layer
     write_layer(staged, path, partition_by=partition_by, dynamic_overwrite=True)
+    for row in emptied:
+        _delete_partition(spark, path, [(c, row[c]) for c in partition_by])
+
+
+def _delete_partition(spark: SparkSession, path: str, values) -> None:
+    """Remove one partition folder ``path/c1=v1/c2=v2`` through the Hadoop
+    file system of the layer (works for any storage Spark can write)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = path.rstrip("/") + "".join(
+        f"/{c}={utils.DEFAULT_PARTITION_NAME() if v is None else utils.escapePathName(str(v))}"
+        for c, v in values)
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(conf).delete(target, True)

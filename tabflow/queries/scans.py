@@ -133,3 +133,20 @@ def sql_show_views(spark, sf):
 def format_report_q(spark, sf):
     """Bytes on disk, files and rows read back for each format x codec."""
     return format_report(tbl(spark, sf, "orders"), shared_path(spark, "formats"))
+
+
+@query("json_scalar_access", "A8 2.8", sql="""
+SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_struct,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_variant
+FROM events
+""")
+def json_scalar_access(spark, sf):
+    """Three ways to read one JSON field: path extraction (string), a
+    declared struct, and the VARIANT type (``parse_json`` + ``variant_get``)."""
+    ev = tbl(spark, sf, "events").select("event_id", "props")
+    return ev.select(
+        "event_id",
+        F.get_json_object("props", "$.k").alias("k_text"),
+        F.from_json("props", PROPS)["k"].alias("k_struct"),
+        F.variant_get(F.parse_json("props"), "$.k", "bigint").alias("k_variant"))

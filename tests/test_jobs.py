@@ -65,3 +65,13 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     out = sorted(tuple(r) for r in read_layer(spark, path, base.schema).select("k", "part", "v").collect())
     assert out == [(1, "a", 10.0), (2, "b", 22.0), (3, "b", 30.0), (4, "c", 40.0), (5, "a", 50.0)]
     assert sorted(p.name for p in (tmp_path / "layer" / "part=c").iterdir()) == c_files
+
+
+def test_upsert_removes_partition_left_empty(spark, tmp_path):
+    base = spark.createDataFrame([(1, "a", 1.0), (2, "b/x", 2.0)], "k int, part string, v double")
+    path = str(tmp_path / "layer2")
+    write_layer(base, path, partition_by=["part"])
+    changes = spark.createDataFrame([(2, "a", 3.0, 1)], "k int, part string, v double, seq int")
+    upsert_layer(spark, path, changes, ["k"], [F.desc("seq")], ["part"], schema=base.schema)
+    out = sorted(tuple(r) for r in read_layer(spark, path, base.schema).select("k", "part", "v").collect())
+    assert out == [(1, "a", 1.0), (2, "a", 3.0)]

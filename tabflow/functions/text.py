@@ -10,9 +10,13 @@ WHITESPACE = r"\s+"
 
 def words(df: DataFrame, text_col: str, pattern: str = WHITESPACE, lower: bool = True,
           out: str = "word") -> DataFrame:
-    """One row per token of ``text_col`` (empty tokens dropped)."""
+    """One row per token of ``text_col`` (empty tokens dropped). Tokenising is
+    the costly step, so a text column that arrives in fewer splits than task
+    slots is spread first (``spread``)."""
+    from tabflow.sources.tables import spread
+
     text = F.lower(F.col(text_col)) if lower else F.col(text_col)
-    return (df.select(F.explode(F.split(text, pattern)).alias(out))
+    return (spread(df.select(text_col)).select(F.explode(F.split(text, pattern)).alias(out))
             .filter(F.col(out) != ""))
 
 

@@ -30,3 +30,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
     return list(names)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster only when its scan yields fewer
+    partitions than there are task slots (one unsplittable file, one row
+    group, a gzip file). A large input already has many more splits than
+    slots and is returned unchanged, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

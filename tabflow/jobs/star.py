@@ -7,6 +7,8 @@ partitioned by order year), which cuts the lineage; gold re-reads silver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tabflow.functions.codes import decode
 from tabflow.operators.quality import dedupe_by_key, distinct_rows
 from tabflow.operators.windows import top_n_per_group
 from tabflow.session import shared_path
-from tabflow.sources.files import read_layer, write_layer
+from tabflow.sources.files import read_layer, write_bucketed, write_layer
 from tabflow.sources.tables import table
 
 # Stand-in code tables (fixed): order status and return flag labels.
@@ -47,19 +49,27 @@ def clean_lines(df: DataFrame) -> DataFrame:
     return distinct_rows(kept)
 
 
-def build_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
+def build_silver(spark: SparkSession, sf_dir: str, root: str | None = None,
+                 buckets: int | None = None) -> dict[str, DataFrame]:
+    """Clean and write the silver layer; return it read back from storage.
+
+    Orders and line items are bucketed on the order key with the same bucket
+    count, so the gold joins between them read co-partitioned files and need
+    no shuffle; customers are a plain layer (a lookup of the orders).
+    """
     root = root or shared_path(spark, "silver")
-    clean = {
-        "orders": clean_orders(table(spark, sf_dir, "orders")),
-        "customer": clean_customers(table(spark, sf_dir, "customer")),
-        "lineitem": clean_lines(table(spark, sf_dir, "lineitem")),
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:8]
+    orders = clean_orders(table(spark, sf_dir, "orders"))
+    lines = clean_lines(table(spark, sf_dir, "lineitem"))
+    customers = clean_customers(table(spark, sf_dir, "customer"))
+    write_layer(customers, f"{root}/customer")
+    return {
+        "orders": write_bucketed(orders, f"silver_orders_{tag}", f"{root}/orders", "o_orderkey", n,
+                                 partition_by=["order_year"]),
+        "lineitem": write_bucketed(lines, f"silver_lineitem_{tag}", f"{root}/lineitem", "l_orderkey", n),
+        "customer": read_layer(spark, f"{root}/customer", customers.schema),
     }
-    out = {}
-    for name, df in clean.items():
-        path = f"{root}/{name}"
-        write_layer(df, path, partition_by=["order_year"] if name == "orders" else ())
-        out[name] = read_layer(spark, path, df.schema)
-    return out
 
 
 def gold_by_nation(s: dict[str, DataFrame]) -> DataFrame:

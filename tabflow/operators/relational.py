@@ -78,8 +78,9 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str] | N
 
 
 def orphans(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Fact rows whose key has no match in ``lookup`` (left anti join)."""
-    keys = lookup.select(F.col(right_on).alias("__k")).distinct()
+    """Fact rows whose key has no match in ``lookup`` (left anti join; the
+    lookup keys need no de-duplication, so no extra shuffle)."""
+    keys = lookup.select(F.col(right_on).alias("__k"))
     return facts.join(keys, facts[left_on] == keys["__k"], "left_anti")
 
 

@@ -80,3 +80,30 @@ def test_sql_explain_formatted(spark, sf):
     register_views(spark, sf, ["lineitem"])
     text = explain_sql(spark, "SELECT l_orderkey FROM lineitem WHERE l_tax > 0.05")
     assert "PushedFilters" in text and "ReadSchema: struct<l_orderkey:bigint,l_tax:double>" in text
+
+
+def test_bucketed_silver_join_needs_no_shuffle(spark, sf):
+    from tabflow.jobs import star
+    silver = star.build_silver(spark, sf, buckets=4)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # the large-data case: no broadcast possible
+        df = star.gold_status_by_flag(silver)
+        assert join_strategies(df) == ["SortMergeJoin"]
+        assert count_exchanges(df) == 1  # only the final aggregation shuffles
+        assert df.agg(F.sum("n_lines")).first()[0] == table(spark, sf, "lineitem").count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_count_exchanges_ignores_broadcasts(spark, sf):
+    li = table(spark, sf, "lineitem")
+    pa = table(spark, sf, "part")
+    j = lookup_join(li, pa, left_on="l_partkey", right_on="p_partkey", how="inner", strategy="broadcast")
+    assert count_exchanges(j.groupBy("p_type").count()) == 1

@@ -93,7 +93,8 @@ def scalar_dates(spark, sf):
     ev = tbl(spark, sf, "events")
     return ev.select("event_id", F.hour("ts").alias("hour"), F.month("ts").alias("month"),
                      F.to_date("ts").alias("day"), F.dayofweek("ts").alias("weekday"),
-                     F.unix_timestamp(F.col("ts").cast("timestamp")).alias("unix_seconds"))
+                     F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                              F.col("ts")) / 1_000_000).cast("bigint").alias("unix_seconds"))
 
 
 @query("scalar_strings", "2.8", sql="""

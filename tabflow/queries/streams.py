@@ -12,7 +12,8 @@ from tabflow.operators.relational import broadcast_if_bounded
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
-from tabflow.streaming.files import event_time, file_stream, run_to_parquet, run_to_table, write_drops
+from tabflow.streaming.files import (event_time, file_stream, run_to_parquet, run_to_table, wall_clock,
+                                     write_drops)
 
 N_DROPS = 6
 EVENTS = DRIVER["events"]
@@ -121,8 +122,8 @@ def stream_tumbling_watermark(spark, sf):
          .withWatermark("event_ts", "1 hour")
          .groupBy(F.window("event_ts", "1 day"), "event_type")
          .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value"))
-         .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                 F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+         .select(wall_clock("window.start").alias("window_start"),
+                 wall_clock("window.end").alias("window_end"),
                  "event_type", "n_events", "total_value"))
     out = shared_path(spark, "stream-out")
     run_to_parquet(s, out, shared_path(spark, "ckpt"))

@@ -34,7 +34,7 @@ def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None
         for i in range(n_files):
             df.filter(bucket == i).repartition(files_per_drop).write.mode("append").parquet(folder)
         return
-    key = F.unix_micros(F.col(order_col).cast("timestamp")) if isinstance(
+    key = F.unix_micros(event_time(order_col)) if isinstance(
         df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order_col)
     bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     if bounds["lo"] is None:
@@ -87,6 +87,18 @@ def stream_job(spark: SparkSession, source: DataFrame, schema: T.StructType, n_f
     return transform(stream), shared_path(spark, "stream-ckpt")
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def event_time(col: str = "ts"):
-    """Streaming event time must be TIMESTAMP; Parquet gives TIMESTAMP_NTZ."""
-    return F.col(col).cast("timestamp")
+    """Streaming event time must be TIMESTAMP; Parquet gives TIMESTAMP_NTZ.
+    The wall-clock value is read as UTC whatever the session time zone, so
+    window boundaries fall on UTC midnights and results do not depend on it."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), F.col(col))
+    return F.timestamp_micros(micros)
+
+
+def wall_clock(col):
+    """Inverse of ``event_time``: TIMESTAMP instant -> UTC wall clock (NTZ)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))

@@ -125,3 +125,11 @@ def orphan_keys(spark, sf):
     parts = tbl(spark, sf, "part").filter(F.col("p_size") <= 40)
     return (orphans(li, parts, "l_partkey", "p_partkey")
             .groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_lines")))
+
+
+@query("profile_summary", "Q7")
+def profile_summary(spark, sf):
+    """``summary()`` with quartiles (string-typed, as Spark returns it); the
+    typed profile is ``profile_numeric``."""
+    li = tbl(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return li.summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")

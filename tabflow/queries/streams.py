@@ -128,3 +128,23 @@ def stream_tumbling_watermark(spark, sf):
     out = shared_path(spark, "stream-out")
     run_to_parquet(s, out, shared_path(spark, "ckpt"))
     return spark.read.schema(s.schema).parquet(out)
+
+
+@query("stream_progress", "T2 T3")
+def stream_progress(spark, sf):
+    """Rows read per micro-batch and the running total after each one, from
+    the progress reports of a complete-mode aggregate over the drop files:
+    the totals grow batch by batch and end at the table's row count."""
+    from pyspark.sql import Window
+
+    folder = _feed(spark, sf)
+    agg = (file_stream(spark, folder, EVENTS).groupBy("event_type")
+           .agg(F.count(F.lit(1)).alias("n_events")))
+    name = _table_name("progress")
+    q = (agg.writeStream.format("memory").queryName(name).outputMode("complete")
+         .option("checkpointLocation", shared_path(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [(int(p["batchId"]), int(p["numInputRows"])) for p in q.recentProgress if p["numInputRows"] > 0]
+    per_batch = spark.createDataFrame(batches, "batch_id long, rows_in_batch long")
+    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_batch.withColumn("running_rows", F.sum("rows_in_batch").over(w))

@@ -73,3 +73,11 @@ def test_append_filter_stream(spark, sf):
     batches = run_to_parquet(s, out, shared_path(spark, "t-ckpt"))
     assert batches >= 3
     assert _rows(spark.read.parquet(out)) == _rows(ev.filter(F.col("value") > 50).select("event_id"))
+
+
+def test_stream_totals_grow_each_batch(spark, sf):
+    import __spark_entry__ as entry
+    rows = entry.queries()["stream_progress"](spark, sf).orderBy("batch_id").collect()
+    assert len(rows) == 6
+    running = [r.running_rows for r in rows]
+    assert running == sorted(running) and running[-1] == table(spark, sf, "events").count()

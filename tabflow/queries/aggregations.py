@@ -158,13 +158,22 @@ SELECT CAST(dayofweek(o.o_orderdate) + 1 AS INTEGER) AS weekday,
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1
 """)
 def weekday_mean(spark, sf):
-    """Mean order-to-ship delay by weekday of the order (1 = Sunday)."""
+    """Mean order-to-ship delay by weekday of the order (1 = Sunday).
+
+    Line items are pre-aggregated per order before the join (count and the
+    sum of ship times in epoch seconds, exact integers), so the join sees one
+    row per order: sum(ship - ordered) = sum(ship) - n * ordered."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     od = tbl(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
-    j = od.join(li, od.o_orderkey == li.l_orderkey, "inner")
+    per_order = (tbl(spark, sf, "lineitem")
+                 .groupBy("l_orderkey")
+                 .agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.timestamp_diff("SECOND", epoch, F.col("l_shipdate"))).alias("ship_s")))
+    j = od.join(per_order, od.o_orderkey == per_order.l_orderkey, "inner")
+    delay = F.col("ship_s") - F.col("n") * F.timestamp_diff("SECOND", epoch, F.col("o_orderdate"))
     return j.groupBy(F.dayofweek("o_orderdate").alias("weekday")).agg(
-        (F.avg(F.timestamp_diff("SECOND", "o_orderdate", "l_shipdate")) / 86400.0).alias("mean_days_to_ship"),
-        F.count(F.lit(1)).alias("n_lines"))
+        (F.sum(delay) / F.sum("n") / 86400.0).alias("mean_days_to_ship"),
+        F.sum("n").alias("n_lines"))
 
 
 @query("top_pairs", "G14", sql="""

@@ -193,10 +193,16 @@ FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 GROUP BY o.o_orderpriority
 """)
 def crosstab_pivot(spark, sf):
+    """Lines per (order priority x return flag). The line counts per flag are
+    pre-aggregated per order (map-side partial aggregation, output already
+    hash-partitioned on the order key), so the join sees one row per order
+    and only the orders side is shuffled for it."""
+    flags = ["A", "N", "R"]
     od = tbl(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
-    j = od.join(li, od.o_orderkey == li.l_orderkey, "inner")
-    return pivot_counts(j, ["o_orderpriority"], "l_returnflag", ["A", "N", "R"])
+    per_order = pivot_counts(tbl(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"),
+                             ["l_orderkey"], "l_returnflag", flags)
+    j = od.join(per_order, od.o_orderkey == per_order.l_orderkey, "inner")
+    return j.groupBy("o_orderpriority").agg(*[F.sum(f).cast("bigint").alias(f) for f in flags])
 
 
 @query("crosstab_pivot_api", "D12", sql="""

@@ -1,26 +1,44 @@
-"""Collaborative filtering with ALS (alternating least squares)."""
+"""Collaborative filtering with ALS (alternating least squares).
+
+Fitting is block-wise and shuffles user/item factor blocks; scoring uses
+``ALSModel.transform``, which joins given (user, item) pairs with the factor
+tables. Recommending from *all* items (``recommendForAllUsers``) scores every
+user x item pair through a cross join, so it is not used: candidates are
+always given pairs, ranked per user with a partial top-N.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.operators.windows import top_n_per_group
+
 
-def als_top_n(ratings: DataFrame, user: str, item: str, rating: str, n: int = 5,
-              rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 42,
-              implicit: bool = False) -> DataFrame:
-    """Top-``n`` recommended items per user: ``(user, item, score, rank)``.
+def _ids(df: DataFrame, user: str, item: str) -> DataFrame:
+    return df.withColumn("__u", F.col(user).cast("int")).withColumn("__i", F.col(item).cast("int"))
 
-    ALS ids must be int; ratings with null ids are dropped.
-    """
-    data = ratings.select(F.col(user).cast("int").alias("u"), F.col(item).cast("int").alias("i"),
-                          F.col(rating).cast("float").alias("r")).na.drop()
-    als = ALS(userCol="u", itemCol="i", ratingCol="r", rank=rank, maxIter=max_iter, regParam=reg,
+
+def als_fit(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 8, max_iter: int = 5,
+            reg: float = 0.1, seed: int = 42, implicit: bool = False) -> ALSModel:
+    """Fit ALS; ids must fit in int, rows with a null id or rating are dropped."""
+    data = (_ids(ratings, user, item).select("__u", "__i", F.col(rating).cast("float").alias("__r")).na.drop())
+    als = ALS(userCol="__u", itemCol="__i", ratingCol="__r", rank=rank, maxIter=max_iter, regParam=reg,
               seed=seed, implicitPrefs=implicit, coldStartStrategy="drop", nonnegative=True)
-    model = als.fit(data)
-    recs = model.recommendForAllUsers(n)
-    return (recs.select(F.col("u").alias(user), F.posexplode("recommendations").alias("pos", "rec"))
-            .select(user, F.col("rec.i").cast("bigint").alias(item),
-                    F.col("rec.rating").cast("double").alias("score"),
-                    (F.col("pos") + 1).cast("bigint").alias("rank")))
+    return als.fit(data)
+
+
+def score_pairs(model: ALSModel, pairs: DataFrame, user: str, item: str) -> DataFrame:
+    """Predicted score of each given (user, item) pair (unknown ids dropped)."""
+    scored = model.transform(_ids(pairs, user, item))
+    return scored.withColumnRenamed("prediction", "score").drop("__u", "__i")
+
+
+def top_n_scored(model: ALSModel, candidates: DataFrame, user: str, item: str, n: int = 5) -> DataFrame:
+    """Best ``n`` candidate items per user by predicted score:
+    ``(user, item, score, rank)``; ties broken by item id."""
+    scored = score_pairs(model, candidates.select(user, item), user, item)
+    top = top_n_per_group(scored.withColumn("score", F.col("score").cast("double")), [user],
+                          [F.desc("score"), F.asc(item)], n)
+    return top.select(user, F.col(item).cast("bigint").alias(item), "score", "rank")

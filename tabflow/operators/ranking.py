@@ -81,17 +81,12 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def ranks_within_groups(df: DataFrame, keys: Sequence[str], value: str, descending: bool,
                         tie_breakers: Sequence[Column], max_group_rows: int = 5_000_000) -> DataFrame:
-    """Ranks with the cheapest plan that is safe for the data at hand.
-
-    When every group is proven to hold at most ``max_group_rows`` rows (a size
-    one task sorts comfortably, spilling if needed), plain window functions
-    are used; otherwise the range-partitioned ``ranks_skew_safe`` path.
-    """
-    if largest_group(df, keys) <= max_group_rows:
-        v_order = F.col(value).desc() if descending else F.col(value).asc()
-        w_ties = Window.partitionBy(*keys).orderBy(v_order)
-        w_total = Window.partitionBy(*keys).orderBy(v_order, *tie_breakers)
-        return (df.withColumn("row_number", F.row_number().over(w_total).cast("bigint"))
-                .withColumn("rank", F.rank().over(w_ties).cast("bigint"))
-                .withColumn("dense_rank", F.dense_rank().over(w_ties).cast("bigint")))
-    return ranks_skew_safe(df, keys, value, descending, tie_breakers)
+    """Ranks with the cheapest plan that is safe for the data at hand: window
+    functions when every group is proven to hold at most ``max_group_rows``
+    rows (a size one task sorts comfortably, spilling if needed), otherwise
+    the range-partitioned ``ranks_skew_safe`` path."""
+    from tabflow.operators.windows import with_ranks
+
+    v_order = F.col(value).desc() if descending else F.col(value).asc()
+    return with_ranks(df, keys, [v_order], tie_breakers, max_group_rows=max_group_rows,
+                      value=value, descending=descending)

@@ -50,9 +50,11 @@ def win_ranks_skew_safe(spark, sf):
 
 @query("win_ranks_window", "W2", sql=_RANKS_SQL)
 def win_ranks_window(spark, sf):
-    """Same ranks with plain window functions (one task per group)."""
+    """Same ranks through ``with_ranks``: window functions once the largest
+    group is proven small, the range-partitioned path otherwise."""
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return with_ranks(li, ["l_suppkey"], [F.desc("l_quantity")], [F.asc(c) for c in LINE_TIES])
+    return with_ranks(li, ["l_suppkey"], [F.desc("l_quantity")], [F.asc(c) for c in LINE_TIES],
+                      value="l_quantity", descending=True)
 
 
 def _daily(spark, sf):

@@ -40,6 +40,11 @@ def test_skew_safe_ranks_equal_window_ranks_on_a_hot_group(spark):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, expect.select(*cols).collect()))
     adaptive = ranks_within_groups(rows, ["k"], "v", True, [F.asc("id")], max_group_rows=10)
     assert adaptive.select(*cols).exceptAll(expect.select(*cols)).count() == 0
+    guarded = with_ranks(rows, ["k"], [F.desc("v")], [F.asc("id")], max_group_rows=10, value="v",
+                         descending=True)
+    assert sorted(map(tuple, guarded.select(*cols).collect())) == sorted(map(tuple, expect.select(*cols).collect()))
+    with pytest.raises(ValueError):
+        with_ranks(rows, ["k"], [F.desc("v")], [F.asc("id")], max_group_rows=10)
 
 
 def test_lag_lead_first_and_last_null(spark):

@@ -20,12 +20,12 @@ EVENTS = DRIVER["events"]
 
 
 def _feed(spark, sf, predicate=None, folder=None, n=N_DROPS):
+    """Write the events as ``n`` time-ordered drops; returns (folder, files per drop)."""
     folder = folder or shared_path(spark, "events-drops")
     ev = tbl(spark, sf, "events")
     if predicate is not None:
         ev = ev.filter(predicate)
-    write_drops(ev, folder, n, order_col="ts")
-    return folder
+    return folder, write_drops(ev, folder, n, order_col="ts")
 
 
 def _table_name(prefix: str) -> str:
@@ -46,9 +46,9 @@ SELECT c.c_mktsegment, count(*) AS n_events, round(sum(e.value), 2) AS total_val
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey GROUP BY c.c_mktsegment
 """)
 def stream_static_join_agg(spark, sf):
-    folder = _feed(spark, sf)
+    folder, per_drop = _feed(spark, sf)
     customers, _ = broadcast_if_bounded(tbl(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
-    agg = segment_totals(file_stream(spark, folder, EVENTS), customers)
+    agg = segment_totals(file_stream(spark, folder, EVENTS, per_drop), customers)
     return run_to_table(agg, _table_name("seg_totals"), "complete", shared_path(spark, "ckpt"))
 
 
@@ -57,8 +57,8 @@ SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase' AN
 """)
 def stream_filter_append(spark, sf):
     """Stateless filter + projection in append mode into a Parquet sink."""
-    folder = _feed(spark, sf)
-    s = (file_stream(spark, folder, EVENTS)
+    folder, per_drop = _feed(spark, sf)
+    s = (file_stream(spark, folder, EVENTS, per_drop)
          .filter((F.col("event_type") == "purchase") & (F.col("value") > 10))
          .select("event_id", "ts", "user_id", "value"))
     out = shared_path(spark, "stream-out")
@@ -72,8 +72,8 @@ SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FRO
 def stream_update_counts(spark, sf):
     """Update mode emits only the groups changed by each micro-batch; the
     final state per group is its last emitted row (counts only grow)."""
-    folder = _feed(spark, sf)
-    s = (file_stream(spark, folder, EVENTS).groupBy("event_type")
+    folder, per_drop = _feed(spark, sf)
+    s = (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
          .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")))
     updates = run_to_table(s, _table_name("upd_counts"), "update", shared_path(spark, "ckpt"))
     latest = updates.groupBy("event_type").agg(
@@ -92,14 +92,14 @@ def stream_resume(spark, sf):
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     name = _table_name("resume")
 
-    def agg():
-        return (file_stream(spark, folder, EVENTS).groupBy("event_type")
+    def agg(per_drop):
+        return (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
                 .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")))
 
-    _feed(spark, sf, F.col("ts") < cut, folder, n=3)
-    run_to_table(agg(), name, "complete", ckpt)
-    _feed(spark, sf, ~(F.col("ts") < cut), folder, n=3)
-    return run_to_table(agg(), name, "complete", ckpt)
+    _, per_drop = _feed(spark, sf, F.col("ts") < cut, folder, n=3)
+    run_to_table(agg(per_drop), name, "complete", ckpt)
+    _, per_drop = _feed(spark, sf, ~(F.col("ts") < cut), folder, n=3)
+    return run_to_table(agg(per_drop), name, "complete", ckpt)
 
 
 WATERMARK_SQL = """
@@ -117,8 +117,8 @@ WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1
 def stream_tumbling_watermark(spark, sf):
     """1-day tumbling windows with a 1-hour watermark in append mode: a window
     is written once the watermark passes its end, late rows are dropped."""
-    folder = _feed(spark, sf)
-    s = (file_stream(spark, folder, EVENTS).withColumn("event_ts", event_time("ts"))
+    folder, per_drop = _feed(spark, sf)
+    s = (file_stream(spark, folder, EVENTS, per_drop).withColumn("event_ts", event_time("ts"))
          .withWatermark("event_ts", "1 hour")
          .groupBy(F.window("event_ts", "1 day"), "event_type")
          .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value"))
@@ -137,8 +137,8 @@ def stream_progress(spark, sf):
     the totals grow batch by batch and end at the table's row count."""
     from pyspark.sql import Window
 
-    folder = _feed(spark, sf)
-    agg = (file_stream(spark, folder, EVENTS).groupBy("event_type")
+    folder, per_drop = _feed(spark, sf)
+    agg = (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
            .agg(F.count(F.lit(1)).alias("n_events")))
     name = _table_name("progress")
     q = (agg.writeStream.format("memory").queryName(name).outputMode("complete")

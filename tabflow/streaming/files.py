@@ -19,34 +19,44 @@ from tabflow.session import shared_path
 
 
 def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None = None,
-                files_per_drop: int = 1) -> None:
-    """Append ``df`` to ``folder`` as ``n_files`` drops, one write job each.
+                rows_per_file: int = 4_000_000) -> int:
+    """Append ``df`` to ``folder`` as ``n_files`` drops, one write job each,
+    and return the number of files per drop (read each drop as one
+    micro-batch with ``maxFilesPerTrigger`` set to it).
 
     With ``order_col`` the drops are consecutive, equal-width slices of its
     range, written in order: the file source picks files by modification
-    time, so event time then advances drop by drop and no row is late by
-    construction. (One job writing all slices would give every file the same
-    time and an arbitrary processing order.) Without ``order_col`` rows are
-    spread round-robin over the drops by a hash of all columns.
+    time, so event time advances drop by drop and no row is late by
+    construction (one job writing all slices would give every file the same
+    time and an arbitrary order). A drop is range-split on ``order_col`` into
+    enough files of about ``rows_per_file`` rows that no task writes more;
+    small inputs give one file per drop. Without ``order_col`` rows are
+    spread over the drops by a hash of all columns.
     """
-    if order_col is None:
+    key = None
+    if order_col is not None:
+        key = F.unix_micros(event_time(order_col)) if isinstance(
+            df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order_col)
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   *([F.min(key).alias("lo"), F.max(key).alias("hi")] if key is not None else [])).first()
+    per_drop = max(1, -(-int(stats["n"]) // (n_files * rows_per_file)))
+    if stats["n"] == 0:
+        return per_drop
+    if key is None:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n_files))
         for i in range(n_files):
-            df.filter(bucket == i).repartition(files_per_drop).write.mode("append").parquet(folder)
-        return
-    key = F.unix_micros(event_time(order_col)) if isinstance(
-        df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order_col)
-    bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if bounds["lo"] is None:
-        return
-    lo, hi = bounds["lo"], bounds["hi"]
+            df.filter(bucket == i).repartition(per_drop).write.mode("append").parquet(folder)
+        return per_drop
+    lo, hi = stats["lo"], stats["hi"]
     width = (hi - lo) / n_files or 1
     for i in range(n_files):
-        start = lo + i * width
-        cond = key >= F.lit(start) if i else F.lit(True)
+        cond = key >= F.lit(lo + i * width) if i else F.lit(True)
         if i < n_files - 1:
             cond = cond & (key < F.lit(lo + (i + 1) * width))
-        df.filter(cond).repartition(files_per_drop).write.mode("append").parquet(folder)
+        part = df.filter(cond)
+        part = part.repartitionByRange(per_drop, order_col) if per_drop > 1 else part.repartition(1)
+        part.write.mode("append").parquet(folder)
+    return per_drop
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, max_files: int = 1,

@@ -8,13 +8,13 @@ once (lineage cut) and gold reads it back with declared schemas.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions import codes
 from tabflow.functions.columns import band
-from tabflow.operators.quality import dedupe_by_key
+from tabflow.operators.quality import dedupe_by_key, observe_counts
 from tabflow.operators.windows import top_n_per_group
 from tabflow.schemas import ACCIDENT_TABLES
 from tabflow.sources.files import read_delimited, read_layer, write_layer, write_report
@@ -76,6 +76,18 @@ def write_silver(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     return paths
 
 
+def clean_all(raw: dict[str, DataFrame], year: int) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """Clean the four tables with row counters on the raw input and on the
+    cleaned output; the counters fill during the silver write (one pass)."""
+    cleaners = {"caracteristiques": lambda d: clean_accidents(d, year), "lieux": clean_places,
+                "usagers": lambda d: clean_users(d, year), "vehicules": clean_vehicles}
+    clean, obs = {}, {}
+    for name, fn in cleaners.items():
+        raw_df, obs[f"{name}_raw"] = observe_counts(raw[name], f"{name}_raw")
+        clean[name], obs[f"{name}_clean"] = observe_counts(fn(raw_df), f"{name}_clean")
+    return clean, obs
+
+
 def read_silver(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
     return {n: read_layer(spark, p, schemas[n]) for n, p in paths.items()}
 
@@ -95,16 +107,17 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def run(spark: SparkSession, bronze_paths: dict[str, str], silver_root: str, gold_root: str,
-        year: int) -> dict[str, str]:
-    """Whole job; returns the gold report paths (one CSV file each)."""
+        year: int) -> tuple[dict[str, str], dict[str, int]]:
+    """Whole job; returns the gold report paths (one CSV file each) and the
+    row counts per table before and after cleaning (gathered by the silver
+    write itself, no re-scan)."""
     raw = read_bronze(spark, bronze_paths)
-    clean = {"caracteristiques": clean_accidents(raw["caracteristiques"], year),
-             "lieux": clean_places(raw["lieux"]), "usagers": clean_users(raw["usagers"], year),
-             "vehicules": clean_vehicles(raw["vehicules"])}
+    clean, obs = clean_all(raw, year)
     schemas = {n: df.schema for n, df in clean.items()}
     silver = read_silver(spark, write_silver(clean, silver_root), schemas)
+    counts = {name: int(o.get["rows"]) for name, o in obs.items()}
     out = {}
     for name, df in gold_tables(silver).items():
         out[name] = f"{gold_root.rstrip('/')}/{name}"
         write_report(df, out[name])
-    return out
+    return out, counts

@@ -36,7 +36,10 @@ def test_accident_medallion_job(spark, tmp_path):
         p = tmp_path / f"{name}.csv"
         p.write_text(head + "\n" + "\n".join(ROWS[name]) + "\n", encoding="utf-8")
         paths[name] = str(p)
-    out = accidents.run(spark, paths, str(tmp_path / "silver"), str(tmp_path / "gold"), 2023)
+    out, counts = accidents.run(spark, paths, str(tmp_path / "silver"), str(tmp_path / "gold"), 2023)
+    assert counts["caracteristiques_raw"] == 6 and counts["caracteristiques_clean"] == 3
+    assert counts["usagers_raw"] == 6 and counts["usagers_clean"] == 4
+    assert counts["lieux_raw"] == 4 and counts["lieux_clean"] == 3
     gold = {n: spark.read.option("header", True).csv(p) for n, p in out.items()}
     by_dep = {r.dep: int(r.nombre_accidents) for r in gold["accidents_par_departement"].collect()}
     assert by_dep == {"01": 1, "2A": 1, "75": 1}

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabflow.operators.quality import dedupe_by_key
 from tabflow.session import shared_path

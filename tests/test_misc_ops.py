@@ -43,3 +43,20 @@ def test_chosen_storage_level(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey")
     with cached(df, StorageLevel.DISK_ONLY) as c:
         assert c.storageLevel.useDisk and not c.storageLevel.useMemory
+
+
+def test_cut_lineage_uses_reliable_checkpoint(spark, sf):
+    from tabflow.plans.explain import explain_text
+    from tabflow.session import checkpoint_root, cut_lineage
+    df = table(spark, sf, "orders").groupBy("o_orderstatus").count()
+    cut = cut_lineage(df)
+    assert checkpoint_root(spark)  # reliable checkpoint folder is set
+    text = explain_text(cut)
+    assert "Scan parquet" not in text and "HashAggregate" not in text  # lineage truncated
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_shared_path_is_below_checkpoint_root(spark):
+    from tabflow.session import checkpoint_root, shared_path
+    a, b = shared_path(spark, "x"), shared_path(spark, "x")
+    assert a != b and a.startswith(checkpoint_root(spark).rstrip("/"))

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 
 def test_every_survey_row_is_implemented_and_checked():
-    import coverage as cov
+    import survey_coverage as cov
     from tabflow.queries.registry import REGISTRY, all_queries
 
     all_queries()

@@ -1,7 +1,7 @@
 """Write COVERAGE.md: every SURVEY §2 operator ID -> implementation, registered
 queries (from the registry's survey tags) and tests.
 
-usage: python tools/coverage.py > COVERAGE.md
+usage: python tools/survey_coverage.py > COVERAGE.md
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def main():
     sec = survey[survey.index("## 2. Operator inventory"):survey.index("## 3. Query lifecycle")]
     rows = re.findall(r"^\| ([A-Z]\d+) \| (\w/?\w?) \| ([^|]+)\|", sec, re.M)
     print("# COVERAGE — SURVEY §2 operator inventory, row by row\n")
-    print("Generated by `tools/coverage.py`. Queries marked rows-only have no SQL oracle; all others are "
+    print("Generated by `tools/survey_coverage.py`. Queries marked rows-only have no SQL oracle; all others are "
           "checked value-by-value against DuckDB (`tools/check_oracle.py`, `tests/test_oracle.py`).\n")
     print("| ID | tag | operator | implementation | registered queries | tests |")
     print("|---|---|---|---|---|---|")

@@ -163,7 +163,7 @@ def sql_agg_join(spark, sf):
 
 @query("rollup_region_revenue", "D10", sql="""
 WITH per_supp AS (SELECT l_suppkey, count(*) AS n, sum(l_extendedprice) AS rev FROM lineitem GROUP BY l_suppkey)
-SELECT r.r_name, count(*) AS n_suppliers, sum(p.n) AS n_lines, round(sum(p.rev), 2) AS revenue
+SELECT r.r_name, count(*) AS n_suppliers, CAST(sum(p.n) AS BIGINT) AS n_lines, round(sum(p.rev), 2) AS revenue
 FROM per_supp p JOIN supplier s ON p.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY r.r_name

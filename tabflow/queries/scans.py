@@ -58,7 +58,7 @@ PROPS = T.StructType([T.StructField("k", T.LongType(), True)])
 
 @query("json_props_agg", "A8", sql="""
 SELECT event_type, count(*) AS n_events,
-       sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+       CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS max_k,
        count(json_extract_string(props, '$.k')) AS n_with_k
 FROM events GROUP BY event_type

@@ -64,14 +64,31 @@ def build_silver(spark: SparkSession, sf_dir: str, root: str | None = None,
     lines = clean_lines(table(spark, sf_dir, "lineitem"))
     customers = clean_customers(table(spark, sf_dir, "customer"))
     write_layer(customers, f"{root}/customer")
+    names = [f"silver_orders_{tag}", f"silver_lineitem_{tag}"]
     return {
-        "orders": write_bucketed(orders, f"silver_orders_{tag}", f"{root}/orders", "o_orderkey", n,
+        "orders": write_bucketed(orders, names[0], f"{root}/orders", "o_orderkey", n,
                                  partition_by=["order_year"]),
-        "lineitem": write_bucketed(lines, f"silver_lineitem_{tag}", f"{root}/lineitem", "l_orderkey", n),
+        "lineitem": write_bucketed(lines, names[1], f"{root}/lineitem", "l_orderkey", n),
         "customer": read_layer(spark, f"{root}/customer", customers.schema),
+        "__tables": names,
     }
 
 
+_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def silver_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The silver layer for ``sf_dir``, built once per Spark application and
+    reused by every gold table while its catalog tables exist (the lineage
+    is already cut: later jobs read the written files, nothing recomputes)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    layer = _BUILT.get(key)
+    if layer is None or not all(spark.catalog.tableExists(n) for n in layer["__tables"]):
+        layer = build_silver(spark, sf_dir)
+        _BUILT[key] = layer
+    return layer
+
+
 def gold_by_nation(s: dict[str, DataFrame]) -> DataFrame:
     j = s["orders"].join(s["customer"].select("c_custkey", "c_nationkey"),
                          F.col("o_custkey") == F.col("c_custkey"), "inner")

@@ -24,7 +24,7 @@ SELECT c.c_nationkey, count(DISTINCT o.o_orderkey) AS n_orders
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_nationkey
 """)
 def gold_by_nation(spark, sf):
-    return star.gold_by_nation(star.build_silver(spark, sf))
+    return star.gold_by_nation(star.silver_layer(spark, sf))
 
 
 @query("gold_status_by_priority", "P1 D4 G5", sql=f"""
@@ -32,7 +32,7 @@ SELECT {_STATUS_CASE} AS status_label, {_FLAG_CASE} AS flag_label, count(*) AS n
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2
 """)
 def gold_status_by_priority(spark, sf):
-    return star.gold_status_by_flag(star.build_silver(spark, sf))
+    return star.gold_status_by_flag(star.silver_layer(spark, sf))
 
 
 @query("gold_top5_month", "P1 W7", sql="""
@@ -44,7 +44,7 @@ SELECT order_month, c_nationkey, n_orders, rank FROM (
 WHERE rank <= 5
 """)
 def gold_top5_month(spark, sf):
-    return star.gold_top5_month(star.build_silver(spark, sf))
+    return star.gold_top5_month(star.silver_layer(spark, sf))
 
 
 @query("gold_three_way", "P1 D5", sql=f"""
@@ -53,7 +53,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN lineitem l ON o.
 GROUP BY 1, 2
 """)
 def gold_three_way(spark, sf):
-    return star.gold_three_way(star.build_silver(spark, sf))
+    return star.gold_three_way(star.silver_layer(spark, sf))
 
 
 @query("ingest_summary", "P2 A2 A4 A6 Q1 Q3 Q5 G8", sql="""

@@ -8,6 +8,7 @@ from tabflow.jobs import star
 from tabflow.operators.aggregates import decimal_mean
 from tabflow.operators.quality import distinct_rows, drop_nulls, within_bounds
 from tabflow.operators.upsert import upsert_layer
+from tabflow.functions.columns import safe_ratio
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
@@ -56,7 +57,47 @@ def gold_three_way(spark, sf):
     return star.gold_three_way(star.silver_layer(spark, sf))
 
 
-@query("ingest_summary", "P2 A2 A4 A6 Q1 Q3 Q5 G8", sql="""
+@query("ingest_summary", "P2 A2 A4 A6 Q1 Q3 Q5 B9 A9 A13 G3", sql="""
+WITH clean AS (
+  SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate
+  FROM lineitem
+  WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND l_returnflag IS NOT NULL),
+priced AS (
+  SELECT *, round(l_extendedprice / l_quantity, 0) AS unit_price, CAST(month(l_shipdate) AS INTEGER) AS ship_month
+  FROM clean WHERE l_extendedprice > 0 AND l_quantity > 0 AND l_returnflag IN ('A', 'N'))
+SELECT ship_month, l_returnflag, count(*) AS n_lines, avg(unit_price) AS avg_unit_price,
+       min(unit_price) AS min_unit_price, max(unit_price) AS max_unit_price
+FROM priced WHERE unit_price >= 1000 AND unit_price <= 50000
+GROUP BY ship_month, l_returnflag
+""")
+def ingest_summary(spark, sf):
+    """Raw gzip CSV (bronze) -> declared schema -> keep the needed columns ->
+    drop rows missing a key field -> drop identical rows -> positive values
+    and two kinds only -> guarded unit price, rounded -> inclusive bounds ->
+    month partition column -> Parquet partitioned by month -> read back with
+    the declared schema -> rows and unit-price stats per (month, kind)."""
+    c = F.col
+    raw_path = shared_path(spark, "bronze-lineitem-csv")
+    (tbl(spark, sf, "lineitem").write.mode("overwrite").option("header", True)
+     .option("compression", "gzip").csv(raw_path))
+    raw = read_delimited(spark, raw_path, DRIVER["lineitem"])
+    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
+            "l_shipdate"]
+    present = distinct_rows(drop_nulls(raw.select(*keep), ["l_extendedprice", "l_quantity", "l_returnflag"]))
+    priced = (present.filter((c("l_extendedprice") > 0) & (c("l_quantity") > 0)
+                             & c("l_returnflag").isin("A", "N"))
+              .withColumn("unit_price", F.round(safe_ratio("l_extendedprice", "l_quantity"), 0)))
+    clean = within_bounds(priced, {"unit_price": (1000, 50000, "both")}) \
+        .withColumn("ship_month", F.month("l_shipdate"))
+    silver = shared_path(spark, "silver-lineitem-by-month")
+    write_layer(clean, silver, partition_by=["ship_month"])
+    back = read_layer(spark, silver, clean.schema)
+    return back.groupBy("ship_month", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.avg("unit_price").alias("avg_unit_price"),
+        F.min("unit_price").alias("min_unit_price"), F.max("unit_price").alias("max_unit_price"))
+
+
+@query("ingest_orders_summary", "P2 A2 A4 A6 Q1 Q3 Q5 G8", sql="""
 WITH clean AS (
   SELECT DISTINCT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
   WHERE o_orderkey IS NOT NULL AND o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL
@@ -65,9 +106,10 @@ SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) / coun
        quantile_disc(o_totalprice, 0.5) AS median_price, round(sum(o_totalprice), 2) AS total_price
 FROM clean GROUP BY o_orderpriority
 """)
-def ingest_summary(spark, sf):
-    """Raw gzip CSV -> declared schema -> prune, drop nulls, dedupe, bounds ->
-    partitioned Parquet -> read back -> per-partition price summary."""
+def ingest_orders_summary(spark, sf):
+    """The same ingestion shape on orders: raw gzip CSV -> declared schema ->
+    prune, drop nulls, dedupe, bounds -> Parquet partitioned by priority ->
+    read back -> per-partition price summary (mean, median, total)."""
     raw_path = shared_path(spark, "bronze-orders-csv")
     (tbl(spark, sf, "orders").write.mode("overwrite").option("header", True)
      .option("compression", "gzip").csv(raw_path))

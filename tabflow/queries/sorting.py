@@ -75,7 +75,7 @@ def limit_rows(spark, sf):
 
 @query("sample_seeded", "S5")
 def sample_seeded_q(spark, sf):
-    return sample_seeded(tbl(spark, sf, "lineitem"), 0.1, seed=42)
+    return sample_seeded(tbl(spark, sf, "lineitem"), 0.2, seed=42)
 
 
 @query("hash_split", "S6")

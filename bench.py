@@ -28,6 +28,8 @@ from tabflow.jobs.star import FLAG_LABELS as FLAGS, STATUS_LABELS, UNKNOWN  # no
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPS = int(os.environ.get("BENCH_REPS", "3"))
+# Optional: stage/task times go to a Spark event log in this folder (no UI).
+EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR")
 
 
 def run(df):
@@ -58,9 +60,10 @@ def two_key_count(j):
 
 
 def main():
-    spark = get_session("bench", master=f"local[{CPUS}]", shuffle_partitions=max(8, 2 * CPUS),
-                        conf={"spark.ui.showConsoleProgress": "false",
-                              "spark.driver.memory": "16g"})
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    if EVENT_LOG_DIR:
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": EVENT_LOG_DIR})
+    spark = get_session("bench", master=f"local[{CPUS}]", shuffle_partitions=max(8, 2 * CPUS), conf=conf)
     qs = all_queries()
     results = {}
 

@@ -43,6 +43,11 @@ def get_session(
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not (master or "").startswith("local"):
+        # on a shared cluster coalesce towards the advisory size rather than
+        # towards maximum parallelism (fewer, fuller tasks); local runs keep
+        # Spark's default so small inputs still use every core
+        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -81,3 +86,28 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           lower: int = 8, upper: int = 200_000) -> int:
+    """Shuffle partition count that keeps each partition near ``target_bytes``
+    for a job reading ``input_bytes`` (AQE then merges the small ones)."""
+    return int(min(upper, max(lower, -(-input_bytes // target_bytes))))
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes of the files behind ``paths``, summed by Spark from file metadata
+    (one row per file; no column data is read)."""
+    from pyspark.sql import functions as F
+
+    files = (spark.read.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
+             .groupBy("p").agg(F.max("s").alias("s")))
+    return int(files.agg(F.sum("s")).first()[0] or 0)
+
+
+def size_shuffles(spark: SparkSession, paths, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the inputs."""
+    n = shuffle_partitions_for(input_bytes(spark, paths), target_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -60,3 +60,13 @@ def test_shared_path_is_below_checkpoint_root(spark):
     from tabflow.session import checkpoint_root, shared_path
     a, b = shared_path(spark, "x"), shared_path(spark, "x")
     assert a != b and a.startswith(checkpoint_root(spark).rstrip("/"))
+
+
+def test_shuffle_partition_sizing(spark, sf):
+    from tabflow.session import input_bytes, shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 200_000  # 100 TB, capped
+    assert shuffle_partitions_for(10 * 1024 ** 4) == 40_960
+    assert shuffle_partitions_for(1000) == 8
+    import os
+    path = f"{sf}/lineitem.parquet"
+    assert input_bytes(spark, path) == os.path.getsize(path)

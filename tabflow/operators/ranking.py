@@ -21,9 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _sort_name(c: Column) -> str:
-    return str(c)
+from tabflow.operators.relational import join_null_safe
 
 
 def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -47,7 +45,7 @@ def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     offsets = (totals.withColumn("__n_off", F.coalesce(F.sum("__pn").over(off_w), F.lit(0)))
                .withColumn("__d_off", F.coalesce(F.sum("__pd").over(off_w), F.lit(0)))
                .select(*keys, "__pid", "__n_off", "__d_off"))
-    return (local.join(offsets, on=[*keys, "__pid"], how="inner")
+    return (join_null_safe(local, offsets, [*keys, "__pid"])
             .withColumn("__n_before", (F.col("__n_local") + F.col("__n_off")).cast("bigint"))
             .withColumn("__d_before", (F.col("__d_local") + F.col("__d_off")).cast("bigint"))
             .drop("__w", "__pid", "__n_local", "__d_local", "__n_off", "__d_off"))
@@ -69,7 +67,7 @@ def ranks_skew_safe(df: DataFrame, keys: Sequence[str], value: str, descending:
     rows = (prefix_counts(df, keys, [v_order, *tie_breakers], partitions=partitions)
             .withColumn("row_number", F.col("__n_before") + 1)
             .drop("__n_before", "__d_before"))
-    return rows.join(by_value, on=[*keys, value], how="inner")
+    return join_null_safe(rows, by_value, [*keys, value])
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:

@@ -77,6 +77,18 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str] | N
     return facts.join(lookup, cond, how)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on same-named ``cols`` where null matches null, keeping one
+    copy of each key column (group-by and window semantics treat null as a
+    key of its own; a plain equi-join would drop those rows)."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond: Column | None = None
+    for c in cols:
+        e = left[c].eqNullSafe(r[f"__r_{c}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "inner").drop(*[f"__r_{c}" for c in cols])
+
+
 def orphans(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """Fact rows whose key has no match in ``lookup`` (left anti join; the
     lookup keys need no de-duplication, so no extra shuffle)."""

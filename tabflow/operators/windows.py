@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import day_number
+from tabflow.operators.relational import join_null_safe
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int,
@@ -116,6 +117,6 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value_col: str,
     """
     total = F.sum(value_col) if scale is None else F.round(F.sum(value_col), scale)
     totals = df.groupBy(*keys).agg(total.alias(total_col))
-    return (df.join(totals, on=list(keys), how="inner")
+    return (join_null_safe(df, totals, list(keys))
             .withColumn(share_col, F.when(F.col(total_col) != 0,
                                           F.lit(100.0) * F.col(value_col) / F.col(total_col))))

@@ -1,10 +1,12 @@
 """Structured Streaming queries (survey 2.9). Each call feeds the events
-table as time-ordered drop files, runs the stream to completion with
-``availableNow`` (one file per micro-batch) and returns the sink as a batch
+table as time-ordered drops, runs the stream to completion with
+``availableNow`` (one drop per micro-batch) and returns the sink as a batch
 DataFrame."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,6 @@ def _feed(spark, sf, predicate=None, folder=None, n=N_DROPS):
 
 
 def _table_name(prefix: str) -> str:
-    import uuid
     return f"{prefix}_{uuid.uuid4().hex[:8]}"
 
 

@@ -6,10 +6,17 @@ exist to compare cost; both are null-safe.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship these functions by value: Python workers (on any executor) then need
+# no installed copy of this package to run them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @F.udf(returnType=T.StringType())
 def upper_udf(s):

@@ -9,6 +9,7 @@ time from real shuffle sizes, and whose skewed partitions AQE splits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,11 +28,35 @@ def _row_width(df: DataFrame) -> int:
     return max(width, 8)
 
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+_UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 ** 4, "PiB": 1024 ** 5,
+          "EiB": 1024 ** 6}
 
-    The count runs on a zero-column projection (Parquet then reads row counts,
-    not column data) and each task stops after ``max_rows + 1`` rows."""
+
+def estimated_bytes(df: DataFrame) -> float | None:
+    """Catalyst's size estimate of ``df`` (from file sizes, no job run), as
+    shown by ``explain("cost")``; None when no estimate is printed."""
+    from tabflow.plans.explain import explain_text
+
+    text = explain_text(df, "cost")
+    opt = text.split("== Optimized Logical Plan ==")[-1]
+    m = re.search(r"Statistics\(sizeInBytes=([0-9.E+]+)\s*([KMGTPE]?i?B)", opt)
+    if not m:
+        return None
+    return float(m.group(1)) * _UNITS.get(m.group(2), 1)
+
+
+def bounded(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` is proven to have at most ``max_rows`` rows.
+
+    First Catalyst's file-size estimate (no job): data grows when decoded, so
+    an estimate already above ``max_bytes`` rules the side out at once, which
+    keeps the check cheap on a huge table. Otherwise the rows are counted on
+    a zero-column projection (Parquet reads row counts, not column data) with
+    every task stopping after ``max_rows + 1`` rows."""
+    if max_bytes is not None:
+        est = estimated_bytes(df)
+        if est is not None and est > max_bytes:
+            return False
     return df.select(F.lit(1).alias("__one")).limit(max_rows + 1).count() <= max_rows
 
 
@@ -39,7 +64,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                          max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Broadcast-hint ``df`` only if its row count and estimated bytes are bounded."""
     rows_cap = min(max_rows, max(1, max_bytes // _row_width(df)))
-    if bounded(df, rows_cap):
+    if bounded(df, rows_cap, max_bytes):
         return F.broadcast(df), True
     return df, False
 

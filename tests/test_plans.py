@@ -107,3 +107,12 @@ def test_count_exchanges_ignores_broadcasts(spark, sf):
     pa = table(spark, sf, "part")
     j = lookup_join(li, pa, left_on="l_partkey", right_on="p_partkey", how="inner", strategy="broadcast")
     assert count_exchanges(j.groupBy("p_type").count()) == 1
+
+
+def test_size_proof_uses_estimate_before_counting(spark, sf):
+    from tabflow.operators.relational import estimated_bytes
+    li = table(spark, sf, "lineitem")
+    est = estimated_bytes(li)
+    assert est is not None and est > 0
+    assert not bounded(li, 10 ** 9, max_bytes=int(est) // 2)  # ruled out by the estimate alone
+    assert bounded(li, 10 ** 9, max_bytes=int(est) * 10)      # then proven by counting

@@ -89,11 +89,16 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = 1_0
     """Write a small, already-aggregated result as ONE file.
 
     ``coalesce(1)`` funnels everything through one task, so the row count is
-    checked first and a large input is refused.
+    checked first and a large input is refused. The result is checkpointed
+    once to the shared folder so the check and the write both read that copy
+    (the upstream aggregation runs once, and a lost executor does not redo it).
     """
-    if not bounded(df, max_rows):
+    from tabflow.session import cut_lineage
+
+    small = cut_lineage(df)
+    if not bounded(small, max_rows):
         raise ValueError(f"write_report: more than {max_rows} rows; write a layer instead")
-    writer = df.coalesce(1).write.mode("overwrite").format(fmt)
+    writer = small.coalesce(1).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.save(path)

@@ -2,7 +2,7 @@
 
 Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` (default 8) and prints ONE JSON line. Each query is
-run once to warm up, then 3 times; the median is reported. Results are fully
+run once to warm up, then 5 times; the median is reported. Results are fully
 computed through the ``noop`` sink (no driver collect).
 """
 
@@ -27,7 +27,7 @@ from tabflow.jobs.star import FLAG_LABELS as FLAGS, STATUS_LABELS, UNKNOWN  # no
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPS = int(os.environ.get("BENCH_REPS", "3"))
+REPS = int(os.environ.get("BENCH_REPS", "5"))
 # Optional: stage/task times go to a Spark event log in this folder (no UI).
 EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR")
 

@@ -70,3 +70,26 @@ def test_shuffle_partition_sizing(spark, sf):
     import os
     path = f"{sf}/lineitem.parquet"
     assert input_bytes(spark, path) == os.path.getsize(path)
+
+
+def test_event_time_ignores_session_time_zone(spark):
+    from tabflow.streaming.files import event_time, wall_clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:04:05.123456' AS ts")
+        r = df.select(F.unix_micros(event_time("ts")).alias("us"),
+                      wall_clock(event_time("ts")).alias("back")).first()
+        assert r.us == 1704164645123456  # the wall clock read as UTC
+        assert str(r.back) == "2024-01-02 03:04:05.123456"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_spread_only_when_under_split(spark, sf):
+    from tabflow.sources.tables import spread
+    one = table(spark, sf, "documents")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one, 8).rdd.getNumPartitions() == 8
+    many = spark.range(0, 1000, 1, 16)
+    assert spread(many, 8) is many

@@ -13,6 +13,7 @@ from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
 from tabflow.sources.files import read_delimited, read_layer, write_layer
+from tabflow.sources.tables import spread
 
 _STATUS_CASE = ("CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'open' "
                 "WHEN 'P' THEN 'partial' ELSE 'unknown' END")
@@ -80,7 +81,7 @@ def ingest_summary(spark, sf):
     raw_path = shared_path(spark, "bronze-lineitem-csv")
     (tbl(spark, sf, "lineitem").write.mode("overwrite").option("header", True)
      .option("compression", "gzip").csv(raw_path))
-    raw = read_delimited(spark, raw_path, DRIVER["lineitem"])
+    raw = spread(read_delimited(spark, raw_path, DRIVER["lineitem"]))  # gzip: one split per file
     keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
             "l_shipdate"]
     present = distinct_rows(drop_nulls(raw.select(*keep), ["l_extendedprice", "l_quantity", "l_returnflag"]))
@@ -113,7 +114,7 @@ def ingest_orders_summary(spark, sf):
     raw_path = shared_path(spark, "bronze-orders-csv")
     (tbl(spark, sf, "orders").write.mode("overwrite").option("header", True)
      .option("compression", "gzip").csv(raw_path))
-    raw = read_delimited(spark, raw_path, DRIVER["orders"], partitions=None)
+    raw = spread(read_delimited(spark, raw_path, DRIVER["orders"]))  # gzip: one split per file
     keep = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
     clean = within_bounds(distinct_rows(drop_nulls(raw.select(*keep), ["o_orderkey", "o_totalprice",
                                                                        "o_orderpriority"])),

@@ -34,7 +34,9 @@ _UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 *
 
 def estimated_bytes(df: DataFrame) -> float | None:
     """Catalyst's size estimate of ``df`` (from file sizes, no job run), as
-    shown by ``explain("cost")``; None when no estimate is printed."""
+    shown by ``explain("cost")``. None when there is no real estimate: no
+    statistics printed, or Catalyst's stand-in for unknown sizes
+    (``spark.sql.defaultSizeInBytes``, e.g. data that came from an RDD)."""
     from tabflow.plans.explain import explain_text
 
     text = explain_text(df, "cost")
@@ -42,7 +44,10 @@ def estimated_bytes(df: DataFrame) -> float | None:
     m = re.search(r"Statistics\(sizeInBytes=([0-9.E+]+)\s*([KMGTPE]?i?B)", opt)
     if not m:
         return None
-    return float(m.group(1)) * _UNITS.get(m.group(2), 1)
+    est = float(m.group(1)) * _UNITS.get(m.group(2), 1)
+    unknown = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
+    unknown_bytes = float(unknown) if unknown and unknown.isdigit() else float(2 ** 63 - 1)
+    return None if est >= 0.5 * unknown_bytes else est
 
 
 def bounded(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:

@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tabflow.queries import all_queries, oracle_sqls
 from tabflow.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-SQLS = entry.oracle_sql()
-QUERIES = entry.queries()
+SQLS = oracle_sqls()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")

@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabflow.llm import mixing, sharding
+from tabflow.llm import mixing, packing, sharding
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+VOCABULARY = "word_bpe_49k.json"
 QUERIES: dict[str, QueryFn] = {}
 SQL: dict[str, str] = {}
 
 
+def vocabulary(name: str = VOCABULARY) -> str:
+    """Path of a public tokenizer file, which every executor has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn: QueryFn) -> QueryFn:
     QUERIES[fn.__name__] = fn
     return fn
@@ -27,3 +35,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)

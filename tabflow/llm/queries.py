@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabflow.llm import mixing, packing, sharding
+from tabflow.llm import chat, mixing, packing, sharding
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +29,47 @@ def query(fn: QueryFn) -> QueryFn:
     return fn
 
 
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts are control strings, read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = turns.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
+    read = chat.read_back(chat.format_chats(turns))
+    said = F.zip_with("roles", "contents", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n")))
+    loss = F.array_join("masked", "")
+    return read.select(
+        "conv_id", F.size("contents").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "attachment_tokens")
+
+
+def _stuffed(column: str) -> str:
+    """DuckDB: ``column`` with a backslash stuffed into every control string."""
+    for first in "<[":
+        body = "|".join(re.escape(c[1:]).replace("'", "''") for c in sorted(chat.CONTROLS, key=len, reverse=True) if c[0] == first)
+        column = rf"regexp_replace({column}, '(\{first})(\\*(?:{body}))', '\1\\\2', 'g')"
+    return column
+
+
+SQL["op1_chat_format"] = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), shown AS (SELECT *, {_stuffed('text')} AS body, {_stuffed('role')} AS head FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, body)) AS loss_sha256,
+  CAST(sum(length(head) + length(body) + {len(chat.START + chat.SEP + chat.END)}) AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS attachment_tokens
+FROM shown GROUP BY conv_id"""
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)

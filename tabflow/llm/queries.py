@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, mixing, packing, sharding
+from tabflow.llm import chat, mixing, packing, sharding, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+SQL["op6_vptree"] = """
+WITH u AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_prepend(CAST(0 AS DOUBLE),
+      list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), lambda a, x: a + x) AS score
+  FROM u q JOIN u c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)

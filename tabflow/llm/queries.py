@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, mixing, packing, sharding, vptree
+from tabflow.llm import chat, embeddup, mixing, packing, sharding, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,32 @@ WITH u AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
+@query
+def op7_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+SQL["op7_embedding_dups"] = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT *, sqrt(list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(v, lambda x: x * x)), lambda a, x: a + x)) AS size FROM u
+), e AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])),
+                    lambda s, x: s + x) / (a.size * b.size) >= 0.98
+), r(node, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT e.y, r.c FROM r JOIN e ON r.node = e.x
+), c AS (SELECT node, min(c) AS component_id FROM r GROUP BY node),
+k AS (SELECT x, count(*) AS n_links FROM e GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN c ON c.node = vec_id LEFT JOIN k ON k.x = vec_id"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)

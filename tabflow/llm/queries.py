@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, embeddup, mixing, packing, sharding, vptree
+from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,32 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM embeddings LEFT JOIN c ON c.node = vec_id LEFT JOIN k ON k.x = vec_id"""
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+SQL["op8_jaccard_join"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g
+  FROM t
+), n AS MATERIALIZED (SELECT doc_id, len(g) AS n FROM s),
+x AS MATERIALIZED (SELECT doc_id, unnest(g) AS h FROM s),
+e AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  WHERE na.n * 100 >= nb.n * 85 AND nb.n * 100 >= na.n * 85
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), r(node, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.c FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(c) AS component_id FROM r GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, component_id FROM n JOIN c ON c.node = n.doc_id"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, vptree
+from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, substring, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.strip_repeats(table(spark, sf_dir, "documents"), window=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op4_substring_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), p AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t)
+), f AS (SELECT g, min(doc_id) AS first FROM p GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM p JOIN f USING (g) WHERE doc_id > first
+), g AS (SELECT doc_id, list(i) AS cut FROM gone GROUP BY doc_id)
+SELECT t.doc_id, len(w) AS n_words, coalesce(len(cut), 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN cut IS NULL THEN w ELSE list_transform(
+    list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(cut, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM t LEFT JOIN g ON g.doc_id = t.doc_id"""
+
+
 @query
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, substring, vptree
+from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, substring, toxicity, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring.strip_repeats(table(spark, sf_dir, "documents"), window=13)

@@ -159,8 +159,15 @@ class Restorer:
 class Model:
     costs: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
+    alone: dict[str, float] = field(default_factory=dict)
     bias: float = -2.0
 
+    def score(self, words: set[str]) -> float:
+        """The logistic model's value, or that of the surest single word if higher."""
+        z = self.bias + sum(self.weights[w] for w in sorted(words & self.weights.keys()))
+        return max(1 / (1 + float(np.exp(-min(max(z, -60.0), 60.0)))),
+                   max((self.alone[w] for w in words & self.alone.keys()), default=0.0))
+
 
 def fold(column: str, folds: int):
     """Remainder of the CRC-32 of a key's text."""
@@ -168,10 +175,12 @@ def fold(column: str, folds: int):
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, vocabulary: int = 4096, least: int = 3,
-        steps: int = 2000, id_column: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+        steps: int = 2000, sure: float = 0.8, id_column: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Language model from all texts; lexicon and weights from a bounded sample of
     labelled rows: ``per_class`` ids of each label by hash order. Words of restored texts
-    in at least ``least`` positive rows, ranked by signed chi-square, are the features."""
+    in at least ``least`` positive rows, ranked by chi-square, are the features; weights
+    are not negative, as these words only speak for the label. A word whose shrunk share
+    of positive rows is ``sure`` or more also speaks alone."""
     model = Model(char_costs(char_counts(docs, text)))
     marked = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()) \
         .groupBy(F.col(id_column).cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y"))
@@ -199,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, vocabulary:
     rate = pos / (pos + neg)
     chosen = by_word.where((F.col("a") >= least) & (F.col("a") > 2 * rate * F.col("n"))) \
         .withColumn("chi", (F.col("a") - rate * F.col("n")) ** 2 / F.col("n")) \
-        .orderBy(F.col("chi").desc(), "w").limit(vocabulary).select("w").collect()
+        .orderBy(F.col("chi").desc(), "w").limit(vocabulary).select("w", "a", "n").collect()
     index = {r["w"]: i for i, r in enumerate(chosen)}
     vocab = docs.sparkSession.createDataFrame([(w,) for w in index] or [("",)], "w string")
     rows = sample.select("doc_id", "y", F.explode("words").alias("w")).join(F.broadcast(vocab), "w") \
@@ -215,9 +224,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, vocabulary:
         d = weight * (1 / (1 + np.exp(-z)) - y)
         g, h = np.bincount(c, d[r], len(index)) + 0.002 * w, d.sum()
         gw, gb = gw + g ** 2, gb + h ** 2
-        w, b = w - 1.0 * g / np.sqrt(gw), b - 1.0 * h / np.sqrt(gb)
-    model.weights = {word: float(w[i]) for word, i in index.items()}
+        w, b = np.maximum(w - 1.0 * g / np.sqrt(gw), 0), b - 1.0 * h / np.sqrt(gb)
     model.bias = float(b)
+    model.weights = {word: float(w[i]) for word, i in index.items()}
+    # a word's share of positive rows, shrunk, and more so by every other row
+    own = {r["w"]: r["a"] / (3 * r["n"] - 2 * r["a"] + 2) for r in chosen}
+    model.alone = {word: p for word, p in own.items() if p >= sure}
     return model
 
 
@@ -231,13 +243,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "te
 
     def run(batches):
         model = held.value
-        restorer, weights = Restorer(model.costs), model.weights
+        restorer = Restorer(model.costs)
         for b in batches:
-            out = []
-            for t in b.column(text).cast(pa.string()).to_pylist():
-                z = model.bias + sum(weights[w] for w in sorted(restorer.words(t) & weights.keys()))
-                out.append(1 / (1 + np.exp(-min(max(z, -60.0), 60.0))))
-            value = np.array(out)
+            value = np.array([model.score(restorer.words(t)) for t in b.column(text).cast(pa.string()).to_pylist()])
             yield pa.record_batch([*b.columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))],
                                   [*names, "score", "predicted"])
 

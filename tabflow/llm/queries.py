@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, embeddup, jaccard, mixing, packing, sharding, substring, toxicity, vptree
+from tabflow.llm import chat, crf, embeddup, jaccard, mixing, packing, sharding, substring, toxicity, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,14 @@ SELECT t.doc_id, len(w) AS n_words, coalesce(len(cut), 0) AS n_removed,
 FROM t LEFT JOIN g ON g.doc_id = t.doc_id"""
 
 
+@query
+def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    done = crf.languages(docs, docs.where(toxicity.fold("doc_id", 4) != 2))
+    held = F.coalesce(toxicity.fold("doc_id", 4) == 2, F.lit(False))
+    return done.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)

@@ -89,8 +89,9 @@ def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], repeat
 
 def mix_sources(docs: DataFrame, id_column: str = "doc_id", text: str = "text", sources: str = "source",
                 weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, limit: int = 2,
-                seed: int = 17, buckets: int = 1024) -> DataFrame:
-    """One row per document with size (words), source_size, target, copies and taken.
+                seed: int = 17, buckets: int = 1024, keep_source: bool = False) -> DataFrame:
+    """One row per document with size (words), source_size, target, copies and taken,
+    and with ``keep_source`` its pattern as one string (``s`` and the source, ``n`` for null).
 
     ``sources`` is a string column or an array of the sources a document belongs to;
     a document's pattern is its sorted distinct set of sources. Sizes are summed by
@@ -134,4 +135,5 @@ def mix_sources(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     copies = F.size(F.filter("flow", lambda f: (F.col("before") * 2 + F.col("size") <= f * 2) & (f > 0)))
     return (placed.join(plan, "pk").withColumn("copies", copies.cast("int"))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies"))
+                    (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies",
+                    *[F.col("pk").alias("source")] * keep_source))

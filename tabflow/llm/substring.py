@@ -11,6 +11,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.llm.common import bitmap, by_key, grams, in_bitmap, starts_of, texts, words, written
 
@@ -158,11 +159,12 @@ def _automata(groups, window: int):
                 pa.array([owner[a:b].tobytes() for a, b in zip(c[:-1], c[1:])], pa.binary())], ["h", "sh", "at", "owner"])
 
 
-def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR,
-                  id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the words left, joined by one space) per row:
-    a word goes when a window of ``window`` words over it also starts in a document
-    with a smaller doc_id. Windows are judged on the input.
+def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_column: str = "doc_id",
+                  text: str = "text", carry: tuple[str, ...] = (), layout: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the words left, joined by one space) and the
+    ``carry`` columns per row: a word goes when a window of ``window`` words over it also
+    starts in a document with a smaller doc_id. Windows are judged on the input. With
+    ``layout``, a text that loses nothing is kept as it is, a null one too.
 
     1. Each window is named by its anchor, the smallest of its phrase hashes; anchors of
     one text only hold no repeat and go (min and max of the text per anchor, summed
@@ -178,7 +180,12 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR,
     result is the same. A null or empty text has no words. A row with a null doc_id is
     neither changed nor changes others. Repeated rows, and rows that repeat an id, don't
     remove each other's words. Other columns are ignored; an empty table gives no rows."""
-    every = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
+    clash = {"doc_id", "n_words", "n_removed", "kept"} & set(carry)
+    if clash:
+        raise ValueError(f"columns of the result can't be carried: {sorted(clash)}")
+    more = [f"_c{i}" for i in range(len(carry))]
+    every = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                        *[F.col(c).alias(m) for c, m in zip(carry, more)]) \
         .withColumn("tk", F.xxhash64("text"))
     rows = every.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
@@ -221,16 +228,20 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR,
                     n, gone, kept = without(t, cut, copy, window)
                     n_words.append(n)
                     n_gone.append(gone)
-                    left.append(kept.decode())
+                    left.append((t if layout and not gone else kept).decode() if t is not None or not layout else None)
                 yield pa.record_batch([part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()),
-                                       pa.array(left, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+                                       pa.array(left, pa.string()), *[part.column(m) for m in more]],
+                                      ["doc_id", "n_words", "n_removed", "kept", *more])
 
     maybe = in_bitmap(rows, "doc_id", touched)
     rest = in_bitmap(rows, "doc_id", ~touched).unionByName(every.where(F.col("doc_id").isNull() | F.col("text").isNull()))
     none = [F.lit(None).cast("array<binary>").alias("cuts"), F.lit(None).cast("boolean").alias("copy")]
-    schema = "doc_id long, n_words long, n_removed long, kept string"
-    return maybe.join(change, ["doc_id", "tk"], "left").select("doc_id", "text", "cuts", "copy").mapInArrow(rewrite, schema) \
-        .unionByName(rest.select("doc_id", "text", *none).mapInArrow(rewrite, schema))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
+                           *[every.schema[m] for m in more]])
+    done = maybe.join(change, ["doc_id", "tk"], "left").select("doc_id", "text", "cuts", "copy", *more).mapInArrow(rewrite, schema) \
+        .unionByName(rest.select("doc_id", "text", *none, *more).mapInArrow(rewrite, schema))
+    return done.withColumnsRenamed(dict(zip(more, carry)))
 
 
 def without(data: bytes | None, cuts: list[bytes] | None, copy: bool | None, window: int) -> tuple[int, int, bytes]:

@@ -53,8 +53,9 @@ def compare(groups, least: float):
     for t in groups:
         cols = {c: t.column(c).to_numpy() for c in ("label", "tab", "bucket", "lo", "hi", "side", "rid", "weight")}
         keys = np.array(t.column("keys").to_pylist(), np.int32)
-        x = _vectors(t.column("v"))
-        norm = np.sqrt(dots(x, x))
+        column = t.column("v").combine_chunks()
+        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
+        ends, values = column.offsets.to_numpy() - column.offsets[0].as_py(), column.flatten().to_numpy()
         n = t.num_rows
         links, edges = np.zeros(n, np.int64), []
         cut = starts_of(*[cols[c] for c in ("label", "tab", "bucket", "lo", "hi")])
@@ -62,11 +63,14 @@ def compare(groups, least: float):
             if e - s < 2:
                 continue
             rows = np.arange(s, e)
+            # vectors of one group have one length
+            x = values[ends[s]:ends[e]].reshape(e - s, -1)
+            norm = np.sqrt(dots(x, x))
             same = cols["lo"][s] == cols["hi"][s]
             left, right = (rows, rows) if same else (rows[cols["side"][s:e] == 0], rows[cols["side"][s:e] == 1])
             if not len(left) or not len(right):
                 continue
-            i, j = _linked(x[left], x[right], norm[left], norm[right], least, same)
+            i, j = _linked(x[left - s], x[right - s], norm[left - s], norm[right - s], least, same)
             i, j = left[i], right[j]
             tab = cols["tab"][s]
             if tab:

@@ -95,11 +95,13 @@ def decode_many(col, groups: Mapping[str, Sequence], default: str) -> Column:
 def decode_with_table(df: DataFrame, col: str, codes: DataFrame, code_col: str,
                       label_col: str, out: str, default: str,
                       max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Decode through a code-table DataFrame (left join keeps the row count)."""
+    """Decode through a code-table DataFrame. A code that the table repeats takes its
+    smallest label, so the left join keeps the row count; the table is broadcast
+    only when it has at most ``max_broadcast_rows`` rows."""
     from tabflow.operators.relational import lookup_join
 
-    table = codes.select(F.col(code_col).alias("__code"), F.col(label_col).alias("__label"))
-    joined = lookup_join(df, table, left_on=col, right_on="__code", how="left",
+    table = codes.groupBy(F.col(code_col).alias("__code")).agg(F.min(label_col).alias("__label"))
+    joined = lookup_join(df, table, left_on=col, right_on="__code", how="left", strategy="broadcast",
                          max_broadcast_rows=max_broadcast_rows)
     return (joined.withColumn(out, F.coalesce(F.col("__label"), F.lit(default)))
             .drop("__code", "__label"))

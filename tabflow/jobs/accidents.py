@@ -17,14 +17,24 @@ from tabflow.functions.columns import band
 from tabflow.operators.quality import dedupe_by_key, observe_counts
 from tabflow.operators.windows import top_n_per_group
 from tabflow.schemas import ACCIDENT_TABLES
-from tabflow.sources.files import read_delimited, read_layer, write_layer, write_report
+from tabflow.sources.files import CORRUPT_COL, read_delimited, read_layer, write_layer, write_report
 
 
 def read_bronze(spark: SparkSession, paths: dict[str, str], encoding: str = "UTF-8") -> dict[str, DataFrame]:
-    return {name: read_delimited(spark, paths[name], schema, sep=";", encoding=encoding)
+    """The four CSV tables, each with the raw line of rows that did not parse."""
+    return {name: read_delimited(spark, paths[name], schema, sep=";", encoding=encoding, keep_corrupt=True)
             for name, schema in ACCIDENT_TABLES.items()}
 
 
+
+def gold_order(name: str) -> list:
+    """The order in which each gold report is written."""
+    return {"accidents_par_departement": [F.desc("nombre_accidents"), F.asc("dep")],
+            "gravite_par_meteo": [F.asc("condition_meteo"), F.desc("nombre_usagers"), F.asc("gravite")],
+            "top_departements_par_mois": [F.asc("mois"), F.asc("rang")],
+            "gravite_par_type_route": [F.asc("type_route"), F.desc("nombre_usagers"), F.asc("gravite")]}[name]
+
+
 def clean_accidents(df: DataFrame, year: int) -> DataFrame:
     c = F.col
     dep = F.trim(c("dep"))
@@ -83,7 +93,12 @@ def clean_all(raw: dict[str, DataFrame], year: int) -> tuple[dict[str, DataFrame
                 "usagers": lambda d: clean_users(d, year), "vehicules": clean_vehicles}
     clean, obs = {}, {}
     for name, fn in cleaners.items():
-        raw_df, obs[f"{name}_raw"] = observe_counts(raw[name], f"{name}_raw")
+        table = raw[name]
+        if CORRUPT_COL in table.columns:
+            seen = Observation(f"{name}_corrupt")
+            table = table.observe(seen, F.count(F.col(CORRUPT_COL)).alias("rows")).drop(CORRUPT_COL)
+            obs[f"{name}_corrupt"] = seen
+        raw_df, obs[f"{name}_raw"] = observe_counts(table, f"{name}_raw")
         clean[name], obs[f"{name}_clean"] = observe_counts(fn(raw_df), f"{name}_clean")
     return clean, obs
 
@@ -109,8 +124,8 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def run(spark: SparkSession, bronze_paths: dict[str, str], silver_root: str, gold_root: str,
         year: int) -> tuple[dict[str, str], dict[str, int]]:
     """Whole job; returns the gold report paths (one CSV file each) and the
-    row counts per table before and after cleaning (gathered by the silver
-    write itself, no re-scan)."""
+    row counts per table: raw lines, those with a field that did not parse, and
+    rows after cleaning (gathered by the silver write itself, no re-scan)."""
     raw = read_bronze(spark, bronze_paths)
     clean, obs = clean_all(raw, year)
     schemas = {n: df.schema for n, df in clean.items()}
@@ -119,5 +134,5 @@ def run(spark: SparkSession, bronze_paths: dict[str, str], silver_root: str, gol
     out = {}
     for name, df in gold_tables(silver).items():
         out[name] = f"{gold_root.rstrip('/')}/{name}"
-        write_report(df, out[name])
+        write_report(df, out[name], order_by=gold_order(name))
     return out, counts

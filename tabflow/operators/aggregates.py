@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 
 def decimal_sum(col, scale: int = 2) -> Column:
-    """Sum of a column holding values with at most ``scale`` decimals (money,
-    rates), rounded back to ``scale``: the float error of the sum is far below
-    half a unit of the last decimal, so the result is the exact decimal sum,
-    whatever order the partial sums were added in."""
-    return F.round(F.sum(col), scale)
+    """Exact sum, as double, of a column holding values with at most ``scale``
+    decimals (money, rates): each value is summed as a decimal, so the result
+    does not depend on the order of the partial sums or on their size."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast(f"decimal(28,{scale})")).cast("double")
 
 
 def decimal_mean(col, scale: int = 2) -> Column:
@@ -63,9 +63,12 @@ def median_by(df: DataFrame, keys: Sequence[str], col: str, name: str,
 
 
 def pivot_counts(df: DataFrame, row_keys: Sequence[str], pivot_col: str,
-                 values: Sequence, name_fmt: str = "{}") -> DataFrame:
+                 values: Sequence, name_fmt: str = "{}", other: str | None = None) -> DataFrame:
     """Cross-tab of row counts. ``values`` must be given: it avoids an extra
-    job to discover them and fixes the output schema."""
+    job to discover them and fixes the output schema. With ``other``, a column of
+    that name counts the rows of every other value, so that no row is left out."""
     aggs = [F.count_if(F.col(pivot_col) == F.lit(v)).cast("bigint").alias(name_fmt.format(v))
             for v in values]
+    if other is not None:
+        aggs.append(F.count_if(~F.coalesce(F.col(pivot_col).isin(*values), F.lit(False))).cast("bigint").alias(other))
     return df.groupBy(*row_keys).agg(*aggs)

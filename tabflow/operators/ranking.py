@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.operators.relational import join_null_safe
+from tabflow.session import cut_lineage
 
 
 def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -32,9 +33,11 @@ def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w_col = F.col(weight) if weight else F.lit(1)
-    ranged = (df.withColumn("__w", w_col.cast("bigint"))
-              .repartitionByRange(n, *[F.col(k).asc() for k in keys], *order)
-              .withColumn("__pid", F.spark_partition_id()))
+    # the slices are fixed once: a second evaluation may sample other range bounds,
+    # and its slice numbers would not belong to the same rows
+    ranged = cut_lineage(df.withColumn("__w", w_col.cast("bigint"))
+                         .repartitionByRange(n, *[F.col(k).asc() for k in keys], *order)
+                         .withColumn("__pid", F.spark_partition_id()))
     slice_w = (Window.partitionBy("__pid", *keys).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, -1))
     local = (ranged.withColumn("__n_local", F.coalesce(F.sum("__w").over(slice_w), F.lit(0)))
@@ -70,21 +73,12 @@ def ranks_skew_safe(df: DataFrame, keys: Sequence[str], value: str, descending:
     return join_null_safe(rows, by_value, [*keys, value])
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group (one partial-aggregated pass over the keys)."""
-    top = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .agg(F.max("__n").alias("m")).first())
-    return int(top["m"] or 0)
-
-
 def ranks_within_groups(df: DataFrame, keys: Sequence[str], value: str, descending: bool,
-                        tie_breakers: Sequence[Column], max_group_rows: int = 5_000_000) -> DataFrame:
-    """Ranks with the cheapest plan that is safe for the data at hand: window
-    functions when every group is proven to hold at most ``max_group_rows``
-    rows (a size one task sorts comfortably, spilling if needed), otherwise
-    the range-partitioned ``ranks_skew_safe`` path."""
+                        tie_breakers: Sequence[Column], spread: bool = False) -> DataFrame:
+    """Ranks by window functions, whose sort spills, or with ``spread`` by the
+    range-partitioned path for data with a hot group; both give the same ranks."""
     from tabflow.operators.windows import with_ranks
 
-    v_order = F.col(value).desc() if descending else F.col(value).asc()
-    return with_ranks(df, keys, [v_order], tie_breakers, max_group_rows=max_group_rows,
-                      value=value, descending=descending)
+    if spread:
+        return ranks_skew_safe(df, keys, value, descending, tie_breakers)
+    return with_ranks(df, keys, [F.col(value).desc() if descending else F.col(value).asc()], tie_breakers)

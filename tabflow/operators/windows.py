@@ -32,24 +32,14 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
 
 
 def with_ranks(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-               tie_breakers: Sequence[Column], max_group_rows: int | None = 5_000_000,
-               value: str | None = None, descending: bool = False) -> DataFrame:
+               tie_breakers: Sequence[Column]) -> DataFrame:
     """Adds ``row_number`` (total order incl. tie-breakers), ``rank`` and
     ``dense_rank`` (ties share a rank; rank skips, dense_rank does not).
 
-    Window functions hold a whole group in one task, so the largest group is
-    measured first (one key-only aggregate). Beyond ``max_group_rows`` the
-    ranks come from the range-partitioned path, which needs the single
-    ordering column as ``value``/``descending``. ``max_group_rows=None``
-    skips the check (caller guarantees small groups).
+    A group is sorted in one task, which spills to disk. For data with a hot
+    group, ``ranking.ranks_skew_safe`` gives the same ranks from value ranges
+    that are spread over many tasks.
     """
-    if max_group_rows is not None:
-        from tabflow.operators.ranking import largest_group, ranks_skew_safe
-        if largest_group(df, keys) > max_group_rows:
-            if value is None:
-                raise ValueError("a group exceeds max_group_rows: pass value= (the single ordering "
-                                 "column) so ranks can be computed without a per-group task")
-            return ranks_skew_safe(df, keys, value, descending, tie_breakers)
     w_ties = Window.partitionBy(*keys).orderBy(*order_by)
     w_total = Window.partitionBy(*keys).orderBy(*order_by, *tie_breakers)
     return (df.withColumn("row_number", F.row_number().over(w_total).cast("bigint"))

@@ -9,9 +9,9 @@ from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
 from tabflow.sources.files import format_report, read_delimited, read_json, read_layer, write_layer
-from tabflow.sources.tables import register_views
+from tabflow.sources.tables import TABLES, register_views
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_COUNTED = TABLES
 
 
 @query("scan_parquet_count", "A1", sql="\n UNION ALL ".join(
@@ -122,11 +122,15 @@ def range_even_squares(spark, sf):
                  F.count(F.lit(1)).alias("n_rows")))
 
 
-@query("sql_show_views", "A16")
+@query("sql_show_views", "A16", sql="\n UNION ALL ".join(
+    f"SELECT '{t}' AS view_name, count(*) AS n_rows FROM {t}" for t in _COUNTED))
 def sql_show_views(spark, sf):
-    """Register every table as a session view, then list them with SHOW VIEWS."""
-    register_views(spark, sf)
-    return spark.sql("SHOW VIEWS").filter(F.col("isTemporary"))
+    """Register every table as a session view, list the views with SHOW VIEWS and count
+    the rows of each through SQL on the view."""
+    names = register_views(spark, sf)
+    counts = spark.sql("\n UNION ALL ".join(f"SELECT '{t}' AS view_name, count(*) AS n_rows FROM {t}" for t in names))
+    listed = spark.sql("SHOW VIEWS").where("isTemporary").select(F.col("viewName").alias("view_name"))
+    return counts.join(listed, "view_name", "left_semi")
 
 
 @query("format_report", "A18 L4")

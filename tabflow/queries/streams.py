@@ -5,8 +5,6 @@ DataFrame."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from tabflow.operators.relational import broadcast_if_bounded
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
-from tabflow.streaming.files import (event_time, file_stream, run_to_parquet, run_to_table, wall_clock,
+from tabflow.streaming.files import (event_time, file_stream, run_to_parquet, run_to_state, wall_clock,
                                      write_drops)
 
 N_DROPS = 6
@@ -30,8 +28,15 @@ def _feed(spark, sf, predicate=None, folder=None, n=N_DROPS):
     return folder, write_drops(ev, folder, n, order_col="ts")
 
 
-def _table_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+def totals() -> list:
+    """Count and sum; money is summed as a decimal, exact in any order of the micro-batches."""
+    return [F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(28,2)")).alias("total_value")]
+
+
+def totals_of(state: DataFrame, key: str) -> DataFrame:
+    """The groups of a stream that aggregates ``totals()`` by ``key``, from its state."""
+    return state.select(F.col(f"key.{key}").alias(key), F.col("value.count").alias("n_events"),
+                        F.col("value.sum").cast("double").alias("total_value"))
 
 
 def segment_totals(stream: DataFrame, customers: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def segment_totals(stream: DataFrame, customers: DataFrame) -> DataFrame:
     lookup, then running count and value per market segment."""
     return (stream.join(customers, stream.user_id == customers.c_custkey, "left")
             .groupBy("c_mktsegment")
-            .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")))
+            .agg(*totals()))
 
 
 @query("stream_static_join_agg", "D11 T1 T2 T3 T4 T8", sql="""
@@ -50,7 +55,7 @@ def stream_static_join_agg(spark, sf):
     folder, per_drop = _feed(spark, sf)
     customers, _ = broadcast_if_bounded(tbl(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
     agg = segment_totals(file_stream(spark, folder, EVENTS, per_drop), customers)
-    return run_to_table(agg, _table_name("seg_totals"), "complete", shared_path(spark, "ckpt"))
+    return totals_of(run_to_state(agg, shared_path(spark, "ckpt"), "complete"), "c_mktsegment")
 
 
 @query("stream_filter_append", "T5", sql="""
@@ -71,15 +76,11 @@ def stream_filter_append(spark, sf):
 SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY event_type
 """)
 def stream_update_counts(spark, sf):
-    """Update mode emits only the groups changed by each micro-batch; the
-    final state per group is its last emitted row (counts only grow)."""
+    """Update mode emits only the groups changed by each micro-batch; the final
+    value of every group is in the stream's state."""
     folder, per_drop = _feed(spark, sf)
-    s = (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
-         .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")))
-    updates = run_to_table(s, _table_name("upd_counts"), "update", shared_path(spark, "ckpt"))
-    latest = updates.groupBy("event_type").agg(
-        F.max_by(F.struct("n_events", "total_value"), "n_events").alias("s"))
-    return latest.select("event_type", "s.n_events", "s.total_value")
+    s = file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type").agg(*totals())
+    return totals_of(run_to_state(s, shared_path(spark, "ckpt"), "update"), "event_type")
 
 
 @query("stream_resume", "T6", sql="""
@@ -91,16 +92,15 @@ def stream_resume(spark, sf):
     folder = shared_path(spark, "events-drops")
     ckpt = shared_path(spark, "ckpt")
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    name = _table_name("resume")
+    early = F.coalesce(F.col("ts") < cut, F.lit(True))  # rows without a time go first
 
     def agg(per_drop):
-        return (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
-                .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")))
+        return file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type").agg(*totals())
 
-    _, per_drop = _feed(spark, sf, F.col("ts") < cut, folder, n=3)
-    run_to_table(agg(per_drop), name, "complete", ckpt)
-    _, per_drop = _feed(spark, sf, ~(F.col("ts") < cut), folder, n=3)
-    return run_to_table(agg(per_drop), name, "complete", ckpt)
+    _, per_drop = _feed(spark, sf, early, folder, n=3)
+    run_to_state(agg(per_drop), ckpt, "complete")
+    _, per_drop = _feed(spark, sf, ~early, folder, n=3)
+    return totals_of(run_to_state(agg(per_drop), ckpt, "complete"), "event_type")
 
 
 WATERMARK_SQL = """
@@ -122,7 +122,7 @@ def stream_tumbling_watermark(spark, sf):
     s = (file_stream(spark, folder, EVENTS, per_drop).withColumn("event_ts", event_time("ts"))
          .withWatermark("event_ts", "1 hour")
          .groupBy(F.window("event_ts", "1 day"), "event_type")
-         .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value"))
+         .agg(*totals()).withColumn("total_value", F.col("total_value").cast("double"))
          .select(wall_clock("window.start").alias("window_start"),
                  wall_clock("window.end").alias("window_end"),
                  "event_type", "n_events", "total_value"))
@@ -131,21 +131,29 @@ def stream_tumbling_watermark(spark, sf):
     return spark.read.schema(s.schema).parquet(out)
 
 
-@query("stream_progress", "T2 T3")
+@query("stream_progress", "T2 T3", sql=f"""
+WITH k AS (SELECT epoch_us(ts) AS t, (SELECT epoch_us(min(ts)) FROM events) AS lo, (SELECT epoch_us(max(ts)) FROM events) AS hi FROM events),
+b AS (SELECT CAST(coalesce(least(floor((t - lo) * {float(N_DROPS)} / CAST(hi - lo AS DOUBLE)), {N_DROPS - 1}), 0) AS BIGINT) AS batch_id FROM k),
+n AS (SELECT batch_id, count(*) AS rows_in_batch FROM b GROUP BY batch_id)
+SELECT batch_id, rows_in_batch,
+       CAST(sum(rows_in_batch) OVER (ORDER BY batch_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_rows FROM n
+""")
 def stream_progress(spark, sf):
-    """Rows read per micro-batch and the running total after each one, from
-    the progress reports of a complete-mode aggregate over the drop files:
-    the totals grow batch by batch and end at the table's row count."""
+    """Rows read per micro-batch and the running total after each one: each row is
+    written with the number of its drop's micro-batch by an append stream over the
+    drop files, so the totals are of the sink's rows, however many batches ran."""
     from pyspark.sql import Window
 
     folder, per_drop = _feed(spark, sf)
-    agg = (file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type")
-           .agg(F.count(F.lit(1)).alias("n_events")))
-    name = _table_name("progress")
-    q = (agg.writeStream.format("memory").queryName(name).outputMode("complete")
-         .option("checkpointLocation", shared_path(spark, "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    batches = [(int(p["batchId"]), int(p["numInputRows"])) for p in q.recentProgress if p["numInputRows"] > 0]
-    per_batch = spark.createDataFrame(batches, "batch_id long, rows_in_batch long")
+    out, ckpt = shared_path(spark, "stream-out"), shared_path(spark, "ckpt")
+    s = file_stream(spark, folder, EVENTS, per_drop).select(F.col("_metadata.file_name").alias("drop_file"))
+    run_to_parquet(s, out, ckpt)
+    rows = spark.read.schema(s.schema).parquet(out).groupBy("drop_file").agg(F.count(F.lit(1)).alias("rows_in_batch"))
+    # the stream takes files by modification time, ``per_drop`` of them for each batch
+    files = spark.read.parquet(folder).select(F.col("_metadata.file_name").alias("drop_file"),
+                                              F.col("_metadata.file_modification_time").alias("at")).distinct()
+    no = F.row_number().over(Window.orderBy("at", "drop_file")) - 1  # one row per drop file
+    batch = files.select("drop_file", F.floor(no / per_drop).cast("long").alias("batch_id"))
+    per_batch = rows.join(batch, "drop_file").groupBy("batch_id").agg(F.sum("rows_in_batch").alias("rows_in_batch"))
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return per_batch.withColumn("running_rows", F.sum("rows_in_batch").over(w))

@@ -41,20 +41,25 @@ def win_ranks(spark, sf):
     return ranks_within_groups(li, ["l_suppkey"], "l_quantity", True, [F.asc(c) for c in LINE_TIES])
 
 
-@query("win_ranks_skew_safe", "W2 D13", sql=_RANKS_SQL)
+@query("win_ranks_skew_safe", "W2 D13", sql="""
+SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC, l_orderkey, l_linenumber,
+                             l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate) AS row_number,
+       rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS rank,
+       dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS dense_rank
+FROM lineitem
+""")
 def win_ranks_skew_safe(spark, sf):
-    """The range-partitioned rank path forced on (what a hot group gets)."""
-    li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return ranks_skew_safe(li, ["l_suppkey"], "l_quantity", True, [F.asc(c) for c in LINE_TIES])
+    """The range-partitioned rank path on a key of three values, with all payload columns."""
+    li = tbl(spark, sf, "lineitem")
+    ties = [*LINE_TIES, *[c for c in li.columns if c not in (*LINE_TIES, "l_quantity", "l_returnflag")]]
+    return ranks_skew_safe(li, ["l_returnflag"], "l_quantity", True, [F.asc(c) for c in ties])
 
 
 @query("win_ranks_window", "W2", sql=_RANKS_SQL)
 def win_ranks_window(spark, sf):
-    """Same ranks through ``with_ranks``: window functions once the largest
-    group is proven small, the range-partitioned path otherwise."""
+    """Same ranks through ``with_ranks``, the window functions."""
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return with_ranks(li, ["l_suppkey"], [F.desc("l_quantity")], [F.asc(c) for c in LINE_TIES],
-                      value="l_quantity", descending=True)
+    return with_ranks(li, ["l_suppkey"], [F.desc("l_quantity")], [F.asc(c) for c in LINE_TIES])
 
 
 def _daily(spark, sf):

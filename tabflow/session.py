@@ -70,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf lookup raises when unset
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Local/test sessions only: no cluster folder was named.
         configured = tempfile.mkdtemp(prefix="tabflow-ckpt-")
     sc.setCheckpointDir(configured)
@@ -89,10 +91,10 @@ def cut_lineage(df, eager: bool = True):
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
-                           lower: int = 8, upper: int = 200_000) -> int:
+                           lower: int = 8) -> int:
     """Shuffle partition count that keeps each partition near ``target_bytes``
     for a job reading ``input_bytes`` (AQE then merges the small ones)."""
-    return int(min(upper, max(lower, -(-input_bytes // target_bytes))))
+    return int(max(lower, -(-input_bytes // target_bytes)))
 
 
 def input_bytes(spark: SparkSession, paths) -> int:

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.operators.relational import bounded
-
 CORRUPT_COL = "_corrupt_record"
 
 
@@ -70,8 +68,12 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
                 dynamic_overwrite: bool = False) -> None:
     """Write a layer. ``mode`` is overwrite/append/error/ignore.
 
-    ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+    ``dynamic_overwrite`` replaces only the partitions present in ``df``. Rows are
+    gathered by partition value first, which AQE splits where one value is large,
+    so a folder gets files by its size and not one from every task.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -84,21 +86,19 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     writer.save(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = 1_000_000,
-                 header: bool = True) -> None:
-    """Write a small, already-aggregated result as ONE file.
-
-    ``coalesce(1)`` funnels everything through one task, so the row count is
-    checked first and a large input is refused. The result is checkpointed
-    once to the shared folder so the check and the write both read that copy
-    (the upstream aggregation runs once, and a lost executor does not redo it).
-    """
-    from tabflow.session import cut_lineage
+def write_report(df: DataFrame, path: str, fmt: str = "csv", header: bool = True,
+                 order_by: Sequence = (), single_file: bool = True) -> None:
+    """Write an aggregated result, ordered by ``order_by`` when given.
 
-    small = cut_lineage(df)
-    if not bounded(small, max_rows):
-        raise ValueError(f"write_report: more than {max_rows} rows; write a layer instead")
-    writer = small.coalesce(1).write.mode("overwrite").format(fmt)
+    ``single_file`` is for reports that someone opens: one task writes the one
+    file, whatever its size. Without it the files are ranges of the order, as
+    many as Spark's partitions. No row is refused or left out either way."""
+    if single_file:
+        df = df.repartition(1)
+        df = df.sortWithinPartitions(*order_by) if order_by else df
+    elif order_by:
+        df = df.orderBy(*order_by)
+    writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.save(path)
@@ -148,8 +148,9 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int,
 
     Two tables bucketed the same way on their join keys join without a
     shuffle on either side, so the partitioning paid once at write time is
-    reused by every later join on that key."""
-    writer = (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    reused by every later join on that key. Rows are dealt out by the key into
+    as many tasks first, so a bucket is one file (one for each partition value)."""
+    writer = (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
               .option("path", path))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -18,6 +18,13 @@ from pyspark.sql import types as T
 from tabflow.session import shared_path
 
 
+def drop_number(key, lo: int, hi: int, n: int):
+    """Slice 0 to n - 1 of an integer key in equal widths of [lo, hi]; null is in the first."""
+    if hi <= lo:
+        return F.lit(0)
+    return F.coalesce(F.least(F.floor((key - F.lit(lo)) * F.lit(float(n)) / F.lit(float(hi - lo))), F.lit(n - 1)), F.lit(0)).cast("int")
+
+
 def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None = None,
                 rows_per_file: int = 4_000_000) -> int:
     """Append ``df`` to ``folder`` as ``n_files`` drops, one write job each,
@@ -27,11 +34,11 @@ def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None
     With ``order_col`` the drops are consecutive, equal-width slices of its
     range, written in order: the file source picks files by modification
     time, so event time advances drop by drop and no row is late by
-    construction (one job writing all slices would give every file the same
-    time and an arbitrary order). A drop is range-split on ``order_col`` into
-    enough files of about ``rows_per_file`` rows that no task writes more;
-    small inputs give one file per drop. Without ``order_col`` rows are
-    spread over the drops by a hash of all columns.
+    construction. Rows whose order value is null are in the first drop.
+    Without ``order_col`` rows are spread over the drops by a hash of all
+    columns. The input is read twice, for its range and to stage all drops at
+    once; each drop then copies its own staged part. A drop is split into
+    enough files of about ``rows_per_file`` rows that no task writes more.
     """
     key = None
     if order_col is not None:
@@ -43,18 +50,16 @@ def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None
     if stats["n"] == 0:
         return per_drop
     if key is None:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n_files))
-        for i in range(n_files):
-            df.filter(bucket == i).repartition(per_drop).write.mode("append").parquet(folder)
-        return per_drop
-    lo, hi = stats["lo"], stats["hi"]
-    width = (hi - lo) / n_files or 1
+        number = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n_files))
+    else:
+        number = drop_number(key, stats["lo"] or 0, stats["hi"] or 0, n_files)
+    stage = shared_path(df.sparkSession, "drops")
+    (df.withColumn("__drop", number.cast("int")).repartition(n_files * per_drop, "__drop", F.xxhash64(*df.columns))
+     .write.partitionBy("__drop").parquet(stage))
+    staged = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("__drop", T.IntegerType())])).parquet(stage)
     for i in range(n_files):
-        cond = key >= F.lit(lo + i * width) if i else F.lit(True)
-        if i < n_files - 1:
-            cond = cond & (key < F.lit(lo + (i + 1) * width))
-        part = df.filter(cond)
-        part = part.repartitionByRange(per_drop, order_col) if per_drop > 1 else part.repartition(1)
+        part = staged.where(F.col("__drop") == i).drop("__drop")
+        part = part.repartitionByRange(per_drop, order_col) if order_col and per_drop > 1 else part.repartition(per_drop)
         part.write.mode("append").parquet(folder)
     return per_drop
 
@@ -72,19 +77,23 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str) -> int:
     q = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
     q.awaitTermination()
-    return len(q.recentProgress)
+    return batches_of(q)
 
 
-def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Complete/update-mode stream into an in-memory result table.
+def batches_of(q) -> int:
+    """Micro-batches a query has run, from its last report (older ones are not kept)."""
+    return int(q.lastProgress["batchId"]) + 1 if q.lastProgress else 0
 
-    Only for aggregates over low-cardinality keys: the sink keeps the result
-    rows (one per group) in the driver. Returns the table as a DataFrame.
-    """
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+
+def run_to_state(df: DataFrame, checkpoint: str, mode: str = "update") -> DataFrame:
+    """Run a complete- or update-mode aggregate to its end and read its result from
+    the state store in the checkpoint: the groups stay on the executors and on
+    shared storage, however many there are. Returns the raw state: ``key`` and
+    ``value`` structs (the grouping columns and the aggregates' buffers)."""
+    q = (df.writeStream.format("noop").outputMode(mode)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.format("statestore").load(checkpoint).select("key", "value")
 
 
 def stream_job(spark: SparkSession, source: DataFrame, schema: T.StructType, n_files: int,
@@ -92,8 +101,8 @@ def stream_job(spark: SparkSession, source: DataFrame, schema: T.StructType, n_f
                max_files: int = 1) -> tuple[DataFrame, str]:
     """Feed ``source`` as drop files, return (transformed stream, checkpoint)."""
     folder = shared_path(spark, "stream-in")
-    write_drops(source, folder, n_files, order_col)
-    stream = file_stream(spark, folder, schema, max_files)
+    per_drop = write_drops(source, folder, n_files, order_col)
+    stream = file_stream(spark, folder, schema, max_files * per_drop)
     return transform(stream), shared_path(spark, "stream-ckpt")
 
 

@@ -50,3 +50,10 @@ def test_decode_with_table_keeps_row_count(spark):
     table = spark.createDataFrame([(1, "one"), (3, "three")], "c int, label string")
     out = codes.decode_with_table(facts, "code", table, "c", "label", "lbl", "n/a")
     assert sorted(r.lbl for r in out.collect()) == ["n/a", "one", "three", "three"]
+
+
+def test_decode_with_a_repeated_code_keeps_the_rows(spark):
+    facts = spark.createDataFrame([(1,), (2,), (None,)], "code int")
+    table = spark.createDataFrame([(1, "b"), (1, "a"), (3, "c")], "c int, label string")
+    out = codes.decode_with_table(facts, "code", table, "c", "label", "lbl", "n/a")
+    assert sorted((r.code or 0, r.lbl) for r in out.collect()) == [(0, "n/a"), (1, "a"), (2, "n/a")]

@@ -83,12 +83,15 @@ def test_save_modes(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_write_report_single_file_and_guard(spark, tmp_path):
+def test_write_report_keeps_every_row_in_order(spark, tmp_path):
     path = tmp_path / "rep"
     write_report(spark.range(10).groupBy((F.col("id") % 2).alias("k")).count(), str(path))
     assert len(list(path.glob("part-*.csv"))) == 1
-    with pytest.raises(ValueError):
-        write_report(spark.range(100), str(tmp_path / "big"), max_rows=10)
+    write_report(spark.range(1000), str(tmp_path / "big"), order_by=[F.desc("id")])
+    lines = next((tmp_path / "big").glob("part-*.csv")).read_text().split()
+    assert lines == ["id", *[str(i) for i in range(999, -1, -1)]]
+    write_report(spark.range(1000), str(tmp_path / "many"), order_by=["id"], single_file=False)
+    assert spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 1000
 
 
 def test_format_report(spark, tmp_path):

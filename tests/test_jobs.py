@@ -78,3 +78,24 @@ def test_upsert_removes_partition_left_empty(spark, tmp_path):
     upsert_layer(spark, path, changes, ["k"], [F.desc("seq")], ["part"], schema=base.schema)
     out = sorted(tuple(r) for r in read_layer(spark, path, base.schema).select("k", "part", "v").collect())
     assert out == [(1, "a", 1.0), (2, "a", 3.0)]
+
+
+def test_upsert_with_null_partitions_loses_no_row(spark, tmp_path):
+    base = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (3, None, 3.0), (4, "b", 4.0)],
+                                 "k int, part string, v double")
+    path = str(tmp_path / "layer3")
+    write_layer(base, path, partition_by=["part"])
+    changes = spark.createDataFrame([(2, None, 20.0, 1), (5, None, 50.0, 1), (4, None, 40.0, 1), (1, "b", 10.0, 1)],
+                                    "k int, part string, v double, seq int")
+    upsert_layer(spark, path, changes, ["k"], [F.desc("seq")], ["part"], schema=base.schema)
+    out = sorted(tuple(r) for r in read_layer(spark, path, base.schema).select("k", "part", "v").collect())
+    assert out == [(1, "b", 10.0), (2, None, 20.0), (3, None, 3.0), (4, None, 40.0), (5, None, 50.0)]
+
+
+def test_silver_buckets_are_one_file_for_each_partition_value(spark, sf, tmp_path):
+    from tabflow.jobs import star
+
+    silver = star.build_silver(spark, sf, root=str(tmp_path / "silver"), buckets=4)
+    years = silver["orders"].select("order_year").distinct().count()
+    assert len(list((tmp_path / "silver" / "lineitem").rglob("part-*.parquet"))) <= 4
+    assert len(list((tmp_path / "silver" / "orders").rglob("part-*.parquet"))) <= 4 * years

@@ -64,7 +64,7 @@ def test_shared_path_is_below_checkpoint_root(spark):
 
 def test_shuffle_partition_sizing(spark, sf):
     from tabflow.session import input_bytes, shuffle_partitions_for
-    assert shuffle_partitions_for(100 * 1024 ** 4) == 200_000  # 100 TB, capped
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 409_600  # 100 TB
     assert shuffle_partitions_for(10 * 1024 ** 4) == 40_960
     assert shuffle_partitions_for(1000) == 8
     import os

@@ -45,13 +45,21 @@ def test_skew_safe_ranks_equal_window_ranks_on_a_hot_group(spark):
         return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
     assert same(got, expect)
-    adaptive = ranks_within_groups(rows, ["k"], "v", True, [F.asc("id")], max_group_rows=10)
-    assert same(adaptive, expect)
-    guarded = with_ranks(rows, ["k"], [F.desc("v")], [F.asc("id")], max_group_rows=10, value="v",
-                         descending=True)
-    assert same(guarded, expect)
-    with pytest.raises(ValueError):
-        with_ranks(rows, ["k"], [F.desc("v")], [F.asc("id")], max_group_rows=10)
+    assert same(ranks_within_groups(rows, ["k"], "v", True, [F.asc("id")], spread=True), expect)
+    assert same(ranks_within_groups(rows, ["k"], "v", True, [F.asc("id")]), expect)
+
+
+@pytest.mark.parametrize("partitions", [3, 16])
+def test_skew_safe_ranks_with_payload_columns(spark, partitions):
+    line = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").withColumn("rid", F.monotonically_increasing_id())
+    from tabflow.session import cut_lineage
+
+    line = cut_lineage(line)
+    got = ranks_skew_safe(line, ["l_returnflag"], "l_quantity", True, [F.asc("rid")], partitions=partitions)
+    expect = with_ranks(line, ["l_returnflag"], [F.desc("l_quantity")], [F.asc("rid")]) \
+        .select("rid", *[F.col(c).alias(f"w_{c}") for c in ("row_number", "rank", "dense_rank")])
+    wrong = got.join(expect, "rid").where("row_number <> w_row_number or rank <> w_rank or dense_rank <> w_dense_rank")
+    assert got.count() == line.count() and wrong.count() == 0
 
 
 def test_lag_lead_first_and_last_null(spark):

@@ -49,7 +49,7 @@ IMPL = {
     "W7": "aggregate + top_n_per_group", "W8": "operators.windows.range_window_sum",
     "S1": "orderBy", "S2": "operators.aggregates.top_k", "S3": "orderBy + limit",
     "S4": "distinct", "S5": "operators.sampling.sample_seeded", "S6": "operators.sampling.hash_split",
-    "T1": "streaming.files.file_stream", "T2": "complete-mode aggregate", "T3": "run_to_table / run_to_parquet (availableNow)",
+    "T1": "streaming.files.file_stream", "T2": "complete-mode aggregate", "T3": "run_to_state / run_to_parquet (availableNow)",
     "T4": "streaming.files.write_drops", "T5": "append / update / complete", "T6": "checkpointed restart",
     "T7": "withWatermark + window (event_time / wall_clock)", "T8": "shared batch/stream transform",
     "U1": "functions.udfs.upper_udf", "U2": "native / upper_udf / upper_pandas", "U3": "column ops for map/filter/flatMap",
@@ -64,7 +64,7 @@ IMPL = {
 TESTS = {
     "A2": "test_io", "A3": "test_io::test_inferred_schema_loses_leading_zero", "A4": "test_io::test_gzip_and_latin1",
     "A7": "test_misc_ops::test_several_files_as_one_table_with_merged_schema", "A9": "test_io",
-    "A10": "test_io::test_save_modes", "A11": "test_io::test_write_report_single_file_and_guard",
+    "A10": "test_io::test_save_modes", "A11": "test_io::test_write_report_keeps_every_row_in_order",
     "A13": "test_io::test_partitioned_layer_keeps_declared_partition_type", "A15": "test_misc_ops::test_text_sink",
     "A17": "test_io::test_header_mismatch_fails_loudly, test_jobs", "A18": "test_io::test_format_report",
     "B8": "test_functions", "B9": "test_functions", "B10": "test_functions", "B12": "test_functions",

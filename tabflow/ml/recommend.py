@@ -17,22 +17,29 @@ from tabflow.operators.windows import top_n_per_group
 
 
 def _ids(df: DataFrame, user: str, item: str) -> DataFrame:
-    return df.withColumn("__u", F.col(user).cast("int")).withColumn("__i", F.col(item).cast("int"))
+    """MLlib wants 32-bit ids; one beyond that or a null one is an error, never left out."""
+    for c in (user, item):
+        fits = F.col(c).between(-(1 << 31), (1 << 31) - 1)
+        df = df.withColumn("__u" if c == user else "__i", F.when(fits, F.col(c).cast("int"))
+                           .otherwise(F.raise_error(F.lit(f"{c}: null or beyond 32 bits"))))
+    return df
 
 
 def als_fit(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 8, max_iter: int = 5,
             reg: float = 0.1, seed: int = 42, implicit: bool = False) -> ALSModel:
-    """Fit ALS; ids must fit in int, rows with a null id or rating are dropped."""
-    data = (_ids(ratings, user, item).select("__u", "__i", F.col(rating).cast("float").alias("__r")).na.drop())
+    """Fit ALS on all rows; a null id, rating or an id beyond 32 bits is an error."""
+    value = F.coalesce(F.col(rating).cast("float"), F.raise_error(F.lit(f"{rating}: null")).cast("float"))
+    data = _ids(ratings, user, item).select("__u", "__i", value.alias("__r"))
     als = ALS(userCol="__u", itemCol="__i", ratingCol="__r", rank=rank, maxIter=max_iter, regParam=reg,
-              seed=seed, implicitPrefs=implicit, coldStartStrategy="drop", nonnegative=True)
+              seed=seed, implicitPrefs=implicit, coldStartStrategy="nan", nonnegative=True)
     return als.fit(data)
 
 
 def score_pairs(model: ALSModel, pairs: DataFrame, user: str, item: str) -> DataFrame:
-    """Predicted score of each given (user, item) pair (unknown ids dropped)."""
+    """Predicted score of each given (user, item) pair; null where the model does not
+    know the user or the item, so that every pair comes back."""
     scored = model.transform(_ids(pairs, user, item))
-    return scored.withColumnRenamed("prediction", "score").drop("__u", "__i")
+    return scored.withColumn("score", F.when(~F.isnan("prediction"), F.col("prediction"))).drop("__u", "__i", "prediction")
 
 
 def top_n_scored(model: ALSModel, candidates: DataFrame, user: str, item: str, n: int = 5) -> DataFrame:
@@ -40,5 +47,5 @@ def top_n_scored(model: ALSModel, candidates: DataFrame, user: str, item: str, n
     ``(user, item, score, rank)``; ties broken by item id."""
     scored = score_pairs(model, candidates.select(user, item), user, item)
     top = top_n_per_group(scored.withColumn("score", F.col("score").cast("double")), [user],
-                          [F.desc("score"), F.asc(item)], n)
+                          [F.desc_nulls_last("score"), F.asc(item)], n)
     return top.select(user, F.col(item).cast("bigint").alias(item), "score", "rank")

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 def fit_linear(df: DataFrame, features: Sequence[str], label: str,
                solver: str = "normal") -> PipelineModel:
     """Ordinary least squares. ``normal`` solves the normal equations from one
-    distributed pass of sufficient statistics (feature count is small)."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    distributed pass of sufficient statistics (feature count is small). A null
+    feature or label is an error: drop or fill such rows first, where it shows."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction",
                           solver=solver, regParam=0.0, elasticNetParam=0.0)
     return Pipeline(stages=[assembler, lr]).fit(df.select(*features, label))

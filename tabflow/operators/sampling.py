@@ -14,7 +14,9 @@ def sample_seeded(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 
 def hash_bucket(cols: Sequence[str], buckets: int = 100):
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets))
+    """Bucket 0 to buckets - 1 from the MD5 of the key's text, the same in any engine."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], train_pct: int = 80) -> tuple[DataFrame, DataFrame]:

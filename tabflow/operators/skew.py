@@ -50,3 +50,33 @@ def skew_report(df: DataFrame, keys: Sequence[str], top: int | None = None) -> D
         key_order: list[Column] = [F.col(k).asc() for k in keys]
         out = out.orderBy(F.col("n_rows").desc(), *key_order).limit(top)
     return out
+
+
+def hot_keys(df: DataFrame, key: str, least_share: float) -> list:
+    """Keys that hold at least ``least_share`` of all rows: at most 1 / least_share of them."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = df.count()
+    return [r[key] for r in counts.where(F.col("n") >= least_share * total).select(key).collect()]
+
+
+def largest_share(df: DataFrame, keys: Sequence[str], stage: str) -> DataFrame:
+    """(stage, largest_share): the share of all rows that the largest key holds."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg((F.max("n") / F.sum("n")).alias("largest_share")).select(F.lit(stage).alias("stage"), "largest_share")
+
+
+def salted_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str, spread_by: Column,
+                salts: int = 32, least_share: float = 0.01, how: str = "inner") -> DataFrame:
+    """Join on a skewed key: rows of hot keys (measured, at most 1 / ``least_share``) are
+    dealt over ``salts`` by a hash of ``spread_by``, and the lookup rows of those keys
+    are repeated once per salt. Other keys join as they are. Same rows as the plain join;
+    ``how`` is inner, left or left_semi, which repeat no unmatched lookup row."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"salted_join supports inner, left and left_semi, not {how!r}")
+    hot = hot_keys(facts, left_on, least_share)
+    is_hot = lambda c: F.col(c).isin(hot) if hot else F.lit(False)
+    left = facts.withColumn("__salt", F.when(is_hot(left_on), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0))
+    right = lookup.withColumn("__rsalt", F.explode(
+        F.when(is_hot(right_on), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    joined = left.join(right, (left[left_on] == right[right_on]) & (left["__salt"] == right["__rsalt"]), how)
+    return joined.drop("__salt", "__rsalt")

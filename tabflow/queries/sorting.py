@@ -67,7 +67,7 @@ def distinct_values(spark, sf):
     return tbl(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct()
 
 
-@query("limit_rows", "S3")
+@query("limit_rows", "S3", sql="SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")
 def limit_rows(spark, sf):
     """First 20 orders by key (ordered first, so the rows are not arbitrary)."""
     return tbl(spark, sf, "orders").orderBy("o_orderkey").limit(20)
@@ -78,7 +78,10 @@ def sample_seeded_q(spark, sf):
     return sample_seeded(tbl(spark, sf, "lineitem"), 0.2, seed=42)
 
 
-@query("hash_split", "S6")
+@query("hash_split", "S6", sql="""
+SELECT * FROM lineitem
+WHERE CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8) AS BIGINT) % 100 < 80
+""")
 def hash_split_q(spark, sf):
     """Train side (80 %) of a deterministic hash split of lineitem."""
     train, _ = hash_split(tbl(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 80)

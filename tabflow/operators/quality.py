@@ -8,11 +8,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.functions.columns import in_range
 
-_ORDERABLE = ("string", "integer", "long", "short", "byte", "double", "float",
-              "boolean", "date", "timestamp", "timestamp_ntz", "decimal")
+def _orderable(dtype: T.DataType) -> bool:
+    """Whether Spark can sort the type: all but maps (and what holds one) and variants."""
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -30,7 +36,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Keep one row per key: the first under ``order_by``, then every other
-    orderable column ascending as tie-breaker, so the survivor is the same
+    column ascending as tie-breaker (maps by their JSON text), so the survivor is the same
     under any partitioning or file order.
 
     Planned as ``row_number() = 1``: Spark inserts a partial
@@ -38,8 +44,8 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     one row per key and a hot key never lands whole in one task.
     """
     named = set(keys)
-    ties = [F.col(f.name).asc_nulls_last() for f in df.schema.fields
-            if f.name not in named and f.dataType.typeName() in _ORDERABLE]
+    ties = [(F.col(f.name) if _orderable(f.dataType) else F.to_json(F.struct(f.name))).asc_nulls_last()
+            for f in df.schema.fields if f.name not in named]
     w = Window.partitionBy(*keys).orderBy(*order_by, *ties)
     return (df.withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") == 1).drop("__rn"))

@@ -9,7 +9,6 @@ time from real shuffle sizes, and whose skewed partitions AQE splits.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,23 +27,11 @@ def _row_width(df: DataFrame) -> int:
     return max(width, 8)
 
 
-_UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 ** 4, "PiB": 1024 ** 5,
-          "EiB": 1024 ** 6}
-
-
 def estimated_bytes(df: DataFrame) -> float | None:
-    """Catalyst's size estimate of ``df`` (from file sizes, no job run), as
-    shown by ``explain("cost")``. None when there is no real estimate: no
-    statistics printed, or Catalyst's stand-in for unknown sizes
+    """Catalyst's size estimate of ``df`` (from file sizes, no job run). None when there
+    is no real estimate: Catalyst's stand-in for unknown sizes
     (``spark.sql.defaultSizeInBytes``, e.g. data that came from an RDD)."""
-    from tabflow.plans.explain import explain_text
-
-    text = explain_text(df, "cost")
-    opt = text.split("== Optimized Logical Plan ==")[-1]
-    m = re.search(r"Statistics\(sizeInBytes=([0-9.E+]+)\s*([KMGTPE]?i?B)", opt)
-    if not m:
-        return None
-    est = float(m.group(1)) * _UNITS.get(m.group(2), 1)
+    est = float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     unknown = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
     unknown_bytes = float(unknown) if unknown and unknown.isdigit() else float(2 ** 63 - 1)
     return None if est >= 0.5 * unknown_bytes else est

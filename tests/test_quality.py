@@ -64,3 +64,14 @@ def test_orphans(spark):
     facts = spark.createDataFrame([(1,), (2,), (2,), (5,)], "k int")
     lookup = spark.createDataFrame([(1,), (2,), (2,)], "id int")
     assert _rows(orphans(facts, lookup, "k", "id")) == [(5,)]
+
+
+def test_dedupe_breaks_ties_on_arrays_binary_and_maps(spark):
+    from tabflow.operators.quality import dedupe_by_key
+
+    rows = [(1, [3, 1], bytearray(b"b"), {"x": 2}), (1, [2, 9], bytearray(b"c"), {"x": 1}), (1, [2, 9], bytearray(b"a"), {"x": 3}),
+            (1, [2, 9], bytearray(b"a"), {"x": 2})]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k int, a array<int>, b binary, m map<string,int>").repartition(3)
+        got = dedupe_by_key(df, ["k"], []).collect()
+        assert [(r.a, bytes(r.b), r.m) for r in got] == [([2, 9], b"a", {"x": 2})]

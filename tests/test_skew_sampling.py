@@ -28,3 +28,24 @@ def test_hash_split_disjoint_complete_and_stable(spark):
     train2, _ = hash_split(df.repartition(5), ["id", "k2"], 80)
     assert train.exceptAll(train2).count() == 0
     assert 7500 < train.count() < 8500
+
+
+def test_salted_join_equals_the_plain_join(spark):
+    from tabflow.operators.skew import hot_keys, salted_join
+
+    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None)
+                                     .otherwise(F.col("id") % 40).alias("k"), F.col("id"))
+    lookup = spark.createDataFrame([(i, f"n{i}") for i in range(0, 60, 2)] + [(None, "null"), (0, "again")], "code long, name string")
+    assert hot_keys(facts, "k", 0.1) == [0]
+    for how in ("inner", "left", "left_semi"):
+        got = salted_join(facts, lookup, "k", "code", F.col("id"), salts=4, least_share=0.1, how=how)
+        want = facts.join(lookup, facts["k"] == lookup["code"], how)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_pivot_counts_with_other_leaves_no_row_out(spark):
+    from tabflow.operators.aggregates import pivot_counts
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "c")], "k int, v string")
+    out = {r.k: (r.a, r.rest) for r in pivot_counts(df, ["k"], "v", ["a"], other="rest").collect()}
+    assert out == {1: (1, 2), 2: (0, 1)}

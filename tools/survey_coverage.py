@@ -18,7 +18,7 @@ IMPL = {
     "A1": "sources.tables.table", "A2": "sources.files.read_delimited", "A3": "sources.files.read_csv_inferred",
     "A4": "sources.files.read_delimited(partitions=)", "A5": "sources.files.read_json",
     "A6": "select after scan (Catalyst pruning)", "A7": "sources.files.read_layer(paths, merge_schema=True)",
-    "A8": "F.from_json / get_json_object / parse_json+variant_get", "A9": "sources.files.write_layer",
+    "A8": "F.from_json / get_json_object / parse_json+variant_get; nested feed: declared StructType, explode, join", "A9": "sources.files.write_layer",
     "A10": "sources.files.write_layer(mode=)", "A11": "sources.files.write_report",
     "A12": "DataFrameWriter.csv", "A13": "sources.files.read_layer(schema)", "A14": "table-derived column ops",
     "A15": "sources.files.write_text", "A16": "sources.tables.register_views", "A17": "schemas.ACCIDENT_TABLES + header check",
@@ -37,7 +37,7 @@ IMPL = {
     "D7": "lookup_join(strategy='broadcast') after bounded()", "D8": "lookup_join(strategy='merge')",
     "D9": "spark.sql over views", "D10": "aggregate -> join -> aggregate",
     "D11": "queries.streams.segment_totals (stream x static)", "D12": "operators.aggregates.pivot_counts / pivot",
-    "D13": "operators.skew.salted_agg / skew_report, operators.ranking.ranks_skew_safe",
+    "D13": "operators.skew.salted_agg / salted_join / skew_report, operators.ranking.ranks_skew_safe",
     "G1": "agg", "G2": "operators.aggregates.count_by", "G3": "operators.aggregates.group_stats",
     "G4": "countDistinct", "G5": "two-key count + order", "G6": "groupBy(hour) + SQL twin",
     "G7": "operators.windows.daily_series", "G8": "percentile_approx (median_by)", "G9": "group_stats(having=) + top_k",

@@ -18,7 +18,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SKETCHES, SKETCH_SIZE = 4, 2
 _SEEDS = mix(np.arange(1, SKETCHES * SKETCH_SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-PAIR_BLOCK = 1 << 20
+PAIR_BLOCK = 1 << 18
 
 
 def shingles(data: bytes | None, k: int) -> np.ndarray:
@@ -45,13 +45,13 @@ def prefix_size(n, num: int, den: int):
     return n - (n * num + den - 1) // den + 1
 
 
-def _frequent(docs: DataFrame, k: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams of at least about ``share`` of all documents, and their rank by count.
+def _frequent(docs: DataFrame, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of most documents, and their rank by count: about ``most`` of them.
 
-    Each block of rows counts all its n-grams and sends those of a ``share`` of its
-    documents (two at least); an n-gram of that share of the corpus has it in some
-    block. Kept are sums of half the share or more: at most 2 / share times the average
-    set size, whatever the corpus. The list only orders n-grams; results don't depend on it."""
+    Each block of rows counts all its n-grams and sends those of two documents or more;
+    sums over the corpus decide, and a histogram of the sums sets the least count that
+    keeps to ``most``, which bounds the list. It only orders n-grams, so that those of
+    shared passages come last: the result is the same for any list."""
 
     def count(batches):
         for b in batches:
@@ -59,19 +59,21 @@ def _frequent(docs: DataFrame, k: int, share: float) -> tuple[np.ndarray, np.nda
             every = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
             cut = starts_of(every)
             c = np.diff(cut)
-            often = np.flatnonzero(c >= max(2, share * b.num_rows))
-            yield pa.record_batch([pa.array(every[cut[:-1][often]].view(np.int64)), pa.array(c[often].astype(np.int64)),
-                                   pa.array(np.zeros(len(often), np.int64))], ["h", "c", "docs"])
-            yield pa.record_batch([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([b.num_rows], pa.int64())],
-                                  ["h", "c", "docs"])
-
-    counted = written(docs.select("text").mapInArrow(count, "h long, c long, docs long")
-                      .groupBy("h").agg(F.sum("c").alias("c"), F.sum("docs").alias("docs")), "frequent")
-    total = counted.agg(F.sum("docs")).first()[0] or 0
-    rows = counted.where(F.col("c") >= max(2, share * total / 2)).select("h", "c").toArrow()
+            often = np.flatnonzero(c > 1)
+            yield pa.record_batch([pa.array(every[cut[:-1][often]].view(np.int64)), pa.array(c[often].astype(np.int64))], ["h", "c"])
+
+    counted = written(docs.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
+    # counts by their leading binary digits: a few hundred rows, however many n-grams
+    level = F.floor(F.log2("c") * 8).cast("int")
+    room, least = most, 1 << 30
+    for r in counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("level").desc()).collect():
+        if r["n"] > room:
+            break
+        room, least = room - r["n"], r["level"]
+    rows = counted.where(level >= least).toArrow()
     h, c = rows["h"].to_numpy().view(np.uint64), rows["c"].to_numpy()
     order = np.argsort(h)
-    rank = np.empty(len(h), np.int64)
+    rank = np.empty(len(h), np.int32)
     rank[np.lexsort((h, c))] = np.arange(len(h))
     return h[order], rank[order]
 
@@ -170,12 +172,13 @@ def _product(groups, num: int, den: int):
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (x, y) whose whole sets reach the bound. Texts are read again only for
     the documents in question, set by set."""
+    at_once = 256
     asked = written(pairs.select("x").union(pairs.select("y")).distinct().withColumnRenamed("x", "rid")
                     .join(reps.select("rid", "doc_id"), "rid").select("doc_id", "rid"), "asked")
     marks = bitmap(asked, "doc_id")
 
     def whole(batches):
-        for b in batches:
+        for b in (b.slice(at, at_once) for b in batches for at in range(0, b.num_rows, at_once)):
             sets = [shingles(t, k) for t in texts(b.column("text"))]
             yield pa.record_batch([pa.array([digest(s)[0] for s in sets], pa.int64()),
                                    pa.array([s.tobytes() for s in sets], pa.binary())], ["rid", "s"])
@@ -187,7 +190,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: i
         .join(sets.select(F.col("rid").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
 
     def check(batches):
-        for b in batches:
+        for b in (b.slice(at, at_once) for b in batches for at in range(0, b.num_rows, at_once)):
             good = []
             for sx, sy in zip(b.column("sx"), b.column("sy")):
                 a, c = np.frombuffer(sx.as_buffer(), np.uint64), np.frombuffer(sy.as_buffer(), np.uint64)
@@ -201,7 +204,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: i
     return written(both.mapInArrow(check, "x long, y long"), "verified")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, frequent_share: float = 0.001,
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, frequent: int = 1 << 19,
                     id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row: documents link when
     den * |intersection| >= num * |union| of their distinct ``k``-word shingles, and a
@@ -221,7 +224,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     each. Other columns are ignored; an empty table gives no rows."""
     every = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = every.where(F.col("doc_id").isNotNull())
-    sketched = written(_sketched(rows, k, num, den, _frequent(rows, k, frequent_share)), "sketched")
+    sketched = written(_sketched(rows, k, num, den, _frequent(rows, k, frequent)), "sketched")
     nodes = sketched.where("n > 0").groupBy("rid", "check", "n").agg(
         F.min(F.struct("doc_id", "prefix", "sketches")).alias("m"))
     nodes = written(nodes.select("rid", "n", "m.doc_id", "m.prefix", "m.sketches"), "nodes")

@@ -33,8 +33,8 @@ for _c, _i in _CODE.items():
     _TABLE[ord(_c)] = _i
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
-_TOKEN = re.compile(
-    rf"\S*(?:[^\W\d_][{_SIGNS}._\-]+[^\W\d_]|[^\W\d_][0-9@$+|€*]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1)\S*")
+_DISGUISED = re.compile(
+    rf"[^\W\d_][{_SIGNS}._\-]+[^\W\d_]|[^\W\d_][0-9@$+|€*]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]{1,2}){2,}\w(?!\S)")
 _EDGE = ".,;:?!\"'()[]{}<>-_#%&~^`/\\=*"
 KNOWN_TOKENS = 100_000
@@ -148,7 +148,7 @@ class Restorer:
             return set()
         low = text.lower()
         found = set(_WORD.findall(low))
-        for token in {m.group().strip(_EDGE) for m in _TOKEN.finditer(low)}:
+        for token in {t.strip(_EDGE) for t in set(low.split()) if _DISGUISED.search(t)}:
             found.update(self.one(token))
             found.update(self.one(token.lstrip("".join(LEET))))
         for m in _SPACED.finditer(low):

@@ -18,7 +18,8 @@ from tabflow.llm.common import bitmap, by_key, grams, in_bitmap, starts_of, text
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ANCHOR = 6
-SHARD_SEGMENTS = 16384
+SHARD_SEGMENTS = 256
+GROUP = 512
 
 
 def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -34,11 +35,18 @@ def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray,
     return phrases[at[cut[:-1]]], cut[:-1], cut[1:]
 
 
+def parts(batches):
+    """Record batches of at most GROUP rows, so that a task works on few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, GROUP):
+            yield b.slice(at, GROUP)
+
+
 def _anchor_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
     """(h, tk): the anchors of each text, each once."""
 
     def scan(batches):
-        for b in batches:
+        for b in parts(batches):
             own, key = [], []
             for t, tk in zip(texts(b.column("text")), b.column("tk").to_pylist()):
                 h = np.unique(anchors(words(t)[2], window, k)[0]) if t else np.empty(0, np.uint64)
@@ -60,7 +68,7 @@ def _segments(docs: DataFrame, window: int, k: int, marks, with_text: bool) -> D
         from xxhash import xxh64_intdigest
 
         marks = held.value
-        for b in batches:
+        for b in parts(batches):
             seen: dict[tuple, list] = {}
             rows: list[list] = [[], [], [], [], []]
             for t, doc, tk in zip(texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("tk").to_pylist()):
@@ -99,15 +107,14 @@ def _segments(docs: DataFrame, window: int, k: int, marks, with_text: bool) -> D
 def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
     """Windows of the segments that recur: (segment, window in it, first document).
 
-    Window hashes name the candidates: those with more than one document. Their texts,
-    from their first document, make an Aho-Corasick automaton, and every segment is
-    streamed through it, so what is reported is equal word for word."""
+    Window hashes name the candidates: those with more than one document. Their words,
+    from their first document, make an Aho-Corasick automaton over words, and every
+    segment is streamed through it, so what is reported is equal word for word."""
     none = np.empty(0, np.int64)
-    hay = b" " + b" \n ".join(segments) + b" "
-    begin, end, h = words(hay)
-    raw = np.frombuffer(hay, np.uint8)
-    size = np.fromiter((s.count(b" ") + 1 for s in segments), np.int64, len(segments))
+    split = [s.split(b" ") for s in segments]
+    size = np.fromiter(map(len, split), np.int64, len(split))
     seg = np.repeat(np.arange(len(segments)), size)
+    _, _, h = words(b" ".join(segments))
     w = grams(h, window)
     inside = np.flatnonzero(seg[:len(w)] == seg[window - 1:]) if len(w) else none
     if not len(inside):
@@ -119,19 +126,17 @@ def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
     again = np.flatnonzero(owner < last)
     if not len(again):
         return none, none, none
-    automaton = ahocorasick.Automaton()
-    length = np.empty(len(again), np.int64)
-    text = hay.decode()
-    point = np.cumsum((raw & 0xC0) != 0x80) - 1  # code point of each byte
-    cb, ce = point[begin], point[end - 1] + 1
+    number: dict[bytes, int] = {}
+    ids = [number.setdefault(x, len(number) + 1) for p in split for x in p]
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for n, i in enumerate(head[again].tolist()):
-        pattern = text[cb[i] - 1:ce[i + window - 1] + 1]
-        length[n] = len(pattern)
-        automaton.add_word(pattern, n)
+        automaton.add_word(tuple(ids[i:i + window]), n)
     automaton.make_automaton()
-    found = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
-    word = np.searchsorted(cb, found[:, 0] - length[found[:, 1]] + 2)
+    found = np.array(list(automaton.iter(tuple(ids))), np.int64).reshape(-1, 2)
+    word = found[:, 0] - window + 1
     s = seg[word]
+    own = s == seg[found[:, 0]]  # a match may not run from one segment into the next
+    s, word, found = s[own], word[own], found[own]
     return s, word - np.searchsorted(seg, s), owner[again[found[:, 1]]]
 
 
@@ -220,18 +225,16 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
     touched = bitmap(change, "doc_id")
 
     def rewrite(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                n_words, n_gone, left = [], [], []
-                for t, cut, copy in zip(texts(part.column("text")), part.column("cuts").to_pylist(), part.column("copy").to_pylist()):
-                    n, gone, kept = without(t, cut, copy, window)
-                    n_words.append(n)
-                    n_gone.append(gone)
-                    left.append((t if layout and not gone else kept).decode() if t is not None or not layout else None)
-                yield pa.record_batch([part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()),
-                                       pa.array(left, pa.string()), *[part.column(m) for m in more]],
-                                      ["doc_id", "n_words", "n_removed", "kept", *more])
+        for part in parts(batches):
+            n_words, n_gone, left = [], [], []
+            for t, cut, copy in zip(texts(part.column("text")), part.column("cuts").to_pylist(), part.column("copy").to_pylist()):
+                n, gone, kept = without(t, cut, copy, window)
+                n_words.append(n)
+                n_gone.append(gone)
+                left.append((t if layout and not gone else kept).decode() if t is not None or not layout else None)
+            yield pa.record_batch([part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()),
+                                   pa.array(left, pa.string()), *[part.column(m) for m in more]],
+                                  ["doc_id", "n_words", "n_removed", "kept", *more])
 
     maybe = in_bitmap(rows, "doc_id", touched)
     rest = in_bitmap(rows, "doc_id", ~touched).unionByName(every.where(F.col("doc_id").isNull() | F.col("text").isNull()))

@@ -4,6 +4,7 @@ a bounded key bitmap and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
 import numpy as np
@@ -32,6 +33,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+GROUP = 512
+
+
+def parts(batches, rows: int = GROUP):
+    """Record batches of at most ``rows`` rows, so that a task works on few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def lean(fn):
+    """``fn`` over batches, giving freed memory back when its task ends: a worker process
+    serves many stages and would else keep the largest one's memory."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def running(df: DataFrame, group: list[str], order: list[str], value: str | None = None,
             buckets: int = 256, name: str = "running") -> DataFrame:
     """Adds ``before``: the sum of ``value`` (rows, if None) over the rows of the same
@@ -112,7 +139,7 @@ def by_key(df: DataFrame, keys: list[str], sort: list[str], fn, schema: str) ->
     ``keys`` and sorted by ``keys`` and ``sort``. The sort spills; only whole groups
     of one Arrow batch and the group that spans into the next are in memory."""
     return (df.repartition(*keys).sortWithinPartitions(*keys, *sort)
-            .mapInArrow(lambda it: fn(keyed(it, keys)), schema))
+            .mapInArrow(lean(lambda it: fn(keyed(it, keys))), schema))
 
 
 # --- words and shingles -------------------------------------------------------
@@ -210,11 +237,31 @@ def in_bitmap(df: DataFrame, column: str, marks: np.ndarray) -> DataFrame:
             hit = (marks[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
             yield b.filter(pa.array(hit.astype(bool))).select(names)
 
-    return slotted.mapInArrow(keep, df.schema)
+    return slotted.mapInArrow(lean(keep), df.schema)
 
 
 # --- connected components -----------------------------------------------------
 
+def forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Edges (node, root) with the same connectivity as the pairs (i, j)."""
+    nodes, flat = np.unique(np.concatenate([i, j]), return_inverse=True)
+    a, b = flat[:len(i)], flat[len(i):]
+    root = np.arange(len(nodes))
+    while True:
+        low = root.copy()
+        np.minimum.at(low, root[a], root[b])
+        np.minimum.at(low, root[b], root[a])
+        low = low[low]
+        while not np.array_equal(low, low[low]):
+            low = low[low]
+        new = low[root]
+        if np.array_equal(new, root):
+            break
+        root = new
+    away = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.column_stack([nodes[away], nodes[root[away]]])
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge.
 

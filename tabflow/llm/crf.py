@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import mix, starts_of, written
+from tabflow.llm.common import lean, mix, parts, starts_of, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, per_label: int = 250, stretches: int = 6, stretch: int
                                    pa.array(runs, pa.binary()), pa.array(words_, pa.int32())], ["doc_id", "y", "part", "run", "n"])
 
     sample = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")) \
-        .mapInArrow(cut, "doc_id long, y string, part int, run binary, n int")
+        .mapInArrow(lean(cut), "doc_id long, y string, part int, run binary, n int")
     runs = sorted((r["doc_id"], r["part"], bytes(r["run"]), r["n"], names.index(r["y"])) for r in sample.collect())
     rng = np.random.default_rng(seed)
     chains = []
@@ -230,9 +230,8 @@ def languages(docs: DataFrame, learn: DataFrame, id_column: str = "doc_id", text
 
     def label(batches):
         model = held.value
-        for b in batches:
-            for at in range(0, b.num_rows, group):
-                part = b.slice(at, group)
+        for part in parts(batches, group):
+            if part.num_rows:
                 low = pc.utf8_lower(pc.fill_null(part.column("text"), "")).to_pylist()
                 raw = [t.encode() for t in low]
                 limits = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
@@ -248,4 +247,4 @@ def languages(docs: DataFrame, learn: DataFrame, id_column: str = "doc_id", text
                 yield pa.record_batch([part.column("doc_id"), pa.array(best), pa.array(value)], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(label, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(lean(label), "doc_id long, lang_pred string, score double")

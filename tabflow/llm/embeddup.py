@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import by_key, components, mix, starts_of, written
+from tabflow.llm.common import by_key, components, forest, lean, mix, starts_of, written
 from tabflow.llm.vptree import _vectors, dots, usable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,26 +90,6 @@ def compare(groups, least: float):
             pa.array(np.concatenate([rid[hit], rid[e[:, 1]]]))], ["rid", "links", "kind", "other"])
 
 
-def forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Edges (node, root) with the same connectivity as the pairs (i, j)."""
-    nodes, flat = np.unique(np.concatenate([i, j]), return_inverse=True)
-    a, b = flat[:len(i)], flat[len(i):]
-    root = np.arange(len(nodes))
-    while True:
-        low = root.copy()
-        np.minimum.at(low, root[a], root[b])
-        np.minimum.at(low, root[b], root[a])
-        low = low[low]
-        while not np.array_equal(low, low[low]):
-            low = low[low]
-        new = low[root]
-        if np.array_equal(new, root):
-            break
-        root = new
-    away = np.flatnonzero(root != np.arange(len(nodes)))
-    return np.column_stack([nodes[away], nodes[root[away]]])
-
-
 def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = 16, hashes: int = 10, width: float = 1.5,
                     block: int = 1024, seed: int = 11, id_column: str = "vec_id", vector: str = "embedding",
                     label: str = "label") -> DataFrame:
@@ -145,7 +125,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = 16, h
                     out[i] = k.tolist()
             yield pa.record_batch([*b.columns, pa.array(out, pa.list_(pa.int32()))], [*b.schema.names, "keys"])
 
-    reps = written(groups.mapInArrow(hashed, "label string, v array<double>, weight long, rid long, keys array<int>"), "vectors")
+    reps = written(groups.mapInArrow(lean(hashed), "label string, v array<double>, weight long, rid long, keys array<int>"), "vectors")
     whole = reps.select("label", "v", "rid")
     reps = reps.withColumn("label", F.concat_ws(":", F.size("v").cast("string"), "label"))
     keyed_ = reps.select("label", "rid", F.posexplode("keys").alias("tab", "bucket"))

@@ -10,13 +10,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import (bitmap, by_key, components, grams, in_bitmap, mix, starts_of, texts, words,
-                                written)
+from tabflow.llm.common import (bitmap, by_key, components, forest, grams, in_bitmap, lean, mix, parts, starts_of,
+                                texts, words, written)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SKETCHES, SKETCH_SIZE = 4, 2
+SKETCHES, SKETCH_SIZE = 6, 2
+BLOCK = 256
 _SEEDS = mix(np.arange(1, SKETCHES * SKETCH_SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 PAIR_BLOCK = 1 << 18
 
@@ -62,7 +63,7 @@ def _frequent(docs: DataFrame, k: int, most: int) -> tuple[np.ndarray, np.ndarra
             often = np.flatnonzero(c > 1)
             yield pa.record_batch([pa.array(every[cut[:-1][often]].view(np.int64)), pa.array(c[often].astype(np.int64))], ["h", "c"])
 
-    counted = written(docs.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
+    counted = written(docs.select("text").mapInArrow(lean(count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
     # counts by their leading binary digits: a few hundred rows, however many n-grams
     level = F.floor(F.log2("c") * 8).cast("int")
     room, least = most, 1 << 30
@@ -85,7 +86,7 @@ def _sketched(docs: DataFrame, k: int, num: int, den: int, frequent) -> DataFram
 
     def sketch(batches):
         often, rank = held.value
-        for b in batches:
+        for b in parts(batches):
             rows: list[list] = [[] for _ in range(5)]
             for t in texts(b.column("text")):
                 s = shingles(t, k)
@@ -101,36 +102,37 @@ def _sketched(docs: DataFrame, k: int, num: int, den: int, frequent) -> DataFram
                         key = np.array([j + 1], np.uint64)
                         for m in low[j * SKETCH_SIZE:(j + 1) * SKETCH_SIZE]:
                             key = mix(key * np.uint64(31) + m)
-                        keys.append(int(key.view(np.int64)[0]))
+                        keys.append(1 + int(key[0] % np.uint64(0x7FFFFFFE)))
                 a, c = digest(s)
                 for col, v in zip(rows, (len(s), a, c, first.tobytes(), keys)):
                     col.append(v)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
             yield pa.record_batch([b.column("doc_id"), *[pa.array(c, t) for c, t in zip(rows, types)]],
                                   ["doc_id", "n", "rid", "check", "prefix", "sketches"])
 
-    return docs.mapInArrow(sketch, "doc_id long, n long, rid long, check long, prefix binary, sketches array<long>")
+    return docs.mapInArrow(lean(sketch), "doc_id long, n long, rid long, check long, prefix binary, sketches array<int>")
 
 
 def _columns(prefixes: DataFrame) -> DataFrame:
-    """(h, rid, n, comp): the prefix part of the incidence matrix, a row per entry."""
+    """(h, rid, n, comp, sketches): the prefix part of the incidence matrix, a row per entry."""
+    more = [f"k{j}" for j in range(SKETCHES)]
 
     def entries(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for part in parts([b], 256):
                 h = [np.frombuffer(p, np.int64) for p in part.column("prefix").to_pylist()]
                 size = [len(x) for x in h]
                 yield pa.record_batch(
-                    [pa.array(np.concatenate(h)), *[pa.array(np.repeat(part.column(c).to_numpy(), size)) for c in ("rid", "n", "comp")]],
-                    ["h", "rid", "n", "comp"])
+                    [pa.array(np.concatenate(h)), *[pa.array(np.repeat(part.column(c).to_numpy(), size)) for c in ("rid", "n", "comp", *more)]],
+                    ["h", "rid", "n", "comp", *more])
 
-    return prefixes.mapInArrow(entries, "h long, rid long, n long, comp long")
+    return prefixes.mapInArrow(lean(entries), "h long, rid long, n long, comp long, " + ", ".join(f"{m} int" for m in more))
 
 
 def _product(groups, num: int, den: int):
     """The product of the block's columns with themselves: overlap counts of the pairs
-    of different components whose sizes allow the bound, summed within the block.
+    of different components whose sizes allow the bound, summed within the block. Pairs
+    that agree in a sketch are left out, as their whole sets have been compared.
 
     Columns are sorted by size, so the partners of a row end at the first that is
     too large; step d pairs every row with the one d places on, for all columns at once."""
@@ -148,6 +150,7 @@ def _product(groups, num: int, den: int):
 
     for t in groups:
         h, rid, n, comp = (t.column(c).to_numpy() for c in ("h", "rid", "n", "comp"))
+        keys = [t.column(f"k{j}").to_numpy() for j in range(SKETCHES)]
         row = np.flatnonzero(h[1:] == h[:-1])
         d = 1
         while len(row):
@@ -157,6 +160,8 @@ def _product(groups, num: int, den: int):
             fits = (h[row] == h[other]) & (n[row] * den >= n[other] * num)
             row, other = row[fits], other[fits]
             new = comp[row] != comp[other]
+            for k in keys:
+                new &= (k[row] != k[other]) | (k[row] == 0)
             if new.any():
                 i, j = row[new], other[new]
                 held.append(np.column_stack([rid[i], rid[j], np.ones(len(i), np.int64), n[i], n[j]]))
@@ -169,28 +174,30 @@ def _product(groups, num: int, den: int):
         yield flush()
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets reach the bound. Texts are read again only for
-    the documents in question, set by set."""
-    at_once = 256
-    asked = written(pairs.select("x").union(pairs.select("y")).distinct().withColumnRenamed("x", "rid")
-                    .join(reps.select("rid", "doc_id"), "rid").select("doc_id", "rid"), "asked")
+def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(rid, s): the whole sets of the nodes in ``asked``. Texts are read again, and only
+    those that may be of such a node are shuffled."""
+    asked = written(asked.select("rid").distinct().join(nodes.select("rid", "doc_id"), "rid"), "asked")
     marks = bitmap(asked, "doc_id")
 
     def whole(batches):
-        for b in (b.slice(at, at_once) for b in batches for at in range(0, b.num_rows, at_once)):
+        for b in parts(batches, 256):
             sets = [shingles(t, k) for t in texts(b.column("text"))]
             yield pa.record_batch([pa.array([digest(s)[0] for s in sets], pa.int64()),
                                    pa.array([s.tobytes() for s in sets], pa.binary())], ["rid", "s"])
 
     sets = in_bitmap(docs, "doc_id", marks).join(asked.select("doc_id").distinct(), "doc_id", "left_semi") \
-        .select("text").mapInArrow(whole, "rid long, s binary")
-    sets = written(sets.join(asked.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"]), "sets")
+        .select("text").mapInArrow(lean(whole), "rid long, s binary")
+    return written(sets.join(asked.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"]), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (x, y) whose whole sets reach the bound."""
     both = pairs.join(sets.select(F.col("rid").alias("x"), F.col("s").alias("sx")), "x") \
         .join(sets.select(F.col("rid").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
 
     def check(batches):
-        for b in (b.slice(at, at_once) for b in batches for at in range(0, b.num_rows, at_once)):
+        for b in parts(batches, 256):
             good = []
             for sx, sy in zip(b.column("sx"), b.column("sy")):
                 a, c = np.frombuffer(sx.as_buffer(), np.uint64), np.frombuffer(sy.as_buffer(), np.uint64)
@@ -201,7 +208,55 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, num: i
                 good.append(same * den >= num * (len(a) + len(c) - same))
             yield b.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
 
-    return written(both.mapInArrow(check, "x long, y long"), "verified")
+    return written(both.mapInArrow(lean(check), "x long, y long"), "verified")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Sizes of all intersections of the sets of two blocks: the product of their
+    incidence matrices, ``width`` columns at a time, over columns that both blocks have."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+    cells = []
+    for sets, flat in ((left, a), (right, b)):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        col = np.searchsorted(both, flat)
+        hit = np.flatnonzero(both[np.minimum(col, len(both) - 1)] == flat) if len(both) else col[:0]
+        order = hit[np.argsort(col[hit], kind="stable")]
+        cells.append((row[order], col[order]))
+    for at in range(0, len(both), width):
+        blocks = []
+        for (row, col), sets in zip(cells, (left, right)):
+            part = slice(*np.searchsorted(col, (at, at + width)))
+            m = np.zeros((len(sets), min(width, len(both) - at)), np.float32)
+            m[row[part], col[part] - at] = 1
+            blocks.append(m)
+        out += blocks[0] @ blocks[1].T
+    return out
+
+
+def _block_pairs(groups, num: int, den: int):
+    """A forest of the links between the two sides of each pair of blocks."""
+    for t in groups:
+        key = [t.column(c).to_numpy() for c in ("tab", "sketch", "lo", "hi")]
+        rid, comp, side = (t.column(c).to_numpy() for c in ("rid", "comp", "side"))
+        s = t.column("s")
+        edges = []
+        cut = starts_of(*key)
+        for a, b in zip(cut[:-1], cut[1:]):
+            rows = np.arange(a, b)
+            left, right = rows[side[a:b] == 0], rows[side[a:b] == 1]
+            if not len(left) or not len(right):
+                continue
+            sets = [[np.frombuffer(s[int(i)].as_buffer(), np.uint64) for i in part] for part in (left, right)]
+            same = overlaps(*sets)
+            size = [np.array([len(x) for x in part]) for part in sets]
+            union = size[0][:, None] + size[1][None] - same
+            i, j = np.nonzero((same * den >= num * union) & (comp[left][:, None] != comp[right][None]))
+            if len(i):
+                edges.append(rid[forest(left[i], right[j])])
+        e = np.concatenate(edges) if edges else np.empty((0, 2), np.int64)
+        yield pa.record_batch([pa.array(e[:, 0]), pa.array(e[:, 1])], ["x", "y"])
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, frequent: int = 1 << 19,
@@ -210,14 +265,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     den * |intersection| >= num * |union| of their distinct ``k``-word shingles, and a
     component is named by its smallest doc_id.
 
-    1. Equal sets are one node. 2. Nodes that agree in a min-hash sketch are checked
-    against the smallest node of that sketch, so a large group of near copies is
-    one component before any pair is formed. 3. The product of the incidence matrix's
-    prefix columns counts overlaps between nodes of different components, block by block
-    and then summed; a pair goes when what it can still share stays below the bound its
-    two sizes set. 4. The pairs left are checked on whole sets. By the prefix bound, every
-    pair of different components that links is formed in 3, so no link between
-    components is lost; frequent n-grams come last in the order, so common lines form no pairs.
+    1. Equal sets are one node. 2. Nodes that agree in a min-hash sketch are a group. Each
+    is checked against the group's most typical node, so that tight groups of near copies
+    become components by as many checks as nodes; the others are compared with the whole
+    group in pairs of blocks, where a product of incidence matrices gives all overlaps
+    and a forest of links leaves. 3. The product of the incidence matrix's prefix
+    columns counts overlaps between nodes of different components that no sketch has
+    brought together, block by block and then summed; a pair goes when what it can still
+    share stays below the bound its two sizes set. 4. The pairs left are checked on
+    whole sets. By the prefix bound every link is between nodes of one component, of one
+    sketch or of one prefix column, so none is lost; frequent n-grams come last in the
+    order, so common lines form no pairs.
 
     A text that is null, empty or without words has no shingles and links with nothing. A
     null doc_id has component null. Repeated rows, and rows that repeat an id, are documents
@@ -229,23 +287,50 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
         F.min(F.struct("doc_id", "prefix", "sketches")).alias("m"))
     nodes = written(nodes.select("rid", "n", "m.doc_id", "m.prefix", "m.sketches"), "nodes")
 
-    stars = nodes.select("rid", "n", F.explode("sketches").alias("sketch"))
-    least = stars.groupBy("sketch").agg(F.min(F.struct("rid", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = stars.join(least, "sketch").where("rid <> c.rid and n * {0} <= c.n * {1} and c.n * {0} <= n * {1}".format(num, den)) \
-        .select(F.col("c.rid").alias("x"), F.col("rid").alias("y")).distinct()
-    first = _verified(pairs, nodes, rows, k, num, den)
-    label = components(first, "x", "y")
-
-    prefixes = nodes.join(label.withColumnRenamed("node", "rid"), "rid", "left") \
-        .select("rid", "n", "prefix", F.coalesce("component", "rid").alias("comp"))
-    parts = by_key(_columns(prefixes), ["h"], ["n", "rid"], lambda g: _product(g, num, den),
+    member = nodes.select("rid", "n", F.posexplode("sketches").alias("tab", "sketch"))
+    shared = written(member.groupBy("tab", "sketch").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "sketches")
+    member = written(member.join(shared, ["tab", "sketch"]), "members")
+    sets = _sets(member, nodes, rows, k)
+
+    # the most typical node of a group is the one whose sketches most nodes share
+    typical = member.groupBy("rid").agg(F.sum("m").alias("shared"))
+    center = member.join(typical, "rid").groupBy("tab", "sketch").agg(F.max_by(F.struct("rid", "n"), F.struct("shared", "rid")).alias("c"))
+    stars = member.join(center, ["tab", "sketch"]).where(f"rid <> c.rid and n * {num} <= c.n * {den} and c.n * {num} <= n * {den}")
+    first = _verified(stars.select(F.col("c.rid").alias("x"), F.col("rid").alias("y")).distinct(), sets, num, den)
+    label = components(first, "x", "y").withColumnRenamed("node", "rid")
+
+    # nodes outside the component of their group's typical node against the whole group
+    placed = member.join(label, "rid", "left").select("tab", "sketch", "m", "rid", F.coalesce("component", "rid").alias("comp"))
+    placed = placed.join(center.select("tab", "sketch", F.col("c.rid").alias("rid")).join(label, "rid", "left")
+                         .select("tab", "sketch", F.coalesce("component", "rid").alias("main")), ["tab", "sketch"])
+    placed = written(placed.withColumn("outer", F.col("comp") != F.col("main")), "placed")
+    outer = placed.where("outer").groupBy("tab", "sketch").agg(F.count(F.lit(1)).alias("o"))
+    placed = placed.join(outer, ["tab", "sketch"]) \
+        .withColumn("a", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("b", F.ceil(F.col("o") / BLOCK).cast("int"))
+    mine = lambda c: F.pmod(F.xxhash64("rid"), F.col(c)).cast("int")
+    every_side = placed.withColumn("lo", mine("a")).withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).withColumn("side", F.lit(0))
+    outer_side = placed.where("outer").withColumn("hi", mine("b")).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("a") - 1))).withColumn("side", F.lit(1))
+    columns = ["tab", "sketch", "lo", "hi", "side", "rid", "comp"]
+    blocks = every_side.select(*columns).unionByName(outer_side.select(*columns)).join(sets, "rid")
+    within = written(by_key(blocks, ["tab", "sketch", "lo", "hi"], ["side", "rid"], lambda g: _block_pairs(g, num, den),
+                            "x long, y long"), "within")
+    near = first.unionByName(within)
+    label = components(near, "x", "y").withColumnRenamed("node", "rid")
+
+    groups = member.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("tab", "sketch"))).alias("own"))
+    prefixes = nodes.select("rid", "n", "prefix").join(label, "rid", "left").join(groups, "rid", "left") \
+        .select("rid", "n", "prefix", F.coalesce("component", "rid").alias("comp"),
+                *[F.coalesce(F.try_element_at("own", F.lit(j)), F.lit(0)).alias(f"k{j}") for j in range(SKETCHES)])
+    blockwise = by_key(_columns(prefixes), ["h"], ["n", "rid"], lambda g: _product(g, num, den),
                    "x long, y long, overlap long, nx long, ny long")
     rest = lambda n: f"(({n} * {num} + {den - 1}) div {den} - 1)"  # noqa: E731  n less its prefix
-    pairs = parts.groupBy("x", "y").agg(F.sum("overlap").alias("overlap"), F.first("nx").alias("nx"), F.first("ny").alias("ny")) \
+    pairs = blockwise.groupBy("x", "y").agg(F.sum("overlap").alias("overlap"), F.first("nx").alias("nx"), F.first("ny").alias("ny")) \
         .where(f"(overlap + greatest({rest('nx')}, {rest('ny')})) * {num + den} >= {num} * (nx + ny)")
-    second = _verified(written(pairs.select("x", "y"), "candidates"), nodes, rows, k, num, den)
+    pairs = written(pairs.select("x", "y"), "candidates")
+    ids = pairs.select(F.col("x").alias("rid")).union(pairs.select("y"))
+    second = _verified(pairs, _sets(ids, nodes, rows, k), num, den)
 
-    final = components(first.unionByName(second), "x", "y")
+    final = components(near.unionByName(second), "x", "y")
     own = sketched.select("doc_id", "n", "rid").join(final.withColumnRenamed("node", "rid"), "rid", "left")
     own = written(own.select("doc_id", "n", F.coalesce("component", "rid").alias("root")), "members")
     named = own.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -254,8 +339,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     null = every.where(F.col("doc_id").isNull())
 
     def sizes(batches):
-        for b in batches:
+        for b in parts(batches):
             yield pa.record_batch([b.column("doc_id"), pa.array([len(shingles(t, k)) for t in texts(b.column("text"))], pa.int64()),
                                    b.column("doc_id")], ["doc_id", "n_shingles", "component_id"])
 
-    return linked.unionByName(bare).unionByName(null.mapInArrow(sizes, linked.schema))
+    return linked.unionByName(bare).unionByName(null.mapInArrow(lean(sizes), linked.schema))

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import running, written
+from tabflow.llm.common import lean, parts, running, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -20,7 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LETTER = "a-zß-öø-ÿ"
 _SAFE = re.compile("[\\t\\n\\r -~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\s{_LETTER}0-9]+")
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 class WordTokenizer:
@@ -76,17 +76,6 @@ class WordTokenizer:
             return [self.whole(t) if p is None else b"".join([known[w] for w in p]) for t, p in zip(texts, parts)]
 
 
-def loaded(path: str) -> WordTokenizer:
-    """The worker process's tokenizer with its known words. It is kept on the library's
-    module, as a worker unpickles this module anew for each task."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_kept_word_tokenizers", {})
-    if path not in kept:
-        kept[path] = WordTokenizer(path)
-    return kept[path]
-
-
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0,
            id_column: str = "doc_id", text: str = "text", group: int = 256) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and ids (bytes) of every piece: a
@@ -97,24 +86,22 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int =
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def cut(batches):
-        tokenizer = loaded(vocabulary)
+        tokenizer = WordTokenizer(vocabulary)  # its known words live as long as the task
         tail = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
-            for at in range(0, batch.num_rows, group):
-                part = batch.slice(at, group)
-                rows: list[list] = [[] for _ in names]
-                ids = tokenizer.batch([t or "" for t in part.column(1).to_pylist()])
-                for doc, raw in zip(part.column(0).to_pylist(), ids):
-                    raw += tail
-                    for k, begin in enumerate(range(0, len(raw), step)):
-                        piece = raw[begin:begin + step]
-                        for col, v in zip(rows, (doc, k, begin // 4, len(piece) // 4, zlib.crc32(piece), piece)):
-                            col.append(v)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names)
+        for part in parts(batches, group):
+            rows: list[list] = [[] for _ in names]
+            ids = tokenizer.batch([t or "" for t in part.column(1).to_pylist()])
+            for doc, raw in zip(part.column(0).to_pylist(), ids):
+                raw += tail
+                for k, begin in enumerate(range(0, len(raw), step)):
+                    piece = raw[begin:begin + step]
+                    for col, v in zip(rows, (doc, k, begin // 4, len(piece) // 4, zlib.crc32(piece), piece)):
+                        col.append(v)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], names)
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"),
-                       F.col(text).cast("string").alias("text")).mapInArrow(cut, schema)
+                       F.col(text).cast("string").alias("text")).mapInArrow(lean(cut), schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int, max_docs: int, max_attention: float,

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.llm.common import bitmap, by_key, grams, in_bitmap, starts_of, texts, words, written
+from tabflow.llm.common import bitmap, by_key, grams, in_bitmap, lean, parts, starts_of, texts, words, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ANCHOR = 6
 SHARD_SEGMENTS = 256
-GROUP = 512
 
 
 def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,13 +34,6 @@ def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray,
     return phrases[at[cut[:-1]]], cut[:-1], cut[1:]
 
 
-def parts(batches):
-    """Record batches of at most GROUP rows, so that a task works on few texts at a time."""
-    for b in batches:
-        for at in range(0, b.num_rows, GROUP):
-            yield b.slice(at, GROUP)
-
-
 def _anchor_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
     """(h, tk): the anchors of each text, each once."""
 
@@ -54,7 +46,7 @@ def _anchor_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
                 key.append(np.full(len(h), tk, np.int64))
             yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(key))], ["h", "tk"])
 
-    return docs.select("text", "tk").mapInArrow(scan, "h long, tk long")
+    return docs.select("text", "tk").mapInArrow(lean(scan), "h long, tk long")
 
 
 def _segments(docs: DataFrame, window: int, k: int, marks, with_text: bool) -> DataFrame:
@@ -101,7 +93,7 @@ def _segments(docs: DataFrame, window: int, k: int, marks, with_text: bool) -> D
                 yield pa.record_batch([pa.array(r, pa.int64()) for r in rows], ["h", "sh", "doc_id", "tk", "start"])
 
     schema = "h long, sh long, lo long, hi long, seg binary" if with_text else "h long, sh long, doc_id long, tk long, start long"
-    return docs.select("doc_id", "tk", "text").mapInArrow(scan, schema)
+    return docs.select("doc_id", "tk", "text").mapInArrow(lean(scan), schema)
 
 
 def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
@@ -204,7 +196,7 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
                              "h long, sh long, at binary, owner binary"), "windows")
 
     def starts(batches):
-        for b in batches:
+        for b in parts(batches):
             out = []
             for doc, start, at, owner in zip(b.column("doc_id").to_pylist(), b.column("start").to_pylist(),
                                              b.column("at").to_pylist(), b.column("owner").to_pylist()):
@@ -215,7 +207,7 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
                                   ["doc_id", "tk", "cut"]).filter(keep)
 
     places = _segments(rows, window, anchor, marks, False).join(windows, ["h", "sh"]) \
-        .select("doc_id", "tk", "start", "at", "owner").mapInArrow(starts, "doc_id long, tk long, cut binary")
+        .select("doc_id", "tk", "start", "at", "owner").mapInArrow(lean(starts), "doc_id long, tk long, cut binary")
     cuts = places.groupBy("doc_id", "tk").agg(F.array_distinct(F.collect_list("cut")).alias("cuts"))
     firsts = rows.groupBy("tk", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")) \
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
@@ -242,8 +234,8 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
                            *[every.schema[m] for m in more]])
-    done = maybe.join(change, ["doc_id", "tk"], "left").select("doc_id", "text", "cuts", "copy", *more).mapInArrow(rewrite, schema) \
-        .unionByName(rest.select("doc_id", "text", *none, *more).mapInArrow(rewrite, schema))
+    done = maybe.join(change, ["doc_id", "tk"], "left").select("doc_id", "text", "cuts", "copy", *more).mapInArrow(lean(rewrite), schema) \
+        .unionByName(rest.select("doc_id", "text", *none, *more).mapInArrow(lean(rewrite), schema))
     return done.withColumnsRenamed(dict(zip(more, carry)))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.llm.common import written
+from tabflow.llm.common import lean, parts, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,7 +37,7 @@ _DISGUISED = re.compile(
     rf"[^\W\d_][{_SIGNS}._\-]+[^\W\d_]|[^\W\d_][0-9@$+|€*]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]{1,2}){2,}\w(?!\S)")
 _EDGE = ".,;:?!\"'()[]{}<>-_#%&~^`/\\=*"
-KNOWN_TOKENS = 100_000
+KNOWN_TOKENS = 50_000
 
 
 def char_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -56,7 +56,7 @@ def char_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
             hit = np.flatnonzero(total)
             yield pa.record_batch([pa.array(hit), pa.array(total[hit])], ["gram", "n"])
 
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(count, "gram long, n long") \
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(lean(count), "gram long, n long") \
         .groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SIZE ** 3, np.int64)
     out[rows["gram"].to_numpy()] = rows["n"].to_numpy()
@@ -193,12 +193,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, vocabulary:
 
     def restored(batches):
         restorer = Restorer(held.value)
-        for b in batches:
+        for b in parts(batches):
             found = [sorted(restorer.words(t)) for t in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), b.column("y"), pa.array(found, pa.list_(pa.string()))],
                                   ["doc_id", "y", "words"])
 
-    sample = written(sample.mapInArrow(restored, "doc_id long, y int, words array<string>"), "restored")
+    sample = written(sample.mapInArrow(lean(restored), "doc_id long, y int, words array<string>"), "restored")
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
@@ -245,13 +245,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "te
     def run(batches):
         model = held.value
         restorer = Restorer(model.costs)
-        for b in batches:
+        for b in parts(batches):
             value = np.array([model.score(restorer.words(t)) for t in b.column(text).cast(pa.string()).to_pylist()])
             yield pa.record_batch([*b.columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))],
                                   [*names, "score", "predicted"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_column: str = "doc_id",

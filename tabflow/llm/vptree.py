@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import keyed
+from tabflow.llm.common import keyed, lean
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -175,7 +175,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, factor: float = 1.
     parts = max(1, min(sum(shards.values()), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     found = (indexed.unionByName(asked).select("dim", "shard", "kind", "vec_id", "v")
              .repartition(parts, "dim", "shard").sortWithinPartitions("dim", "shard", "kind", "vec_id")
-             .mapInArrow(lambda it: search_shards(keyed(it, ["dim", "shard"]), largest, k, factor, leaf, block),
+             .mapInArrow(lean(lambda it: search_shards(keyed(it, ["dim", "shard"]), largest, k, factor, leaf, block)),
                          "query_id long, vec_id long, score double"))
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)

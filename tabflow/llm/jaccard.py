@@ -17,7 +17,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SKETCHES, SKETCH_SIZE = 6, 2
-BLOCK = 256
+BLOCK = 512
 _SEEDS = mix(np.arange(1, SKETCHES * SKETCH_SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 PAIR_BLOCK = 1 << 18
 

@@ -19,6 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ANCHOR = 6
 SHARD_SEGMENTS = 256
+FLUSH = 1 << 14
 
 
 def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,65 +36,95 @@ def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _anchor_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(h, tk): the anchors of each text, each once."""
+    """(h, tk, n): the anchors of each text, each once, and the stretches it has there."""
 
     def scan(batches):
         for b in parts(batches):
-            own, key = [], []
+            own, key, count = [], [], []
             for t, tk in zip(texts(b.column("text")), b.column("tk").to_pylist()):
-                h = np.unique(anchors(words(t)[2], window, k)[0]) if t else np.empty(0, np.uint64)
+                h, n = np.unique(anchors(words(t)[2], window, k)[0] if t else np.empty(0, np.uint64), return_counts=True)
                 own.append(h)
                 key.append(np.full(len(h), tk, np.int64))
-            yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(key))], ["h", "tk"])
+                count.append(n.astype(np.int64))
+            yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(key)),
+                                   pa.array(np.concatenate(count))], ["h", "tk", "n"])
 
-    return docs.select("text", "tk").mapInArrow(lean(scan), "h long, tk long")
+    return docs.select("text", "tk").mapInArrow(lean(scan), "h long, tk long, n long")
 
 
-def _segments(docs: DataFrame, window: int, k: int, marks, with_text: bool) -> DataFrame:
+def _segments(docs: DataFrame, window: int, k: int, marks, hot, found=None) -> DataFrame:
     """The stretches of text around anchors that recur: all windows of a run of one
-    anchor. With text: one row per block for each distinct stretch, with its smallest and
-    largest document. Without: a row per place, (h, sh, doc_id, tk, start)."""
-    held = docs.sparkSession.sparkContext.broadcast(marks)
-    bits = len(marks) << 6
-
-    def scan(batches):
+    anchor, or each window of its own where the anchor is hot. Without ``found``: one row
+    per block for each distinct stretch, with its smallest and largest document. Its part
+    is 0, or names the window of a hot anchor. With ``found``, a bitmap of stretches: a
+    row per place of those, (h, sh, doc_id, tk, start)."""
+    held = docs.sparkSession.sparkContext.broadcast((marks, hot, found))
+
+    def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+        slot = (h % np.uint64(len(bits) << 6)).astype(np.int64)
+        return ((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+    def stretches(batch):
+        """(anchor, stretch, document, text key, first window, words, hot)"""
         from xxhash import xxh64_intdigest
 
-        marks = held.value
+        marks, hot, _ = held.value
+        for t, doc, tk in zip(texts(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("tk").to_pylist()):
+            if not t:
+                continue
+            begin, end, h = words(t)
+            a, first, last = anchors(h, window, k)
+            hit = marked(marks, a)
+            a, first, last = a[hit], first[hit], last[hit]
+            for key, s, e, single in zip(a.view(np.int64).tolist(), first.tolist(), last.tolist(), marked(hot, a).tolist()):
+                for at, stop in ((i, i + 1) for i in range(s, e)) if single else ((s, e),):
+                    raw = t[begin[at]:end[stop + window - 2]]
+                    if raw.translate(None, b"\t\n\v\f\r") != raw or b"  " in raw:
+                        raw = b" ".join(raw.split())
+                    yield key, xxh64_intdigest(raw) - (1 << 63), doc, tk, at, raw, single
+
+    def distinct(batches):
+        def out():
+            cols = [*zip(*seen), *zip(*seen.values())] or [()] * 6
+            return pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.binary())],
+                                   ["h", "part", "sh", "lo", "hi", "seg"])
+
         for b in parts(batches):
             seen: dict[tuple, list] = {}
+            for h, sh, doc, _, _, raw, single in stretches(b):
+                key = h, sh if single else 0, sh
+                if key in seen:
+                    kept = seen[key]
+                    kept[0], kept[1] = min(kept[0], doc), max(kept[1], doc)
+                else:
+                    if len(seen) >= FLUSH:
+                        yield out()
+                        seen = {}
+                    seen[key] = [doc, doc, raw]
+            yield out()
+
+    def places(batches):
+        def out():
+            return pa.record_batch([pa.array(r, pa.int64()) for r in rows], ["h", "sh", "doc_id", "tk", "start"])
+
+        found = held.value[2]
+        bits = len(found) << 6
+        for b in parts(batches):
             rows: list[list] = [[], [], [], [], []]
-            for t, doc, tk in zip(texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("tk").to_pylist()):
-                if not t:
-                    continue
-                begin, end, h = words(t)
-                a, first, last = anchors(h, window, k)
-                slot = (a % np.uint64(bits)).astype(np.int64)
-                a = a.view(np.int64)
-                hit = np.flatnonzero((marks[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1))
-                for i in hit.tolist():
-                    s, e = int(first[i]), int(last[i]) + window - 1
-                    raw = t[begin[s]:end[e - 1]]
-                    if raw.translate(None, b"\t\n\v\f\r") != raw or b"  " in raw:
-                        raw = b" ".join(raw.split())
-                    sh = xxh64_intdigest(raw) - (1 << 63)
-                    if not with_text:
-                        for col, v in zip(rows, (int(a[i]), sh, doc, tk, s)):
-                            col.append(v)
-                    elif (key := (int(a[i]), sh)) in seen:
-                        kept = seen[key]
-                        kept[0], kept[1] = min(kept[0], doc), max(kept[1], doc)
-                    else:
-                        seen[key] = [doc, doc, raw]
-            if with_text:
-                cols = [*zip(*seen), *zip(*seen.values())] or [()] * 5
-                yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())],
-                                      ["h", "sh", "lo", "hi", "seg"])
-            else:
-                yield pa.record_batch([pa.array(r, pa.int64()) for r in rows], ["h", "sh", "doc_id", "tk", "start"])
-
-    schema = "h long, sh long, lo long, hi long, seg binary" if with_text else "h long, sh long, doc_id long, tk long, start long"
-    return docs.select("doc_id", "tk", "text").mapInArrow(lean(scan), schema)
+            for row in stretches(b):
+                slot = row[1] % bits
+                if int(found[slot >> 6]) >> (slot & 63) & 1:
+                    for col, v in zip(rows, row):
+                        col.append(v)
+                    if len(rows[0]) >= FLUSH:
+                        yield out()
+                        rows = [[], [], [], [], []]
+            yield out()
+
+    docs = docs.select("doc_id", "tk", "text")
+    if found is None:
+        return docs.mapInArrow(lean(distinct), "h long, part long, sh long, lo long, hi long, seg binary")
+    return docs.mapInArrow(lean(places), "h long, sh long, doc_id long, tk long, start long")
 
 
 def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
@@ -133,10 +164,10 @@ def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
 
 
 def _automata(groups, window: int):
-    """Per shard of anchors: the recurring windows of each distinct segment."""
+    """Per shard of groups: the recurring windows of each distinct segment. A group has
+    SHARD_SEGMENTS segments at most, so a shard does too."""
     for t in groups:
-        h = t.column("h").to_numpy()
-        cut = starts_of(h)
+        cut = starts_of(t.column("h").to_numpy(), t.column("part").to_numpy())
         first = 0
         while first < len(cut) - 1:
             # whole groups, about SHARD_SEGMENTS segments at a time
@@ -166,15 +197,18 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
     1. Each window is named by its anchor, the smallest of its phrase hashes; anchors of
     one text only hold no repeat and go (min and max of the text per anchor, summed
     before the shuffle). 2. The stretches around the other anchors are sent by anchor,
-    equal ones as one row with its smallest and largest document, so a passage that
-    a third of all documents share is one row. 3. Each shard of anchors confirms
-    recurring windows, compiles its automaton and streams its segments through it.
-    4. Every place of a segment is joined with the segment's windows, and texts are
-    rewritten; only texts that change are shuffled. Exact copies are one text in 1 to 3
-    and lose all windows to their first document directly.
-
-    The bitmap that prunes step 2 has a fixed size; when full it prunes nothing and the
-    result is the same. A null or empty text has no words. A row with a null doc_id is
+    equal ones as one row with its smallest and largest document. An anchor of more than
+    SHARD_SEGMENTS stretches in all is hot: its stretches are cut into windows, those of
+    one document go after the sum, and the others are sent by anchor and window. So
+    a passage that a third of all documents share is one row for each of its windows,
+    whatever stands beside it, and no group has more than SHARD_SEGMENTS rows. 3. Each
+    shard of groups confirms recurring windows, compiles its automaton and streams its
+    segments through it. 4. Every place of a segment is joined with the segment's windows,
+    and texts are rewritten; only texts that change are shuffled. Exact copies lose
+    all windows to their first document directly.
+
+    The bitmaps of anchors and segments have a fixed size; when full they prune nothing, all
+    anchors count as hot, and the result is the same. A null or empty text has no words. A row with a null doc_id is
     neither changed nor changes others. Repeated rows, and rows that repeat an id, don't
     remove each other's words. Other columns are ignored; an empty table gives no rows."""
     clash = {"doc_id", "n_words", "n_removed", "kept"} & set(carry)
@@ -186,14 +220,19 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
         .withColumn("tk", F.xxhash64("text"))
     rows = every.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
-    shared = _anchor_rows(rows, window, anchor).groupBy("h").agg(F.min("tk").alias("a"), F.max("tk").alias("b")) \
-        .where("a <> b").select("h")
-    marks = anchor_bitmap(written(shared, "anchors"))
-
-    stretches = _segments(rows, window, anchor, marks, True).groupBy("h", "sh") \
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("seg").alias("seg"))
-    windows = written(by_key(stretches, ["h"], ["sh"], lambda g: _automata(g, window),
+    known = written(_anchor_rows(rows, window, anchor).groupBy("h")
+                    .agg(F.min("tk").alias("a"), F.max("tk").alias("b"), F.sum("n").alias("n"))
+                    .select("h", (F.col("a") != F.col("b")).alias("shared"), (F.col("n") > SHARD_SEGMENTS).alias("hot"))
+                    .where("shared or hot"), "anchors")
+    # a hot anchor of one text counts too: its hash class may be marked for another anchor
+    marks, hot = anchor_bitmap(known.where("shared")), anchor_bitmap(known.where("hot"))
+
+    stretches = _segments(rows, window, anchor, marks, hot).groupBy("h", "part", "sh") \
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("seg").alias("seg")) \
+        .where("part = 0 or lo < hi")
+    windows = written(by_key(stretches, ["h", "part"], ["sh"], lambda g: _automata(g, window),
                              "h long, sh long, at binary, owner binary"), "windows")
+    found = anchor_bitmap(windows.select(F.col("sh").alias("h")))
 
     def starts(batches):
         for b in parts(batches):
@@ -206,7 +245,7 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
             yield pa.record_batch([b.column("doc_id"), b.column("tk"), pa.array(out, pa.binary())],
                                   ["doc_id", "tk", "cut"]).filter(keep)
 
-    places = _segments(rows, window, anchor, marks, False).join(windows, ["h", "sh"]) \
+    places = _segments(rows, window, anchor, marks, hot, found).join(windows, ["h", "sh"]) \
         .select("doc_id", "tk", "start", "at", "owner").mapInArrow(lean(starts), "doc_id long, tk long, cut binary")
     cuts = places.groupBy("doc_id", "tk").agg(F.array_distinct(F.collect_list("cut")).alias("cuts"))
     firsts = rows.groupBy("tk", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")) \
@@ -260,7 +299,7 @@ def without(data: bytes | None, cuts: list[bytes] | None, copy: bool | None, win
 
 
 def anchor_bitmap(anchors_: DataFrame, bits: int = 1 << 25) -> np.ndarray:
-    """A bit for the hash class (unsigned remainder) of each anchor; fixed size."""
+    """A bit for the hash class (remainder) of each anchor; fixed size."""
     slot = F.expr(f"pmod(h, {bits}L)")
     rows = (anchors_.select(F.shiftright(slot, 6).cast("int").alias("i"),
                             F.expr(f"shiftleft(1L, cast(pmod(pmod(h, {bits}L), 64) as int))").alias("b"))

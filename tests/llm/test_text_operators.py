@@ -95,6 +95,27 @@ def test_substring_dedup_against_brute_force(spark, docs, empty):
     assert substring.strip_repeats(empty, k).count() == 0
 
 
+def test_substring_groups_stay_small_when_one_passage_or_phrase_is_everywhere(spark, monkeypatch):
+    passage, phrase = " ".join(f"p{i}" for i in range(20)), " ".join(f"q{i}" for i in range(6))
+    pairs = [(d, " ".join([f"a{d}_{i}" for i in range(8)] + [passage] + [f"b{d}_{i}" for i in range(8)]
+                          + [phrase] + [f"c{d // 2}_{i}" for i in range(8)])) for d in range(700)]
+    sizes, real = [], substring.by_key
+
+    def by_key(df, keys, *rest):
+        sizes.append(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return real(df, keys, *rest)
+
+    monkeypatch.setattr(substring, "by_key", by_key)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"])
+           for r in substring.strip_repeats(spark.createDataFrame(rows(pairs), DOCS), 13).collect()}
+    assert max(sizes) <= substring.SHARD_SEGMENTS
+    for d, t in pairs:
+        w = t.split()
+        # the passage goes from all but the first; the phrase and what follows from the second of two
+        left = w[:8] + w[28:36] + ([] if d % 2 else w[36:])
+        assert got[d] == ((50, 0, t) if not d else (50, 50 - len(left), " ".join(left))), d
+
+
 def test_locate_reports_only_equal_words():
     a = b" ".join(b"w%d" % i for i in range(16))
     seg, at, owner = substring.locate([a, a.replace(b"w15", b"w16"), b"q " + a], np.array([4, 2, 9]), np.array([4, 2, 9]), 13)

@@ -247,7 +247,7 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
 
     places = _segments(rows, window, anchor, marks, hot, found).join(windows, ["h", "sh"]) \
         .select("doc_id", "tk", "start", "at", "owner").mapInArrow(lean(starts), "doc_id long, tk long, cut binary")
-    cuts = places.groupBy("doc_id", "tk").agg(F.array_distinct(F.collect_list("cut")).alias("cuts"))
+    cuts = _cuts(places)
     firsts = rows.groupBy("tk", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")) \
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     same = rows.select("doc_id", "tk", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")) \
@@ -278,6 +278,12 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
     return done.withColumnsRenamed(dict(zip(more, carry)))
 
 
+def _cuts(places: DataFrame) -> DataFrame:
+    """The distinct cuts of each document's text. A set, so that the repetitions of a row
+    merge before the shuffle and no buffer holds them."""
+    return places.groupBy("doc_id", "tk").agg(F.collect_set("cut").alias("cuts"))
+
+
 def without(data: bytes | None, cuts: list[bytes] | None, copy: bool | None, window: int) -> tuple[int, int, bytes]:
     """(words, words removed, words left joined by one space) of one text."""
     if not data:

@@ -116,6 +116,14 @@ def test_substring_groups_stay_small_when_one_passage_or_phrase_is_everywhere(sp
         assert got[d] == ((50, 0, t) if not d else (50, 50 - len(left), " ".join(left))), d
 
 
+def test_cuts_of_a_repeated_row_merge_before_the_shuffle(spark):
+    places = spark.range(100_000).select(F.lit(1).alias("doc_id"), F.lit(2).alias("tk"), F.encode((F.col("id") % 3).cast("string"), "utf-8").alias("cut"))
+    cuts = substring._cuts(places)
+    assert [sorted(map(bytes, r["cuts"])) for r in cuts.collect()] == [[b"0", b"1", b"2"]]
+    plan = cuts._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "partial_collect_set" in plan
+
+
 def test_locate_reports_only_equal_words():
     a = b" ".join(b"w%d" % i for i in range(16))
     seg, at, owner = substring.locate([a, a.replace(b"w15", b"w16"), b"q " + a], np.array([4, 2, 9]), np.array([4, 2, 9]), 13)

@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # What each sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-        "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c", "€": "e", "*": "aeiou"}
+        "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c", "€": "e", "*": ""}  # a star masks any letter
 # Channel costs in nats: a sign for a letter, a masked letter, a sign put in, a run kept, cut or doubled, a space.
 SIGN, MASKED, INSERTED, KEPT, CUT, DOUBLED, JOINED, SPLIT = 1.0, 2.0, 2.5, 1.0, 0.5, 0.8, 0.1, 4.0
 
@@ -34,10 +34,14 @@ for _c, _i in _CODE.items():
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
 _DISGUISED = re.compile(
-    rf"[^\W\d_][{_SIGNS}._\-]+[^\W\d_]|[^\W\d_][0-9@$+|€*]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]{1,2}){2,}\w(?!\S)")
+    rf"[^\W\d_][{_SIGNS}._\-]+[^\W\d_]|[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1")
+# Signs and separators share no character in either form, so each text has one reading.
+_SPACED = re.compile(rf"(?<!\S)(?:(?:[\w{_SIGNS}] {{1,2}}){{2,}}[\w{_SIGNS}]"
+                     rf"|(?:(?:[^\W_]|(?!\*)[{_SIGNS}])[ .\-_*]{{1,2}}){{2,}}(?:[^\W_]|(?!\*)[{_SIGNS}]))(?!\S)")
 _EDGE = ".,;:?!\"'()[]{}<>-_#%&~^`/\\=*"
+_PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 KNOWN_TOKENS = 50_000
+LONGEST_MASK = 24  # letters; more stars in a row are a line, not a word
 
 
 def char_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -73,41 +77,46 @@ def char_costs(counts: np.ndarray) -> np.ndarray:
     return -np.log(p3).ravel().astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]] | None:
+def lattice(token: str) -> list[list[tuple[str, float]]]:
     """The letters that each stretch of a disguised token may stand for, with channel
-    costs; None when it holds a letter outside the alphabet. A run of three or more
-    equal signs is decoration and goes."""
+    costs. A letter outside the alphabet stands for itself. A run of three or more equal
+    signs is decoration, or one, two or as many letters; each star of a run masks a
+    letter of its own ("*" here) or goes."""
     slots, i = [], 0
     while i < len(token):
         c, j = token[i], i + 1
         while j < len(token) and token[j] == c:
             j += 1
         run = j - i
-        if c in _CODE:
+        if c.isalpha():
             if run < 3:
                 slots += [[(c, 0.0)]] * run
             else:
                 slots.append([(c, CUT), (c + c, DOUBLED), (c * run, KEPT * (run - 2))])
-        elif c.isalpha():
-            return None
         elif c == " ":
             slots.append([("", JOINED), (" ", SPLIT)])
+        elif c == "*":
+            if run <= LONGEST_MASK:
+                slots += [[("*", MASKED), ("", INSERTED)]] * run
         elif run < 3:
-            cost = MASKED if c == "*" else SIGN
-            options = [(x, cost) for x in LEET.get(c, "")] + [("", INSERTED if c in LEET else JOINED)]
+            options = [(x, SIGN) for x in LEET.get(c, "")] + [("", INSERTED if c in LEET else JOINED)]
             slots += [options] * run
+        elif c in LEET:
+            slots.append([("", 0.0)] + [o for x in LEET[c] for o in (
+                (x, SIGN + CUT), (x + x, SIGN + DOUBLED), (x * run, SIGN + KEPT * (run - 2)))])
         i = j
     return slots
 
 
-def decode(token: str, costs: list[float]) -> str:
-    """Viterbi path through a token's lattice: least channel plus language model cost."""
-    slots = lattice(token)
-    if slots is None:
-        return token
+def decode(token: str, costs: list[float], cube: np.ndarray | None = None) -> str:
+    """Viterbi path through a token's lattice: least channel plus language model cost.
+    ``cube`` is the same costs by (next, last, before last) letter, for masked tokens."""
+    slots = [*lattice(token), [(" ", 0.0)]]
     square = SIZE * SIZE
     states = {(0, 0): (0.0, None)}
-    for options in [*slots, [(" ", 0.0)]]:
+    for at, options in enumerate(slots):
+        if options[0][0] == "*":
+            return unmask(states, slots[at:], cube_of(costs) if cube is None else cube)
         after: dict = {}
         for (a, b), (cost, path) in states.items():
             for letters, extra in options:
@@ -120,12 +129,57 @@ def decode(token: str, costs: list[float]) -> str:
                 if old is None or k < old[0]:
                     after[(x, y)] = (k, (path, letters) if letters else path)
         states = after
-    path = min(states.values(), key=lambda s: s[0])[1]
+    return spelled(min(states.values(), key=lambda s: s[0])[1]).strip()
+
+
+def spelled(path) -> str:
     out = []
     while path:
         path, letters = path
         out.append(letters)
-    return "".join(reversed(out)).strip()
+    return "".join(reversed(out))
+
+
+def cube_of(costs) -> np.ndarray:
+    return np.ascontiguousarray(np.asarray(costs, np.float32).reshape(SIZE, SIZE, SIZE).transpose(2, 1, 0))
+
+
+def unmask(states: dict, slots: list, cube: np.ndarray) -> str:
+    """The rest of ``decode`` from its first masked letter on, with all states (last,
+    before last) as one table."""
+    state = np.full((SIZE, SIZE), np.inf, np.float32)
+    for (a, b), (cost, _) in states.items():
+        state[b, a] = cost
+    trail = []
+    for options in slots:
+        best, choice, steps = None, None, []
+        for n, (letters, extra) in enumerate(options):
+            now, back = state, []
+            for c in letters:
+                z = slice(1, SIZE) if letters == "*" else slice(_CODE.get(c, 0), _CODE.get(c, 0) + 1)
+                total = now + cube[z]
+                back.append(total.argmin(axis=2))
+                now = np.full((SIZE, SIZE), np.inf, np.float32)
+                now[z] = np.take_along_axis(total, back[-1][..., None], 2)[..., 0]
+            now = now + np.float32(extra)
+            if best is None:
+                best = now
+            else:
+                less = now < best
+                choice = np.where(less, n, 0 if choice is None else choice)
+                best = np.where(less, now, best)
+            steps.append(back)
+        trail.append((options, choice, steps))
+        state = best
+    y, x = divmod(int(state.argmin()), SIZE)
+    out = []
+    for options, choice, steps in reversed(trail):
+        n = 0 if choice is None else int(choice[y, x])
+        letters = options[n][0]
+        for c, back in zip(reversed(letters), reversed(steps[n])):
+            out.append(LETTERS[y - 1] if letters == "*" else c)
+            y, x = x, int(back[y - 1 if letters == "*" else 0, x])
+    return (spelled(states[x, y][1]) + "".join(reversed(out))).strip()
 
 
 class Restorer:
@@ -133,6 +187,7 @@ class Restorer:
 
     def __init__(self, costs):
         self.costs = costs.tolist() if isinstance(costs, np.ndarray) else costs
+        self.cube = cube_of(costs)
         self.known: dict[str, list[str]] = {}
 
     def one(self, token: str) -> list[str]:
@@ -140,19 +195,28 @@ class Restorer:
         if got is None:
             if len(self.known) >= KNOWN_TOKENS:
                 self.known.clear()
-            got = self.known[token] = decode(token, self.costs).split()
+            plain = token.isalpha() and not _DISGUISED.search(token)  # one path only
+            got = self.known[token] = [token] if plain else decode(token, self.costs, self.cube).split()
         return got
 
+    def readings(self, token: str) -> set[str]:
+        """A token with its outer signs, which may be letters, and without them."""
+        token = token.strip(_PLAIN_EDGE)
+        bare = token.strip(_EDGE)
+        return {token, bare, token.lstrip(_EDGE), token.rstrip(_EDGE), bare.lstrip("".join(LEET))} - {""}
+
     def words(self, text: str | None) -> set[str]:
         if not text:
             return set()
         low = text.lower()
         found = set(_WORD.findall(low))
-        for token in {t.strip(_EDGE) for t in set(low.split()) if _DISGUISED.search(t)}:
+        for token in {r for t in set(low.split()) if _DISGUISED.search(t) for r in self.readings(t)}:
             found.update(self.one(token))
-            found.update(self.one(token.lstrip("".join(LEET))))
         for m in _SPACED.finditer(low):
-            found.update(self.one(" ".join(m.group().split())))
+            spaced = " ".join(m.group().split())
+            found.update(self.one(spaced))
+            if "*" in spaced:  # between letters, a star may also part them
+                found.update(self.one(" ".join(spaced.replace("*", " ").split())))
         return found
 
 

@@ -302,6 +302,23 @@ def test_decoder_restores_disguised_words():
     assert len(r.words("q7" * 20000)) >= 1
 
 
+def test_decoder_restores_sign_runs_masks_outer_signs_and_spaced_signs():
+    words = "the idiot stupid loser asshole bitch shit fuck cunt said worthless things about a stupid clown and the idiot went home book".split()
+    raw = np.frombuffer(("\n\n" + " ".join(words * 50) + "\n\n").encode("latin-1"), np.uint8)
+    c = toxicity._TABLE[raw]
+    counts = np.bincount((c[:-2] * toxicity.SIZE + c[1:-1]) * toxicity.SIZE + c[2:], minlength=toxicity.SIZE ** 3)
+    r = toxicity.Restorer(toxicity.char_costs(counts))
+    for text, word in (("id111ot", "idiot"), ("sh!!!t", "shit"), ("b***h", "bitch"), ("f**k", "fuck"), ("f*ck", "fuck"),
+                       ("!diot", "idiot"), ("(unt", "cunt"), ("shi*", "shit"), ("*sshole", "asshole"),
+                       ("\"*sshole\",", "asshole"), ("stup!d!!!", "stupid"), ("i d ! o t", "idiot"), ("$ h i t", "shit"),
+                       ("s h * t", "shit"), ("f.u.c.k", "fuck"), ("i*d*i*o*t", "idiot"), ("жжж1d10t", "idiot")):
+        got = r.words(f"you are {text} really")
+        assert word in got or any(word in g for g in got if "ж" in text), (text, got)
+    assert any(w.startswith("s") and len(w) == 4 for w in r.words("s***"))
+    for text in ("_" * 400 + "a b", "a" + "*" * 5000 + "b", "* " * 400 + "ab", "a" + "_*" * 400 + "!?"):
+        assert r.words(text) is not None
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark, empty):
     rng = np.random.default_rng(8)
     vocab = [f"{a}{b}" for a in "bcdfg" for b in ("ar", "el", "on", "un")]

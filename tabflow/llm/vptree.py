@@ -15,6 +15,9 @@ from tabflow.llm.common import keyed, lean
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+ROUNDING = 1e-12  # of the squared norms
+
+
 def usable(column: str):
     """A vector takes part when it has components, all finite and not all zero."""
     v = F.col(column)
@@ -31,10 +34,13 @@ def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class VantageTree:
-    """A vantage-point tree over distinct rows of ``points`` with leaves of ``leaf``."""
+    """A vantage-point tree over distinct rows of ``points`` with leaves of ``leaf``.
 
-    def __init__(self, points: np.ndarray, leaf: int = 128, seed: int = 5):
-        self.points, self.leaf = points, leaf
+    With ``largest`` the last component lifts all points to that squared norm: distance
+    prunes, and the inner product of the others, which no large vector blurs, ranks."""
+
+    def __init__(self, points: np.ndarray, leaf: int = 128, seed: int = 5, largest: float | None = None):
+        self.points, self.leaf, self.largest = points, leaf, largest
         self.rng = np.random.default_rng(seed)
         self.nodes: list[tuple] = []
         self.root = self._build(np.arange(len(points)))
@@ -57,7 +63,7 @@ class VantageTree:
         return at
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of the ``k`` nearest points of each query. A child is left
+        """Rows and distances (negative inner products) of the ``k`` nearest points of each query. A child is left
         out when the triangle inequality puts it beyond ``factor`` times the k-th
         distance so far; factor one is exact, less prunes more."""
         k = min(k, len(self.points))
@@ -66,8 +72,11 @@ class VantageTree:
         norms, own = (self.points ** 2).sum(axis=1), (queries ** 2).sum(axis=1)
 
         def offer(active: np.ndarray, candidates: np.ndarray) -> None:
-            far = own[active, None] + norms[candidates] - 2 * queries[active] @ self.points[candidates].T
-            far = np.sqrt(np.maximum(far, 0))
+            if self.largest is None:
+                far = own[active, None] + norms[candidates] - 2 * queries[active] @ self.points[candidates].T
+                far = np.sqrt(np.maximum(far, 0))
+            else:
+                far = -(queries[active, :-1] @ self.points[candidates, :-1].T)
             d = np.concatenate([best[active], far], axis=1)
             r = np.concatenate([rows[active], np.broadcast_to(candidates, far.shape)], axis=1)
             cut = np.argpartition(d, k - 1, axis=1)[:, :k]
@@ -83,18 +92,24 @@ class VantageTree:
                 return
             vantage, radius, inner, outer = n
             offer(active, np.array([vantage]))
-            to = np.sqrt(np.maximum(own[active] + norms[vantage] - 2 * queries[active] @ self.points[vantage], 0))
+            to = np.linalg.norm(queries[active] - self.points[vantage], axis=1)
             near = to < radius
             slack = 1e-9 * (1 + to)
             visit(inner, active[near])
             visit(outer, active[~near])
-            reach = factor * best[active].max(axis=1) + slack
+            worst = best[active].max(axis=1)
+            reach = factor * (worst if self.largest is None else self.reach(own[active], -worst)) + slack
             visit(outer, active[near & (to + reach >= radius)])
             visit(inner, active[~near & (to - reach <= radius)])
 
         visit(self.root, np.arange(len(queries)))
         return rows, best
 
+    def reach(self, own, product):
+        """Distance, rounded up, of a point with this inner product to a query of squared norm ``own``."""
+        whole = own + self.largest
+        return np.sqrt(np.maximum(whole - 2 * product, 0) + ROUNDING * whole)
+
 
 def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
@@ -104,12 +119,12 @@ def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(flat), -1)
 
 
-def search_shards(groups, largest: float, k: int, factor: float, leaf: int, block: int, slack: int = 12):
+def search_shards(groups, largest: dict[int, float], k: int, factor: float, leaf: int, block: int, slack: int = 12):
     """For each shard: index its vectors, then stream the queries that follow them.
 
     Inner product becomes distance by one more component, sqrt(largest - |x|**2) for
-    points and 0 for queries. Equal vectors are one point with its smallest ids, so
-    that ties go to the smallest ids whatever the size of a group of copies."""
+    points and 0 for queries; ``largest`` is by dimension. Equal vectors are one point with
+    its smallest ids, so that ties go to the smallest ids whatever the size of a group of copies."""
     names = ["query_id", "vec_id", "score"]
     for t in groups:
         kind = t.column("kind").to_numpy()
@@ -122,12 +137,14 @@ def search_shards(groups, largest: float, k: int, factor: float, leaf: int, bloc
         order = np.lexsort((ids, copy.ravel()))
         first = np.searchsorted(copy.ravel()[order], np.arange(len(points) + 1))
         ids = ids[order]
-        lift = np.sqrt(np.maximum(largest - (points ** 2).sum(axis=1), 0))
-        tree = VantageTree(np.column_stack([points, lift]), leaf)
+        top = largest[points.shape[1]]
+        lift = np.sqrt(np.maximum(top - (points ** 2).sum(axis=1), 0))
+        tree = VantageTree(np.column_stack([points, lift]), leaf, largest=top)
         for at in range(0, asked.num_rows, block):
             part = asked.slice(at, block)
             qid, q = part.column("vec_id").to_numpy(), _vectors(part.column("v"))
-            rows, _ = tree.search(np.column_stack([q, np.zeros(len(q))]), k + slack, factor)
+            lifted = np.column_stack([q, np.zeros(len(q))])
+            rows, _ = tree.search(lifted, k + slack, factor)
             out: list[list] = [[], [], []]
             for i in range(len(q)):
                 hit = rows[i][rows[i] >= 0]
@@ -138,8 +155,8 @@ def search_shards(groups, largest: float, k: int, factor: float, leaf: int, bloc
                 value = np.repeat(score, [len(o) for o in own])
                 keep = found != qid[i]
                 found, value = found[keep], value[keep]
-                top = np.lexsort((found, -value))[:k]
-                for col, v in zip(out, (np.full(len(top), qid[i]), found[top], value[top])):
+                first_k = np.lexsort((found, -value))[:k]
+                for col, v in zip(out, (np.full(len(first_k), qid[i]), found[first_k], value[first_k])):
                     col.append(v)
             yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], names)
 
@@ -164,7 +181,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, factor: float = 1.
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     sizes = {r["dim"]: (r["n"], r["top"]) for r in
              rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("top")).collect()}
-    largest = max((top for _, top in sizes.values()), default=1.0)
+    largest = {d: top for d, (_, top) in sizes.items()}
     shards = {d: max(1, -(-n // shard_rows)) for d, (n, _) in sizes.items()}
     count = F.element_at(F.create_map(*[F.lit(x) for pair in shards.items() for x in pair]), F.col("dim")) \
         if shards else F.lit(1)

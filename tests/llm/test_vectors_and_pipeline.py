@@ -57,6 +57,25 @@ def test_exact_search_against_brute_force(spark):
     assert vptree.nearest(table_of(spark, [])).count() == 0
 
 
+def brute(use, every, k):
+    return {q: [(n + 1, i, -s) for n, (s, i) in enumerate(sorted((-dot(x, v), i) for i, v in use if i != q and len(v) == len(x))[:k])]
+            for q, x in use if q % every == 0}
+
+
+def found(df):
+    got = defaultdict(list)
+    for r in df.collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    return {q: sorted(v) for q, v in got.items()}
+
+
+def test_one_large_vector_blurs_no_other(spark):
+    rng = np.random.default_rng(7)
+    use = [(i, v) for i, v in enumerate(rng.normal(size=(300, 6)).astype(np.float32))] + [(301, np.float32([1e8] + [0] * 5))]
+    got = found(vptree.nearest(table_of(spark, [(i, v, 1) for i, v in use]), every=20, k=20, shard_rows=1000, leaf=8))
+    assert got == brute(use, 20, 20)
+
+
 def test_relaxed_pruning_keeps_recall():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 8))

@@ -110,6 +110,24 @@ class VantageTree:
         whole = own + self.largest
         return np.sqrt(np.maximum(whole - 2 * product, 0) + ROUNDING * whole)
 
+    def at_least(self, query: np.ndarray, product: float) -> np.ndarray:
+        """Rows of all points whose inner product with the query may be ``product`` or more."""
+        out, todo, reach = [], [self.root], float(self.reach((query ** 2).sum(), product))
+        while todo:
+            n = self.nodes[todo.pop()]
+            if len(n) == 1:
+                out.append(n[0])
+                continue
+            vantage, radius, inner, outer = n
+            to = float(np.linalg.norm(query - self.points[vantage]))
+            slack = 1e-9 * (1 + to)
+            out.append(np.array([vantage]))
+            if to - reach - slack <= radius:
+                todo.append(inner)
+            if to + reach + slack >= radius:
+                todo.append(outer)
+        return np.concatenate(out)
+
 
 def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
@@ -124,7 +142,8 @@ def search_shards(groups, largest: dict[int, float], k: int, factor: float, leaf
 
     Inner product becomes distance by one more component, sqrt(largest - |x|**2) for
     points and 0 for queries; ``largest`` is by dimension. Equal vectors are one point with
-    its smallest ids, so that ties go to the smallest ids whatever the size of a group of copies."""
+    its smallest ids, and where the last candidate ties with the k-th, all points of that
+    score are taken, so that ties go to the smallest ids however many there are."""
     names = ["query_id", "vec_id", "score"]
     for t in groups:
         kind = t.column("kind").to_numpy()
@@ -149,6 +168,15 @@ def search_shards(groups, largest: dict[int, float], k: int, factor: float, leaf
             for i in range(len(q)):
                 hit = rows[i][rows[i] >= 0]
                 score = dots(np.broadcast_to(q[i], (len(hit), q.shape[1])), points[hit])
+                if factor >= 1 and k < len(hit) < len(points):
+                    # one of the points may be the query's own
+                    least = np.sort(score)[-k - 1]
+                    margin = ROUNDING * np.sqrt((q[i] ** 2).sum() * top)
+                    if score.min() >= least - margin:
+                        hit = tree.at_least(lifted[i], least - margin)
+                        score = dots(np.broadcast_to(q[i], (len(hit), q.shape[1])), points[hit])
+                        near = score >= least
+                        hit, score = hit[near], score[near]
                 # at most k + 1 ids of each point can be among the k nearest others
                 own = [ids[first[p]:min(first[p + 1], first[p] + k + 1)] for p in hit]
                 found = np.concatenate(own)

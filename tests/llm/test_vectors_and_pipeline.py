@@ -69,6 +69,13 @@ def found(df):
     return {q: sorted(v) for q, v in got.items()}
 
 
+def test_ties_of_many_distinct_vectors_go_to_the_smaller_ids(spark):
+    rng = np.random.default_rng(2)
+    use = [(i, v) for i, v in zip(rng.permutation(500).tolist(), rng.integers(0, 2, (500, 24)) * (rng.random((500, 24)) < 0.2) * 1.0) if v.any()]
+    got = found(vptree.nearest(table_of(spark, [(i, v, 1) for i, v in use]), every=20, k=20, shard_rows=256, leaf=8))
+    assert got == brute(use, 20, 20)
+
+
 def test_one_large_vector_blurs_no_other(spark):
     rng = np.random.default_rng(7)
     use = [(i, v) for i, v in enumerate(rng.normal(size=(300, 6)).astype(np.float32))] + [(301, np.float32([1e8] + [0] * 5))]

@@ -111,6 +111,12 @@ STATUS_FEED = T.StructType([
         T.StructField("station_id", T.LongType()), T.StructField("counts", T.MapType(T.StringType(), T.LongType()))])))]))])
 
 
+def feed_records(stations, size=1000):
+    """Records of at most ``size`` stations each, so their number grows with the table."""
+    return stations.groupBy(F.floor(F.col("l_suppkey") / size).alias("last_updated")).agg(
+        F.collect_list(F.struct(F.col("l_suppkey").alias("station_id"), "counts")).alias("stations"))
+
+
 @query("json_nested_join", "A8", sql="""
 SELECT s.s_suppkey, s.s_name, l.l_returnflag AS kind, count(*) AS n_lines
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY ALL
@@ -121,8 +127,7 @@ def json_nested_join(spark, sf):
     path = shared_path(spark, "feed")
     per = tbl(spark, sf, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     stations = per.groupBy("l_suppkey").agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", "n"))).alias("counts"))
-    feed = stations.groupBy((F.col("l_suppkey") % 8).alias("last_updated")).agg(
-        F.collect_list(F.struct(F.col("l_suppkey").alias("station_id"), "counts")).alias("stations"))
+    feed = feed_records(stations)
     feed.select("last_updated", F.struct("stations").alias("data")).write.json(path)
     status = spark.read.schema(STATUS_FEED).json(path).select(F.explode("data.stations").alias("s")) \
         .select("s.station_id", F.explode("s.counts").alias("kind", "n_lines"))

@@ -93,3 +93,12 @@ def test_spread_only_when_under_split(spark, sf):
     assert spread(one, 8).rdd.getNumPartitions() == 8
     many = spark.range(0, 1000, 1, 16)
     assert spread(many, 8) is many
+
+
+def test_feed_records_have_a_bounded_number_of_stations(spark):
+    from pyspark.sql import functions as F
+
+    from tabflow.queries.reports import feed_records
+
+    stations = spark.range(20_000).select(F.col("id").alias("l_suppkey"), F.create_map(F.lit("A"), F.lit(1)).alias("counts"))
+    assert [r["n"] for r in feed_records(stations).select(F.size("stations").alias("n")).collect()] == [1000] * 20

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import chat, crf, embeddup, jaccard, mixing, packing, sharding, substring, toxicity, vptree
+from tabflow.llm import align, chat, crf, embeddup, exactdup, jaccard, mixing, packing, repair, sharding, substring, toxicity, vptree
 from tabflow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,34 @@ SELECT n.doc_id, n.n AS n_shingles, component_id FROM n JOIN c ON c.node = n.doc
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_exact_dedup"] = """
+WITH t AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents
+), g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)"""
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.tokenizer_links(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every original conversation, with faults planted in its turns, and its repair."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = repair.repair(repair.damaged(turns))
+    ids = turns.select("conv_id").distinct().withColumn("ck", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    done = ids.join(report, "ck", "left").join(repair.digests(repaired), "ck", "left")
+    return done.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                    for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                       F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))

@@ -9,6 +9,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,14 +34,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-GROUP = 512
+GROUP, GROUP_BYTES = 512, 1 << 22
 
 
-def parts(batches, rows: int = GROUP):
-    """Record batches of at most ``rows`` rows, so that a task works on few texts at a time."""
+def parts(batches, rows: int = GROUP, size: int = GROUP_BYTES):
+    """Record batches of at most ``rows`` rows and about ``size`` bytes of text (one row, if
+    that alone is longer), so that a task works on little text at a time."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        long = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+                long += pc.binary_length(c).fill_null(0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(long), 0
+        while at < b.num_rows:
+            room = size + (int(ends[at - 1]) if at else 0)
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, room, "right"))))
+            yield b.slice(at, stop - at)
+            at = stop
 
 
 def lean(fn):
@@ -157,14 +167,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base modulo 2**64 and of its inverse, up to ``n``."""
+CHUNK = 1 << 16
+
+
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd base modulo 2**64 and of its inverse, up to the chunk's length."""
     global _POWERS, _INVERSES
-    if len(_POWERS) < n:
-        size = max(n, 2 * len(_POWERS), 1 << 16)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for name, base in (("_POWERS", _BASE), ("_INVERSES", inverse)):
-            steps = np.full(size, base, np.uint64)
+    if len(_POWERS) < CHUNK:
+        for name, base in (("_POWERS", _BASE), ("_INVERSES", np.uint64(pow(int(_BASE), -1, 1 << 64)))):
+            steps = np.full(CHUNK, base, np.uint64)
             steps[0] = 1
             globals()[name] = np.cumprod(steps)
     return _POWERS, _INVERSES
@@ -172,21 +183,57 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts, byte ends and 64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+``
-    of UTF-8 bytes: differences of one running polynomial, shifted to a common origin."""
+    of UTF-8 bytes: differences of one running polynomial, shifted to a common origin.
+
+    A text is read CHUNK bytes at a time; the running sum, the scale of the powers and an open
+    word go on to the next chunk, so what is held beside the words is that of one chunk."""
     raw = np.frombuffer(data, np.uint8)
     if not len(raw):
         none = np.empty(0, np.int64)
         return none, none, np.empty(0, np.uint64)
-    inside = np.empty(len(raw) + 2, np.int8)
-    inside[0] = inside[-1] = 0
-    np.logical_not(_SPACE[raw], out=inside[1:-1].view(bool))
+    power, inverse = _powers()
+    begins, ends, hashes = [], [], []
+    carry, scale, back, inside, since = np.uint64(0), 1, 1, 0, None
+    for at in range(0, len(raw), CHUNK):
+        part = raw[at:at + CHUNK]
+        m, final = len(part), at + CHUNK >= len(raw)
+        state = np.empty(m + 1 + final, np.int8)
+        state[0] = inside
+        np.logical_not(_SPACE[part], out=state[1:m + 1].view(bool))
+        if final:
+            state[-1] = 0
+        inside = state[-1]
+        step = np.diff(state)
+        begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        total = np.empty(m + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((part + np.uint64(1)) * power[:m], out=total[1:])
+        first, shift = total[begin], inverse[begin]
+        if at:
+            total = total * np.uint64(scale) + carry
+            first, shift = total[begin], shift * np.uint64(back)
+        if since is not None:  # the word that the last chunk ended in
+            first, shift = np.append(since[0], first), np.append(since[1], shift)
+        n = len(end)
+        hashes.append((total[end] - first[:n]) * shift[:n])
+        since = (first[n:], shift[n:]) if len(first) > n else None
+        begins.append(begin + at)
+        ends.append(end + at)
+        if not final:
+            carry = total[-1]
+            scale = scale * int(power[-1]) * int(_BASE) & 0xFFFFFFFFFFFFFFFF
+            back = back * int(inverse[-1]) * int(inverse[1]) & 0xFFFFFFFFFFFFFFFF
+    if len(begins) == 1:
+        return begins[0], ends[0], mix(hashes[0])
+    return np.concatenate(begins), np.concatenate(ends), mix(np.concatenate(hashes))
+
+
+def bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and byte ends of the words of UTF-8 bytes."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    np.logical_not(_SPACE[np.frombuffer(data, np.uint8)], out=inside[1:-1].view(bool))
     step = np.diff(inside)
-    begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    power, inverse = _powers(len(raw) + 1)
-    total = np.empty(len(raw) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=total[1:])
-    return begin, end, mix((total[end] - total[begin]) * inverse[begin])
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

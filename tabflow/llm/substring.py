@@ -7,124 +7,115 @@ import sys
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.llm.common import bitmap, by_key, grams, in_bitmap, lean, parts, starts_of, texts, words, written
+from tabflow.llm.common import bitmap, bounds, by_key, grams, in_bitmap, lean, mix, parts, starts_of, texts, words, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ANCHOR = 6
 SHARD_SEGMENTS = 256
-FLUSH = 1 << 14
+MARK_BITS = 1 << 27
+_SPREAD = 0x9E3779B97F4A7C15
 
 
-def anchors(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, end window) of the runs of windows with one anchor.
+class Runs:
+    """The words of a few texts and their runs of windows with one anchor, in one go.
 
     A window's anchor is the smallest hash of its ``k``-word phrases, which depends on
-    its words alone: equal windows have equal anchors wherever they stand."""
-    phrases = grams(h, k)
-    if len(h) < window:
-        return phrases[:0], np.empty(0, np.int64), np.empty(0, np.int64)
-    at = sliding_window_view(phrases, window - k + 1).argmin(axis=1) + np.arange(len(h) - window + 1)
-    cut = starts_of(at)
-    return phrases[at[cut[:-1]]], cut[:-1], cut[1:]
+    its words alone: equal windows have equal anchors wherever they stand. ``anchor``,
+    ``first``, ``last`` and ``text`` are the runs' anchors, first and end windows (as places
+    in all words) and text numbers."""
+
+    def __init__(self, batch: pa.RecordBatch, window: int, k: int):
+        data = [t or b"" for t in texts(batch.column("text"))]
+        self.window, self.data = window, b"\n".join(data)
+        self.begin, self.end, self.h = words(self.data)
+        starts = np.cumsum([0] + [len(t) + 1 for t in data[:-1]])
+        self.base = np.searchsorted(self.begin, starts)
+        number = np.repeat(np.arange(len(data)), np.diff(np.append(self.base, len(self.h))))
+        n = len(self.h) - window + 1
+        if n <= 0:
+            none = np.empty(0, np.int64)
+            self.anchor, self.first, self.last, self.text = none.view(np.uint64), none, none, none
+            return
+        phrases = grams(self.h, k)
+        least, at, width = phrases, np.arange(len(phrases)), 1
+        while width < window - k + 1:
+            step = min(width, window - k + 1 - width)
+            lower = least[step:] < least[:-step]
+            least = np.where(lower, least[step:], least[:-step])
+            at = np.where(lower, at[step:], at[:-step])
+            width += step
+        # a window over the end of a text belongs to no run
+        cut = starts_of(np.where(number[:n] == number[window - 1:], at, -1))
+        own = number[cut[:-1]] == number[cut[:-1] + window - 1]
+        self.first, self.last = cut[:-1][own], cut[1:][own]
+        self.anchor, self.text = phrases[at[self.first]], number[self.first]
+
+    def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the words under the windows first..last-1."""
+        powers = np.full((2, len(self.h) + 1), np.uint64(_SPREAD))
+        powers[1] = np.uint64(pow(_SPREAD, -1, 1 << 64))
+        powers[:, 0] = 1
+        power, inverse = np.cumprod(powers, axis=1, dtype=np.uint64)
+        total = np.zeros(len(self.h) + 1, np.uint64)
+        np.cumsum(self.h * power[:-1], out=total[1:])
+        return mix((total[last + self.window - 1] - total[first]) * inverse[first])
+
+    def said(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The words under the windows first..last-1, joined by single spaces."""
+        stop = last + self.window - 2
+        raw = np.frombuffer(self.data, np.uint8)
+        wide = np.ones(len(self.h), bool)
+        wide[:-1] = (self.begin[1:] - self.end[:-1] != 1) | (raw[self.end[:-1]] != 32)
+        wide = np.append(0, np.cumsum(wide))
+        plain = wide[stop] == wide[first]
+        out = [self.data[s:e] for s, e in zip(self.begin[first].tolist(), self.end[stop].tolist())]
+        for i in np.flatnonzero(~plain).tolist():
+            out[i] = b" ".join(out[i].split())
+        return out
 
 
 def _anchor_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(h, tk, n): the anchors of each text, each once, and the stretches it has there."""
+    """(h, tk): the anchors of each text, each once."""
 
     def scan(batches):
         for b in parts(batches):
-            own, key, count = [], [], []
-            for t, tk in zip(texts(b.column("text")), b.column("tk").to_pylist()):
-                h, n = np.unique(anchors(words(t)[2], window, k)[0] if t else np.empty(0, np.uint64), return_counts=True)
-                own.append(h)
-                key.append(np.full(len(h), tk, np.int64))
-                count.append(n.astype(np.int64))
-            yield pa.record_batch([pa.array(np.concatenate(own).view(np.int64)), pa.array(np.concatenate(key)),
-                                   pa.array(np.concatenate(count))], ["h", "tk", "n"])
-
-    return docs.select("text", "tk").mapInArrow(lean(scan), "h long, tk long, n long")
-
-
-def _segments(docs: DataFrame, window: int, k: int, marks, hot, found=None) -> DataFrame:
-    """The stretches of text around anchors that recur: all windows of a run of one
-    anchor, or each window of its own where the anchor is hot. Without ``found``: one row
-    per block for each distinct stretch, with its smallest and largest document. Its part
-    is 0, or names the window of a hot anchor. With ``found``, a bitmap of stretches: a
-    row per place of those, (h, sh, doc_id, tk, start)."""
-    held = docs.sparkSession.sparkContext.broadcast((marks, hot, found))
-
-    def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-        slot = (h % np.uint64(len(bits) << 6)).astype(np.int64)
-        return ((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-
-    def stretches(batch):
-        """(anchor, stretch, document, text key, first window, words, hot)"""
-        from xxhash import xxh64_intdigest
-
-        marks, hot, _ = held.value
-        for t, doc, tk in zip(texts(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("tk").to_pylist()):
-            if not t:
-                continue
-            begin, end, h = words(t)
-            a, first, last = anchors(h, window, k)
-            hit = marked(marks, a)
-            a, first, last = a[hit], first[hit], last[hit]
-            for key, s, e, single in zip(a.view(np.int64).tolist(), first.tolist(), last.tolist(), marked(hot, a).tolist()):
-                for at, stop in ((i, i + 1) for i in range(s, e)) if single else ((s, e),):
-                    raw = t[begin[at]:end[stop + window - 2]]
-                    if raw.translate(None, b"\t\n\v\f\r") != raw or b"  " in raw:
-                        raw = b" ".join(raw.split())
-                    yield key, xxh64_intdigest(raw) - (1 << 63), doc, tk, at, raw, single
-
-    def distinct(batches):
-        def out():
-            cols = [*zip(*seen), *zip(*seen.values())] or [()] * 6
-            return pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.binary())],
-                                   ["h", "part", "sh", "lo", "hi", "seg"])
+            runs = Runs(b, window, k)
+            order = np.lexsort((runs.anchor, runs.text))
+            a, t = runs.anchor[order], runs.text[order]
+            head = starts_of(a, t)[:-1]
+            yield pa.record_batch([pa.array(a[head].view(np.int64)), b.column("tk").take(pa.array(t[head]))], ["h", "tk"])
 
+    return docs.select("text", "tk").mapInArrow(lean(scan), "h long, tk long")
+
+
+def _places(docs: DataFrame, window: int, k: int, marks) -> DataFrame:
+    """(h, sh, doc_id, tk, start, seg): every run of windows whose anchor may recur, by anchor and
+    hash of its words, and where it stands. The words come with one of a few texts' equal runs."""
+    held = docs.sparkSession.sparkContext.broadcast(marks)
+    names = ["h", "sh", "doc_id", "tk", "start", "seg"]
+
+    def scan(batches):
+        bits = held.value
         for b in parts(batches):
-            seen: dict[tuple, list] = {}
-            for h, sh, doc, _, _, raw, single in stretches(b):
-                key = h, sh if single else 0, sh
-                if key in seen:
-                    kept = seen[key]
-                    kept[0], kept[1] = min(kept[0], doc), max(kept[1], doc)
-                else:
-                    if len(seen) >= FLUSH:
-                        yield out()
-                        seen = {}
-                    seen[key] = [doc, doc, raw]
-            yield out()
-
-    def places(batches):
-        def out():
-            return pa.record_batch([pa.array(r, pa.int64()) for r in rows], ["h", "sh", "doc_id", "tk", "start"])
-
-        found = held.value[2]
-        bits = len(found) << 6
-        for b in parts(batches):
-            rows: list[list] = [[], [], [], [], []]
-            for row in stretches(b):
-                slot = row[1] % bits
-                if int(found[slot >> 6]) >> (slot & 63) & 1:
-                    for col, v in zip(rows, row):
-                        col.append(v)
-                    if len(rows[0]) >= FLUSH:
-                        yield out()
-                        rows = [[], [], [], [], []]
-            yield out()
-
-    docs = docs.select("doc_id", "tk", "text")
-    if found is None:
-        return docs.mapInArrow(lean(distinct), "h long, part long, sh long, lo long, hi long, seg binary")
-    return docs.mapInArrow(lean(places), "h long, sh long, doc_id long, tk long, start long")
+            runs = Runs(b, window, k)
+            slot = (runs.anchor % np.uint64(len(bits) << 6)).astype(np.int64)
+            hit = np.flatnonzero((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1))
+            first, last, text = runs.first[hit], runs.last[hit], runs.text[hit]
+            sh = runs.hashes(first, last)
+            _, once = np.unique(sh, return_index=True)
+            seg = np.full(len(hit), None, object)
+            seg[once] = runs.said(first[once], last[once])
+            yield pa.record_batch([pa.array(runs.anchor[hit].view(np.int64)), pa.array(sh.view(np.int64)),
+                                   *[b.column(c).take(pa.array(text)) for c in ("doc_id", "tk")],
+                                   pa.array(first - runs.base[text]), pa.array(seg, pa.binary())], names)
+
+    return docs.select("doc_id", "tk", "text").mapInArrow(lean(scan), "h long, sh long, doc_id long, tk long, start long, seg binary")
 
 
 def locate(segments: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int):
@@ -167,7 +158,7 @@ def _automata(groups, window: int):
     """Per shard of groups: the recurring windows of each distinct segment. A group has
     SHARD_SEGMENTS segments at most, so a shard does too."""
     for t in groups:
-        cut = starts_of(t.column("h").to_numpy(), t.column("part").to_numpy())
+        cut = starts_of(t.column("h").to_numpy())
         first = 0
         while first < len(cut) - 1:
             # whole groups, about SHARD_SEGMENTS segments at a time
@@ -183,8 +174,32 @@ def _automata(groups, window: int):
             c = starts_of(seg)
             yield pa.record_batch([
                 *[pa.array(part.column(k).to_numpy()[seg[c[:-1]]]) for k in ("h", "sh")],
-                pa.array([at[a:b].tobytes() for a, b in zip(c[:-1], c[1:])], pa.binary()),
-                pa.array([owner[a:b].tobytes() for a, b in zip(c[:-1], c[1:])], pa.binary())], ["h", "sh", "at", "owner"])
+                pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(at)),
+                pa.ListArray.from_arrays(pa.array(c, pa.int32()), pa.array(owner))], ["h", "sh", "at", "owner"])
+
+
+def _hot_windows(stretches: DataFrame, window: int) -> DataFrame:
+    """(h, sh, at, owner) of the stretches of hot anchors: each of their windows is a key of its
+    own, counted before the shuffle, and its smallest document comes back by a join."""
+
+    def cut(batches):
+        for b in parts(batches):
+            _, _, h = words(b" ".join(b.column("seg").to_pylist()))
+            size = np.array([s.count(b" ") + 1 for s in b.column("seg").to_pylist()])
+            upto = np.concatenate([[0], np.cumsum(size)])
+            w = grams(h, window)
+            row = np.repeat(np.arange(b.num_rows), np.maximum(0, size - window + 1))
+            n = np.maximum(0, size - window + 1)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            key = w[upto[row] + at] if len(row) else w[:0]
+            yield pa.record_batch([*[b.column(c).take(pa.array(row)) for c in ("h", "sh", "lo", "hi")], pa.array(at), pa.array(key.view(np.int64))],
+                                  ["h", "sh", "lo", "hi", "at", "w"])
+
+    rows = written(stretches.mapInArrow(lean(cut), "h long, sh long, lo long, hi long, at long, w long"), "hot")
+    again = rows.groupBy("h", "w").agg(F.min("lo").alias("owner"), F.max("hi").alias("last")).where("owner < last").drop("last")
+    return rows.join(again, ["h", "w"]).where("owner < hi").groupBy("h", "sh") \
+        .agg(F.array_sort(F.collect_list(F.struct("at", "owner"))).alias("found")) \
+        .select("h", "sh", F.col("found.at").alias("at"), F.col("found.owner").alias("owner"))
 
 
 def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_column: str = "doc_id",
@@ -196,21 +211,23 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
 
     1. Each window is named by its anchor, the smallest of its phrase hashes; anchors of
     one text only hold no repeat and go (min and max of the text per anchor, summed
-    before the shuffle). 2. The stretches around the other anchors are sent by anchor,
-    equal ones as one row with its smallest and largest document. An anchor of more than
-    SHARD_SEGMENTS stretches in all is hot: its stretches are cut into windows, those of
-    one document go after the sum, and the others are sent by anchor and window. So
-    a passage that a third of all documents share is one row for each of its windows,
-    whatever stands beside it, and no group has more than SHARD_SEGMENTS rows. 3. Each
-    shard of groups confirms recurring windows, compiles its automaton and streams its
-    segments through it. 4. Every place of a segment is joined with the segment's windows,
-    and texts are rewritten; only texts that change are shuffled. Exact copies lose
-    all windows to their first document directly.
-
-    The bitmaps of anchors and segments have a fixed size; when full they prune nothing, all
-    anchors count as hot, and the result is the same. A null or empty text has no words. A row with a null doc_id is
-    neither changed nor changes others. Repeated rows, and rows that repeat an id, don't
-    remove each other's words. Other columns are ignored; an empty table gives no rows."""
+    before the shuffle). 2. The stretches around the other anchors are written once, with
+    their places; equal ones are one row by anchor, with the smallest and largest document.
+    3. Each shard of anchors confirms the windows that recur, compiles its Aho-Corasick automaton
+    over words and streams its stretches through it. Streaming all texts through all shards
+    would read the corpus once a shard; an anchor's windows can only stand in that anchor's
+    stretches, so each stretch of every document goes to the one automaton that can match it. An
+    anchor of more than SHARD_SEGMENTS distinct stretches is hot: its windows are keys of their
+    own, so a passage that a third of all documents share is one row for each of its windows,
+    whatever stands beside it. 4. Every place of a stretch is joined with its windows, and texts are
+    rewritten; only texts that change are shuffled. Exact copies lose all windows to their
+    first document directly.
+
+    The bitmap of anchors has 16 bits an anchor and at most MARK_BITS (16 MB); one that is too small
+    for the corpus prunes less, up to every stretch (about 3.7 times the text), and the
+    result is the same. A long text is hashed in chunks. A null or empty text has no words. A row
+    with a null doc_id is neither changed nor changes others. Repeated rows, and rows that repeat
+    an id, don't remove each other's words. Other columns are ignored; an empty table gives no rows."""
     clash = {"doc_id", "n_words", "n_removed", "kept"} & set(carry)
     if clash:
         raise ValueError(f"columns of the result can't be carried: {sorted(clash)}")
@@ -220,32 +237,30 @@ def strip_repeats(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id_co
         .withColumn("tk", F.xxhash64("text"))
     rows = every.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
-    known = written(_anchor_rows(rows, window, anchor).groupBy("h")
-                    .agg(F.min("tk").alias("a"), F.max("tk").alias("b"), F.sum("n").alias("n"))
-                    .select("h", (F.col("a") != F.col("b")).alias("shared"), (F.col("n") > SHARD_SEGMENTS).alias("hot"))
-                    .where("shared or hot"), "anchors")
-    # a hot anchor of one text counts too: its hash class may be marked for another anchor
-    marks, hot = anchor_bitmap(known.where("shared")), anchor_bitmap(known.where("hot"))
-
-    stretches = _segments(rows, window, anchor, marks, hot).groupBy("h", "part", "sh") \
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("seg").alias("seg")) \
-        .where("part = 0 or lo < hi")
-    windows = written(by_key(stretches, ["h", "part"], ["sh"], lambda g: _automata(g, window),
-                             "h long, sh long, at binary, owner binary"), "windows")
-    found = anchor_bitmap(windows.select(F.col("sh").alias("h")))
+    known = written(_anchor_rows(rows, window, anchor).groupBy("h").agg(F.min("tk").alias("a"), F.max("tk").alias("b"))
+                    .where("a <> b").select("h"), "anchors")
+    found = written(_places(rows, window, anchor, anchor_bitmap(known)), "places")
+    stretches = written(found.groupBy("h", "sh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min("seg").alias("seg")), "stretches")
+    hot = written(stretches.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_SEGMENTS).select("h"), "hot-anchors")
+    list_schema = "h long, sh long, at array<long>, owner array<long>"
+    windows = by_key(stretches.join(hot, "h", "left_anti"), ["h"], ["sh"], lambda g: _automata(g, window), list_schema)
+    windows = written(windows.unionByName(_hot_windows(stretches.join(hot, "h", "left_semi"), window)), "windows")
 
     def starts(batches):
-        for b in parts(batches):
-            out = []
-            for doc, start, at, owner in zip(b.column("doc_id").to_pylist(), b.column("start").to_pylist(),
-                                             b.column("at").to_pylist(), b.column("owner").to_pylist()):
-                w = np.frombuffer(at, np.int64)[np.frombuffer(owner, np.int64) < doc]
-                out.append((w + start).tobytes())
-            keep = pa.array([bool(o) for o in out])
-            yield pa.record_batch([b.column("doc_id"), b.column("tk"), pa.array(out, pa.binary())],
-                                  ["doc_id", "tk", "cut"]).filter(keep)
-
-    places = _segments(rows, window, anchor, marks, hot, found).join(windows, ["h", "sh"]) \
+        for b in batches:
+            at, owner = b.column("at"), b.column("owner")
+            ends = at.offsets.to_numpy().astype(np.int64)
+            n = np.diff(ends)
+            keep = owner.flatten().to_numpy() < np.repeat(b.column("doc_id").to_numpy(), n)
+            place = (at.flatten().to_numpy() + np.repeat(b.column("start").to_numpy(), n))[keep]
+            upto = np.append(0, np.cumsum(keep))[ends - ends[0]]
+            some = np.flatnonzero(np.diff(upto))
+            raw = place.tobytes()
+            yield pa.record_batch([*[b.column(c).take(pa.array(some)) for c in ("doc_id", "tk")],
+                                   pa.array([raw[8 * s:8 * e] for s, e in zip(upto[some].tolist(), upto[some + 1].tolist())], pa.binary())],
+                                  ["doc_id", "tk", "cut"])
+
+    places = found.drop("seg").join(windows, ["h", "sh"]) \
         .select("doc_id", "tk", "start", "at", "owner").mapInArrow(lean(starts), "doc_id long, tk long, cut binary")
     cuts = _cuts(places)
     firsts = rows.groupBy("tk", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")) \
@@ -291,7 +306,7 @@ def without(data: bytes | None, cuts: list[bytes] | None, copy: bool | None, win
     if not cuts and not copy:
         parts = data.split()
         return len(parts), 0, b" ".join(parts)
-    begin, end, _ = words(data)
+    begin, end = bounds(data)
     n = len(begin)
     if copy and n >= window:
         return n, n, b""
@@ -304,11 +319,15 @@ def without(data: bytes | None, cuts: list[bytes] | None, copy: bool | None, win
     return n, n - len(keep), b" ".join([data[begin[i]:end[i]] for i in keep.tolist()])
 
 
-def anchor_bitmap(anchors_: DataFrame, bits: int = 1 << 25) -> np.ndarray:
-    """A bit for the hash class (remainder) of each anchor; fixed size."""
+def anchor_bitmap(anchors: DataFrame) -> np.ndarray:
+    """A bit for the hash class (remainder) of each anchor: 16 bits an anchor, at most MARK_BITS."""
+    bits = 1 << 16
+    n = anchors.count()
+    while bits < min(16 * n, MARK_BITS):
+        bits *= 2
     slot = F.expr(f"pmod(h, {bits}L)")
-    rows = (anchors_.select(F.shiftright(slot, 6).cast("int").alias("i"),
-                            F.expr(f"shiftleft(1L, cast(pmod(pmod(h, {bits}L), 64) as int))").alias("b"))
+    rows = (anchors.select(F.shiftright(slot, 6).cast("int").alias("i"),
+                           F.expr(f"shiftleft(1L, cast(pmod(pmod(h, {bits}L), 64) as int))").alias("b"))
             .groupBy("i").agg(F.expr("bit_or(b)").alias("b"))).toArrow()
     out = np.zeros(bits >> 6, np.uint64)
     out[rows["i"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)

@@ -51,7 +51,7 @@ def compare(groups, least: float):
     A vector's links leave as one number and the smallest partner, never as pairs; the
     smallest partner and, for connectivity, the forest's edges are what goes on."""
     for t in groups:
-        cols = {c: t.column(c).to_numpy() for c in ("label", "tab", "bucket", "lo", "hi", "side", "rid", "weight")}
+        cols = {c: t.column(c).to_numpy() for c in ("label", "tab", "bucket", "lo", "hi", "side", "gid", "weight")}
         keys = np.array(t.column("keys").to_pylist(), np.int32)
         column = t.column("v").combine_chunks()
         column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
@@ -81,13 +81,13 @@ def compare(groups, least: float):
                 np.add.at(links, j, cols["weight"][i])
                 edges.append(forest(i, j))
         hit = np.flatnonzero(links)
-        rid = cols["rid"]
+        gid = cols["gid"]
         e = np.concatenate(edges) if edges else np.empty((0, 2), np.int64)
         yield pa.record_batch([
-            pa.array(np.concatenate([rid[hit], rid[e[:, 0]]])),
+            pa.array(np.concatenate([gid[hit], gid[e[:, 0]]])),
             pa.array(np.concatenate([links[hit], np.zeros(len(e), np.int64)])),
             pa.array(np.concatenate([np.full(len(hit), -1), np.ones(len(e))]).astype(np.int32)),
-            pa.array(np.concatenate([rid[hit], rid[e[:, 1]]]))], ["rid", "links", "kind", "other"])
+            pa.array(np.concatenate([gid[hit], gid[e[:, 1]]]))], ["gid", "links", "kind", "other"])
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = 16, hashes: int = 10, width: float = 1.5,
@@ -103,9 +103,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = 16, h
     every pair. Vectors travel only for buckets that hold two or more.
 
     A null label, or a vector that is null, empty, zero or holds null or non-finite
-    components, links with nothing; vectors of different length don't link. Rows with the
-    same vec_id share one component (a null vec_id has component null) and count as
-    vectors each. Other columns are ignored; an empty table gives no rows."""
+    components, links with nothing; vectors of different length don't link. Rows that repeat
+    a vec_id are vectors each, whatever their vector or label (a null vec_id links with nothing
+    and has component null). Other columns are ignored; an empty table gives no rows."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
                           F.col(label).cast("string").alias("label"),
                           F.col(vector).cast("array<double>").alias("v"))
@@ -125,29 +125,31 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tables: int = 16, h
                     out[i] = k.tolist()
             yield pa.record_batch([*b.columns, pa.array(out, pa.list_(pa.int32()))], [*b.schema.names, "keys"])
 
-    reps = written(groups.mapInArrow(lean(hashed), "label string, v array<double>, weight long, rid long, keys array<int>"), "vectors")
-    whole = reps.select("label", "v", "rid")
+    # a number for each distinct vector of a label, fixed by writing it
+    reps = written(groups.mapInArrow(lean(hashed), "label string, v array<double>, weight long, rid long, keys array<int>")
+                   .withColumn("gid", F.monotonically_increasing_id()), "vectors")
+    whole = reps.select("label", "v", "gid")
     reps = reps.withColumn("label", F.concat_ws(":", F.size("v").cast("string"), "label"))
-    keyed_ = reps.select("label", "rid", F.posexplode("keys").alias("tab", "bucket"))
+    keyed_ = reps.select("label", "gid", F.posexplode("keys").alias("tab", "bucket"))
     full = keyed_.groupBy("label", "tab", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
         .withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     sent = keyed_.join(full, ["label", "tab", "bucket"]) \
-        .withColumn("own", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")) \
+        .withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("label", "tab", "bucket", "rid", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+        .select("label", "tab", "bucket", "gid", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                 (F.col("own") > F.col("other")).cast("int").alias("side"))
-    sent = sent.join(reps.select("label", "rid", "v", "keys", "weight"), ["label", "rid"])
+    sent = sent.join(reps.select("gid", "v", "keys", "weight"), "gid")
     key = ["label", "tab", "bucket", "lo", "hi"]
-    found = written(by_key(sent, key, ["rid"], lambda g: compare(g, least),
-                           "rid long, links long, kind int, other long"), "links")
-    labels = components(found.where("kind = 1").select("rid", "other"), "rid", "other")
-    links = found.where("kind = -1").groupBy("rid").agg(F.sum("links").alias("far"))
-    per = reps.select("label", "rid", "weight").join(links, "rid", "left") \
-        .join(labels.withColumnRenamed("node", "rid"), "rid", "left") \
-        .select("rid", (F.coalesce("far", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                F.coalesce("component", "rid").alias("component_id"))
-    member = part.join(whole, ["label", "v"]).select("vec_id", "rid")
-    linked = member.join(per, "rid").select("vec_id", "n_links", "component_id")
+    found = written(by_key(sent, key, ["gid"], lambda g: compare(g, least),
+                           "gid long, links long, kind int, other long"), "links")
+    labels = components(found.where("kind = 1").select("gid", "other"), "gid", "other")
+    links = found.where("kind = -1").groupBy("gid").agg(F.sum("links").alias("far"))
+    per = written(reps.select("gid", "rid", "weight").join(links, "gid", "left").join(labels.withColumnRenamed("node", "gid"), "gid", "left")
+                  .select("gid", "rid", (F.coalesce("far", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                          F.coalesce("component", "gid").alias("root")), "linked")
+    named = per.groupBy("root").agg(F.min("rid").alias("component_id"))
+    member = part.join(whole, ["label", "v"]).select("vec_id", "gid")
+    linked = member.join(per.join(named, "root").drop("rid"), "gid").select("vec_id", "n_links", "component_id")
     alone = rows.where(~(usable("v") & F.col("label").isNotNull() & F.col("vec_id").isNotNull())) \
         .select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -242,3 +242,44 @@ def test_exact_dedup_query_equals_its_sql(spark, sf):
     want = con.sql(SQL["op11_exact_dedup"]).fetchall()
     assert sorted(map(tuple, QUERIES["op11_exact_dedup"](spark, sf).collect())) == sorted(want)
 
+
+
+# --- shared helpers -----------------------------------------------------------
+
+
+def test_words_of_a_long_text_need_little_more_than_the_words():
+    import tracemalloc
+
+    from tabflow.llm import common
+
+    text = b"some words, \t again\n" * 1_000_000
+    tracemalloc.start()
+    begin, end, h = common.words(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(begin) == 3_000_000 and peak < 12 * len(text)
+    assert len(set(h[:30].tolist())) == 3 and (h[:3] == h[-3:]).all() and text[begin[-1]:end[-1]] == b"again"
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 64])
+def test_words_do_not_depend_on_the_chunk(monkeypatch, chunk):
+    from tabflow.llm import common
+
+    rng = random.Random(chunk)
+    data = [bytes(rng.choice(b"ab \n") for _ in range(n)) for n in (0, 1, 2, 5, 60, 200)] + [b"x" * 300, b" " * 50]
+    want = [common.words(d) for d in data]
+    monkeypatch.setattr(common, "CHUNK", chunk)
+    monkeypatch.setattr(common, "_POWERS", common._POWERS[:1])
+    for d, w in zip(data, want):
+        assert all((x == y).all() and len(x) == len(y) for x, y in zip(common.words(d), w))
+        assert [d[s:e] for s, e in zip(*common.bounds(d))] == d.split() if d else True
+
+
+def test_parts_are_cut_by_rows_and_bytes():
+    import pyarrow as pa
+
+    from tabflow.llm import common
+
+    batch = pa.record_batch([pa.array(["a" * n for n in (5, 900, 2000, 1, 1, 1, 400, 700)]), pa.array(range(8))], ["t", "i"])
+    got = [p.column("i").to_pylist() for p in common.parts([batch], rows=3, size=1000)]
+    assert got == [[0, 1], [2], [3, 4, 5], [6], [7]]

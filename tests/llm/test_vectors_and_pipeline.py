@@ -125,8 +125,15 @@ def test_embedding_links_against_brute_force(spark, block):
     assert embeddup.near_duplicates(table_of(spark, [])).count() == 0
 
 
+def test_rows_that_repeat_an_id_stay_vectors_of_their_own(spark):
+    data = [(1, [1.0, 0.0], 7), (1, [0.0, 1.0], 7), (2, [1.0, 0.001], 7), (3, [0.0, 1.0], 8), (4, [0.5, 0.5], 7),
+            (9, [0.0, 2.0], 7), (8, [0.0, 1.0], 7)]
+    got = sorted(tuple(r) for r in embeddup.near_duplicates(table_of(spark, data)).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True), (8, 2, 1, False), (9, 2, 1, False)]
+
+
 def test_queries_are_registered_once_each():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 

@@ -18,8 +18,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Both tokenizers end a token before a single space between two other characters.
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+_INNER = re.compile(r"[^\s▁](?:.*[^\s▁])?", re.DOTALL)
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-CACHE_WORDS, CACHED_CHARS = 200_000, 64
+CACHE_WORDS, CACHED_CHARS = 300_000, 64
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -30,20 +31,6 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """(tokens of a, tokens of b) up to each offset where tokens of both end; the lists
-    hold the tokens' lengths in bytes."""
-    out, i, j, x, y = [], 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if x <= y and i < len(a):
-            x, i = x + a[i], i + 1
-        else:
-            y, j = y + b[j], j + 1
-        if x == y:
-            out.append((i, j))
-    return out
-
-
 class Aligner:
     """Tokens of both tokenizers and their groups, word by word.
 
@@ -55,47 +42,72 @@ class Aligner:
     places is one part."""
 
     def __init__(self, a_path: str, b_path: str):
+        import os
+
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads keep memory each
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         letter = byte_alphabet()
-        self.a_bytes = {i: bytes(letter[c] for c in t) if all(c in letter for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        entries = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        said = [entries.get(i, "") for i in range(max(entries) + 1)]
+        self.a_bytes = [bytes(letter[c] for c in t) if all(c in letter for c in t) else t.encode() for t in said]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.b_bytes = [bytes([int(_BYTE.fullmatch(p)[1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = ({end: np.array([f"{i}{end}" for i in range(len(table))], object) for end in ends}
+                                    for table, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;\n")))
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.codes: list[bytes | None] = []
         self.groups: list[str] = []
-        self.sizes: list[tuple[int, int]] = []
+        self.n_a: list[int] = []
+        self.n_b: list[int] = []
+
+    def align(self, words: list[str]) -> tuple[list, list, list, list] | None:
+        """(codes of the links, groups, n_a, n_b) of words that stand side by side: encoded as
+        one text and cut at the words' ends. None if their bytes don't come back."""
+        text = " ".join(words)
+        whole = b" " + text.encode()
+        x = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
+        y = np.array(self.b.encode(text, num_threads=1), np.int64)
+        for table, ids in ((self.a_bytes, x), (self.b_bytes, y)):
+            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
+                return None
+        ends_x, ends_y = np.cumsum(self.a_size[x]), np.cumsum(self.b_size[y])
+        both = np.intersect1d(ends_x, ends_y, assume_unique=True)
+        i, j = np.searchsorted(ends_x, both), np.searchsorted(ends_y, both)  # last tokens of the groups
+        last = np.searchsorted(both, np.cumsum([len(w.encode()) + 1 for w in words]))  # last groups of the words
+        told = np.empty(len(x) + len(y), object)
+        before = np.append(0, j + 1)
+        at_x = np.arange(len(x)) + before[np.searchsorted(i, np.arange(len(x)))]
+        at_y = np.arange(len(y)) + (i + 1)[np.searchsorted(j, np.arange(len(y)))]
+        told[at_x], told[at_y] = self.a_text[","][x], self.b_text[","][y]
+        told[at_x[i]], told[at_y[j]] = self.a_text["|"][x[i]], self.b_text[";"][y[j]]
+        told[at_y[j[last]]] = self.b_text["\n"][y[j[last]]]
+        raw = ((x[i] << 32) | y[j]).astype("<i8").tobytes()
+        cut = np.append(0, 8 * (last + 1)).tolist()
+        return ([raw[s:e] for s, e in zip(cut, cut[1:])], "".join(told.tolist()).split("\n")[:-1],
+                np.diff(i[last], prepend=-1).tolist(), np.diff(j[last], prepend=-1).tolist())
 
     def learn(self, words: list[str]) -> None:
-        """Aligns words; one whose bytes don't come back gets no codes."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        for w, x, y in zip(words, a, self.b.encode(words, num_threads=1)):
-            self.index[w] = len(self.codes)
-            xs, ys = [self.a_bytes[i] for i in x], [self.b_bytes[i] for i in y]
-            whole = b" " + w.encode()
-            if b"".join(xs) != whole or b"".join(ys) != whole:
-                self.codes.append(None)
-                self.groups.append("")
-                self.sizes.append((0, 0))
-                continue
-            ends = shared_ends([len(t) for t in xs], [len(t) for t in ys])
-            said, i, j = [], 0, 0
-            for p, q in ends:
-                said.append(",".join(map(str, x[i:p])) + "|" + ",".join(map(str, y[j:q])))
-                i, j = p, q
-            self.codes.append(np.array([x[p - 1] << 32 | y[q - 1] for p, q in ends], "<i8").tobytes())
-            self.groups.append(";".join(said))
-            self.sizes.append((len(x), len(y)))
+        """Aligns words, many at once; one whose bytes don't come back gets no codes."""
+        done = self.align(words)
+        if done is None and len(words) > 1:
+            half = len(words) // 2
+            self.learn(words[:half])
+            self.learn(words[half:])
+            return
+        for held, new in zip((self.codes, self.groups, self.n_a, self.n_b), done or ([None], [""], [0], [0])):
+            held += new
+        self.index.update(zip(words, range(len(self.codes) - len(words), len(self.codes))))
 
     def batch(self, texts: list[str | None]) -> list[tuple]:
         """(n_a, n_b, codes of the links, groups) of each text; all empty without tokens."""
@@ -103,27 +115,27 @@ class Aligner:
         if len(self.index) > CACHE_WORDS:
             self.forget()
         known = self.index
-        new = list({w for p in split for w in p if len(w) <= CACHED_CHARS} - known.keys())
-        for at in range(0, len(new), 4096):
-            self.learn(new[at:at + 4096])
+        new = set().union(*split) - known.keys()
+        # long words, and those at a text's edge with white space of their own, are not kept
+        odd = {w for w in new if len(w) > CACHED_CHARS or not _INNER.fullmatch(w)}
+        plain = list(new - odd)
+        for at in range(0, len(plain), 4096):
+            self.learn(plain[at:at + 4096])
         out = []
         for p in split:
-            long = [w for w in p if w not in known]
-            mark = len(self.codes)
-            if long:
-                self.learn(list(dict.fromkeys(long)))
-            at = [known[w] for w in p]
-            codes = [self.codes[i] for i in at]
+            mark, own = len(self.codes), odd.intersection(p)
+            for w in own:
+                self.learn([w])
+            at = list(map(known.__getitem__, p))
+            codes = list(map(self.codes.__getitem__, at))
             if not p or None in codes:
                 out.append((0, 0, b"", ""))
             else:
-                sizes = [self.sizes[i] for i in at]
-                out.append((sum(s[0] for s in sizes), sum(s[1] for s in sizes), b"".join(codes),
-                            ";".join([self.groups[i] for i in at])))
-            if long:  # long parts are not kept
-                for w in set(long):
-                    del known[w]
-                del self.codes[mark:], self.groups[mark:], self.sizes[mark:]
+                out.append((sum(map(self.n_a.__getitem__, at)), sum(map(self.n_b.__getitem__, at)), b"".join(codes),
+                            ";".join(map(self.groups.__getitem__, at))))
+            for w in own:
+                del known[w]
+            del self.codes[mark:], self.groups[mark:], self.n_a[mark:], self.n_b[mark:]
         return out
 
 

@@ -29,13 +29,15 @@ class WordTokenizer:
     A text of ASCII and Latin-1 letters is cut into the tokenizer's own words here and
     each word's ids are looked up; unknown words are encoded together, separated by
     spaces, and told apart by the end-of-word mark of their last token. Any other text
-    goes to the tokenizer whole. Both ways give the tokenizer's ids."""
+    goes to the tokenizer whole, as do texts that may hold its control strings. Both ways give
+    the tokenizer's ids. With ``control_as_text`` a control string in a text is encoded as its
+    characters, so that a document can't write control ids into a sequence."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, control_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = control_as_text
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -62,7 +64,7 @@ class WordTokenizer:
                 begin = end
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        parts = [_PARTS.findall(t.lower()) if _SAFE.fullmatch(t) else None for t in texts]
+        parts = [_PARTS.findall(t.lower()) if _SAFE.fullmatch(t) and "<|" not in t else None for t in texts]
         new = list({w for p in parts if p for w in p} - self.known.keys())
         if new:
             self.learn(new)
@@ -77,7 +79,7 @@ class WordTokenizer:
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0,
-           id_column: str = "doc_id", text: str = "text", group: int = 256) -> DataFrame:
+           id_column: str = "doc_id", text: str = "text", group: int = 256, control_as_text: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and ids (bytes) of every piece: a
     document's ids and ``end_id``, cut every ``capacity`` tokens when longer.
     Texts are taken in groups of ``group``, so memory is that of one group."""
@@ -86,7 +88,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int =
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def cut(batches):
-        tokenizer = WordTokenizer(vocabulary)  # its known words live as long as the task
+        tokenizer = WordTokenizer(vocabulary, control_as_text)  # its known words live as long as the task
         tail = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for part in parts(batches, group):

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tabflow.llm import align, exactdup, repair
@@ -261,7 +262,7 @@ def test_words_of_a_long_text_need_little_more_than_the_words():
     assert len(set(h[:30].tolist())) == 3 and (h[:3] == h[-3:]).all() and text[begin[-1]:end[-1]] == b"again"
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 64])
+@pytest.mark.parametrize("chunk", [2, 3, 7, 64])
 def test_words_do_not_depend_on_the_chunk(monkeypatch, chunk):
     from tabflow.llm import common
 
@@ -269,7 +270,8 @@ def test_words_do_not_depend_on_the_chunk(monkeypatch, chunk):
     data = [bytes(rng.choice(b"ab \n") for _ in range(n)) for n in (0, 1, 2, 5, 60, 200)] + [b"x" * 300, b" " * 50]
     want = [common.words(d) for d in data]
     monkeypatch.setattr(common, "CHUNK", chunk)
-    monkeypatch.setattr(common, "_POWERS", common._POWERS[:1])
+    for name in ("_POWERS", "_INVERSES"):
+        monkeypatch.setattr(common, name, np.ones(1, np.uint64))
     for d, w in zip(data, want):
         assert all((x == y).all() and len(x) == len(y) for x, y in zip(common.words(d), w))
         assert [d[s:e] for s, e in zip(*common.bounds(d))] == d.split() if d else True

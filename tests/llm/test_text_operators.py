@@ -181,7 +181,7 @@ def test_packing_keeps_ids_and_fills_sequences(spark, docs, empty):
 
     pairs = ROWS + [(70, "Straße l’été 12 don't 'S <|endoftext|> … ŞİΣ ﬁ"), (71, "naïve\u0301 x")]
     t = Tokenizer.from_file(vocabulary())
-    t.encode_special_tokens = True
+    assert packing.WordTokenizer(vocabulary(), control_as_text=True).batch(["a <|endoftext|>"]) != packing.WordTokenizer(vocabulary()).batch(["a <|endoftext|>"])
     want = []
     for d, text in pairs:
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]

@@ -180,14 +180,15 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     whether no other pair of the same b has more. Tasks sum their own pairs first."""
 
     def count(batches):
-        for b in batches:
-            links = [np.frombuffer(x, "<i8") for x in b.column("links").to_pylist()]
-            flat = np.concatenate(links) if links else np.empty(0, np.int64)
-            weight = np.repeat(b.column("copies").to_numpy(), [len(x) for x in links])
-            codes, at = np.unique(flat, return_inverse=True)
-            n = np.zeros(len(codes), np.int64)
-            np.add.at(n, at, weight)
-            yield pa.record_batch([pa.array(codes), pa.array(n)], ["code", "n"])
+        for b in parts(batches):
+            copies = b.column("copies").to_numpy()
+            own, n = [], []
+            for m in np.unique(copies):  # most texts come once
+                some = b.column("links").filter(pa.array(copies == m)).to_pylist()
+                codes, c = np.unique(np.frombuffer(b"".join(some), "<i8"), return_counts=True)
+                own.append(codes)
+                n.append(c * m)
+            yield pa.record_batch([pa.array(np.concatenate(own)), pa.array(np.concatenate(n))], ["code", "n"])
 
     counted = written(aligned.select("links", "copies").mapInArrow(lean(count), "code long, n long")
                       .groupBy("code").agg(F.sum("n").alias("n")), "pairs")

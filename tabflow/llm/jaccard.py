@@ -55,7 +55,7 @@ def _frequent(docs: DataFrame, k: int, most: int) -> tuple[np.ndarray, np.ndarra
     shared passages come last: the result is the same for any list."""
 
     def count(batches):
-        for b in batches:
+        for b in parts(batches, 1 << 14, 1 << 24):
             sets = [shingles(t, k) for t in texts(b.column("text"))]
             every = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
             cut = starts_of(every)

@@ -41,6 +41,7 @@ _SPACED = re.compile(rf"(?<!\S)(?:(?:[\w{_SIGNS}] {{1,2}}){{2,}}[\w{_SIGNS}]"
 _EDGE = ".,;:?!\"'()[]{}<>-_#%&~^`/\\=*"
 _PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 KNOWN_TOKENS = 50_000
+CHUNK = 1 << 20
 LONGEST_MASK = 24  # letters; more stars in a row are a line, not a word
 
 
@@ -52,11 +53,12 @@ def char_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     def count(batches):
         for b in batches:
             total = np.zeros(SIZE ** 3, np.int64)
-            for at in range(0, b.num_rows, 256):
-                part = "\n\n".join(t for t in b.column(0).slice(at, 256).to_pylist() if t)
+            for some in parts([b], 256):
+                part = "\n\n".join(t for t in some.column(0).to_pylist() if t)
                 raw = np.frombuffer(("\n\n" + part.lower() + "\n\n").encode("latin-1", "replace"), np.uint8)
-                c = _TABLE[raw]
-                total += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE ** 3)
+                for at in range(0, len(raw) - 2, CHUNK):
+                    c = _TABLE[raw[at:at + CHUNK + 2]]
+                    total += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE ** 3)
             hit = np.flatnonzero(total)
             yield pa.record_batch([pa.array(hit), pa.array(total[hit])], ["gram", "n"])
 

@@ -12,8 +12,8 @@ from tabflow.operators.relational import broadcast_if_bounded
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
-from tabflow.streaming.files import (event_time, file_stream, run_to_parquet, run_to_state, wall_clock,
-                                     write_drops)
+from tabflow.streaming.files import event_time, file_stream, run_to_parquet, run_to_state, wall_clock, write_drops
+from tabflow.streaming.sink import run_keyed
 
 N_DROPS = 6
 EVENTS = DRIVER["events"]
@@ -29,22 +29,29 @@ def _feed(spark, sf, predicate=None, folder=None, n=N_DROPS):
 
 
 def totals() -> list:
-    """Count and sum; money is summed as a decimal, exact in any order of the micro-batches."""
-    return [F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(28,2)")).alias("total_value")]
+    """Count and sums; money is summed as a decimal, exact in any order of the micro-batches."""
+    value = F.col("value").cast("decimal(28,2)")
+    return [F.count(F.lit(1)).alias("n_events"), F.sum(value).alias("total_value"),
+            F.sum(F.when(F.col("event_type") == "purchase", value)).alias("purchase_value")]
 
 
-def totals_of(state: DataFrame, key: str) -> DataFrame:
-    """The groups of a stream that aggregates ``totals()`` by ``key``, from its state."""
-    return state.select(F.col(f"key.{key}").alias(key), F.col("value.count").alias("n_events"),
-                        F.col("value.sum").cast("double").alias("total_value"))
+def finished(agg: DataFrame, *keys: str, purchases: bool = False) -> DataFrame:
+    """The columns shown of groups of ``totals()``, in a stream and in a batch alike."""
+    total = F.col("total_value").cast("double")
+    more = [F.col("purchase_value").cast("double").alias("purchase_value"), (total / F.col("n_events")).alias("mean_value")]
+    return agg.select(*keys, "n_events", total.alias("total_value"), *more * purchases)
 
 
 def segment_totals(stream: DataFrame, customers: DataFrame) -> DataFrame:
     """Shared batch/stream transform: events joined to a static customer
     lookup, then running count and value per market segment."""
-    return (stream.join(customers, stream.user_id == customers.c_custkey, "left")
-            .groupBy("c_mktsegment")
-            .agg(*totals()))
+    return finished(stream.join(customers, stream.user_id == customers.c_custkey, "left")
+                    .groupBy("c_mktsegment").agg(*totals()), "c_mktsegment")
+
+
+def event_totals(stream: DataFrame) -> DataFrame:
+    """Count, two sums and the mean per event type, for streams and batches."""
+    return finished(stream.groupBy("event_type").agg(*totals()), "event_type", purchases=True)
 
 
 @query("stream_static_join_agg", "D11 T1 T2 T3 T4 T8", sql="""
@@ -55,7 +62,7 @@ def stream_static_join_agg(spark, sf):
     folder, per_drop = _feed(spark, sf)
     customers, _ = broadcast_if_bounded(tbl(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
     agg = segment_totals(file_stream(spark, folder, EVENTS, per_drop), customers)
-    return totals_of(run_to_state(agg, shared_path(spark, "ckpt"), "complete"), "c_mktsegment")
+    return run_keyed(agg, shared_path(spark, "sink"), shared_path(spark, "ckpt"))
 
 
 @query("stream_filter_append", "T5", sql="""
@@ -72,35 +79,42 @@ def stream_filter_append(spark, sf):
     return spark.read.schema(s.schema).parquet(out)
 
 
+EVENT_TOTALS_SQL = """
+SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value,
+  round(sum(value) FILTER (event_type = 'purchase'), 2) AS purchase_value, round(sum(value), 2) / count(*) AS mean_value
+FROM events GROUP BY event_type
+"""
+
+
 @query("stream_update_counts", "T5", sql="""
 SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY event_type
 """)
 def stream_update_counts(spark, sf):
-    """Update mode emits only the groups changed by each micro-batch; the final
-    value of every group is in the stream's state."""
+    """Update mode emits only the groups changed by each micro-batch; the final value of
+    every group is in the stream's state. (Spark takes update mode from no sink written in
+    Python, so the epoch sink serves complete mode only.)"""
     folder, per_drop = _feed(spark, sf)
-    s = file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type").agg(*totals())
-    return totals_of(run_to_state(s, shared_path(spark, "ckpt"), "update"), "event_type")
+    s = file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type").agg(*totals()[:2])
+    state = run_to_state(s, shared_path(spark, "ckpt"), "update")
+    return state.select(F.col("key.event_type").alias("event_type"), F.col("value.count").alias("n_events"),
+                        F.col("value.sum").cast("double").alias("total_value"))
 
 
-@query("stream_resume", "T6", sql="""
-SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY event_type
-""")
+@query("stream_resume", "T2 T3 T6", sql=EVENT_TOTALS_SQL)
 def stream_resume(spark, sf):
-    """Stop after the first half of the drops, restart from the checkpoint
-    with the rest: the totals equal the batch result (state + offsets kept)."""
-    folder = shared_path(spark, "events-drops")
-    ckpt = shared_path(spark, "ckpt")
+    """Stop after the first half of the drops, restart from the checkpoint with the rest:
+    the complete-mode sink holds every group once, and the totals equal the batch
+    result (state, offsets and epochs kept)."""
+    folder, sink, ckpt = (shared_path(spark, name) for name in ("events-drops", "sink", "ckpt"))
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     early = F.coalesce(F.col("ts") < cut, F.lit(True))  # rows without a time go first
 
-    def agg(per_drop):
-        return file_stream(spark, folder, EVENTS, per_drop).groupBy("event_type").agg(*totals())
+    def run(part):
+        _, per_drop = _feed(spark, sf, part, folder, n=3)
+        return run_keyed(event_totals(file_stream(spark, folder, EVENTS, per_drop)), sink, ckpt)
 
-    _, per_drop = _feed(spark, sf, early, folder, n=3)
-    run_to_state(agg(per_drop), ckpt, "complete")
-    _, per_drop = _feed(spark, sf, ~early, folder, n=3)
-    return totals_of(run_to_state(agg(per_drop), ckpt, "complete"), "event_type")
+    run(early)
+    return run(~early)
 
 
 WATERMARK_SQL = """

@@ -86,7 +86,7 @@ def batches_of(q) -> int:
 
 
 def run_to_state(df: DataFrame, checkpoint: str, mode: str = "update") -> DataFrame:
-    """Run a complete- or update-mode aggregate to its end and read its result from
+    """Run an update-mode aggregate to its end and read its result from
     the state store in the checkpoint: the groups stay on the executors and on
     shared storage, however many there are. Returns the raw state: ``key`` and
     ``value`` structs (the grouping columns and the aggregates' buffers)."""

@@ -5,6 +5,7 @@ a bounded key bitmap and connected components."""
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 
 import numpy as np
@@ -25,18 +26,20 @@ _POWERS = np.ones(1, np.uint64)
 _INVERSES = np.ones(1, np.uint64)
 
 
+GROUP, GROUP_BYTES = 512, 1 << 22
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the cluster's shared folder, read back: the
     work runs once, and a lost executor re-reads instead of recomputing."""
     spark = df.sparkSession
+    # Arrow batches are cut by bytes too, so that long texts don't fill a worker
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(GROUP_BYTES))
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-GROUP, GROUP_BYTES = 512, 1 << 22
-
-
 def parts(batches, rows: int = GROUP, size: int = GROUP_BYTES):
     """Record batches of at most ``rows`` rows and about ``size`` bytes of text (one row, if
     that alone is longer), so that a task works on little text at a time."""
@@ -61,6 +64,7 @@ def lean(fn):
         try:
             yield from fn(batches)
         finally:
+            gc.collect()  # functions sent by value hold themselves in cycles, and their tables with them
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

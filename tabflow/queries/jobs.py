@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabflow.jobs import star
 from tabflow.operators.aggregates import decimal_mean
 from tabflow.operators.quality import distinct_rows, drop_nulls, within_bounds
 from tabflow.operators.upsert import upsert_layer
+from tabflow.operators.versioned import create_versioned, upsert_versioned
 from tabflow.functions.columns import safe_ratio
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
@@ -128,27 +131,41 @@ def ingest_orders_summary(spark, sf):
         F.round(F.sum("o_totalprice"), 2).alias("total_price"))
 
 
-@query("upsert_latest", "P3", sql="""
+_UPSERTED = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'
 UNION ALL
 SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + 2 AS o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'
-""")
+"""
+
+
+def _order_changes(base):
+    """Two versions of every order from 2000 on: status -> 'F', price +1 then +2."""
+    recent = base.filter(F.col("o_orderdate") >= F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    versions = [recent.withColumns({"o_orderstatus": F.lit("F"), "o_totalprice": F.col("o_totalprice") + v,
+                                    "change_seq": F.lit(v)}) for v in (1, 2)]
+    return versions[0].unionByName(versions[1])
+
+
+@query("upsert_latest", "P3", sql=_UPSERTED)
 def upsert_latest(spark, sf):
-    """Base layer = orders partitioned by status. Changes = two versions of
-    every order from 2000 on (status -> 'F', price +1 then +2); the latest
-    version wins and only the touched status partitions are rewritten."""
+    """Base layer = orders partitioned by status. The latest version of each changed
+    order wins and only the touched status partitions are rewritten in place."""
     path = shared_path(spark, "orders-upsert")
     base = tbl(spark, sf, "orders")
     write_layer(base, path, partition_by=["o_orderstatus"])
-    recent = base.filter(F.col("o_orderdate") >= F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
-    changes = None
-    for version in (1, 2):
-        v = recent.withColumns({"o_orderstatus": F.lit("F"),
-                                "o_totalprice": F.col("o_totalprice") + version,
-                                "change_seq": F.lit(version)})
-        changes = v if changes is None else changes.unionByName(v)
-    upsert_layer(spark, path, changes, ["o_orderkey"], [F.desc("change_seq")], ["o_orderstatus"],
+    upsert_layer(spark, path, _order_changes(base), ["o_orderkey"], [F.desc("change_seq")], ["o_orderstatus"],
                  schema=DRIVER["orders"])
     return read_layer(spark, path, DRIVER["orders"])
+
+
+@query("upsert_by_name", "P3", sql=_UPSERTED)
+def upsert_by_name(spark, sf):
+    """The same upsert into a table that is read by name and switched in one catalog call."""
+    base = tbl(spark, sf, "orders")
+    database = f"orders_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_path(spark, database)}'")
+    create_versioned(base, f"{database}.orders", ["o_orderstatus"])
+    upsert_versioned(spark, f"{database}.orders", _order_changes(base), ["o_orderkey"], [F.desc("change_seq")])
+    return spark.table(f"{database}.orders")

@@ -58,7 +58,7 @@ IMPL = {
     "L1": "plans.cache.cached", "L2": "cached(level=)", "L3": "repartition / coalesce",
     "L4": "sources.files.format_report", "L5": "plans.explain.explain_text / explain_sql",
     "L6": "plans.explain.same_plan", "L7": "plans.explain.count_exchanges",
-    "P1": "jobs.accidents.run, jobs.star", "P2": "ingest_summary", "P3": "operators.upsert.upsert_layer",
+    "P1": "jobs.accidents.run, jobs.star", "P2": "ingest_summary", "P3": "operators.upsert.upsert_layer, operators.versioned",
     "P4": "queries.sorting.supplier_revenue_report (entry)",
 }
 TESTS = {

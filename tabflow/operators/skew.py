@@ -80,3 +80,58 @@ def salted_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str
         F.when(is_hot(right_on), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     joined = left.join(right, (left[left_on] == right[right_on]) & (left["__salt"] == right["__rsalt"]), how)
     return joined.drop("__salt", "__rsalt")
+
+
+def rows_per_task(df: DataFrame) -> DataFrame:
+    """(task, n_rows): rows in each task of the stage that ends in ``df``. The count is
+    partial in that same stage, so it measures the shuffle before it and adds none of
+    its size. Tasks without rows are not listed."""
+    return df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def task_balance(df: DataFrame, stage: str, tasks: int) -> DataFrame:
+    """One row: rows, the largest task's rows, and its ratio to the mean of ``tasks`` tasks."""
+    total, largest = F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(F.max("n_rows"), F.lit(0))
+    return rows_per_task(df).agg(total.alias("n_rows"), largest.alias("largest_task")).select(
+        F.lit(stage).alias("stage"), "n_rows", "largest_task",
+        F.when(F.col("n_rows") > 0, F.col("largest_task") * F.lit(float(tasks)) / F.col("n_rows")).alias("over_mean"))
+
+
+def shuffled_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str, tasks: int, how: str = "inner") -> DataFrame:
+    """Sort-merge join of two sides that are both too large to broadcast, dealt over ``tasks`` by the key alone."""
+    left, right = facts.repartition(tasks, left_on), lookup.repartition(tasks, right_on)
+    return left.join(right.hint("merge"), left[left_on] == right[right_on], how)
+
+
+def balanced_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str, spread_by: Column,
+                  tasks: int | None = None, pieces: int = 4, how: str = "inner") -> DataFrame:
+    """Sort-merge join of two large sides on a skewed key of ``facts``, no task much above the mean.
+
+    Keys are counted once. One that holds n of N rows is cut into ``pieces`` * n * ``tasks`` / N
+    salts, pieces of a quarter of a mean task by default, and only its lookup rows are
+    repeated, once for each of its salts. Only keys above a mean task are cut, fewer than
+    ``tasks``, so the list of them has a proven bound. ``spread_by`` is a whole number that
+    differs between the rows of a key (``F.xxhash64`` of some columns). Rows with a null key
+    match nothing: an inner or semi join leaves them out before the shuffle, a left join deals them over
+    all tasks. ``how`` is inner, left or left_semi, which repeat no unmatched lookup row. The
+    result is the plain join's, repeated rows and columns of equal names included."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"balanced_join supports inner, left and left_semi, not {how!r}")
+    spark = facts.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if how != "left":
+        facts = facts.where(F.col(left_on).isNotNull())
+    counts = facts.where(F.col(left_on).isNotNull()).groupBy(F.col(left_on).alias("__hot")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.select(F.sum("n")).scalar()
+    salts = F.ceil(F.col("n") * F.lit(pieces * tasks) / total).cast("int")
+    hot = counts.where(F.col("n") * F.lit(tasks) > total).select("__hot", salts.alias("__salts")).collect()
+    cut = F.broadcast(spark.createDataFrame(hot, f"__hot {facts.schema[left_on].dataType.simpleString()}, __salts int"))
+    own = F.when(F.col(left_on).isNull(), F.lit(tasks)).otherwise(F.coalesce("__salts", F.lit(1)))
+    left = facts.join(cut, facts[left_on] == cut["__hot"], "left") \
+        .withColumn("__salt", F.pmod(spread_by, own).cast("int")).drop("__hot", "__salts") \
+        .repartition(tasks, left_on, "__salt")
+    right = lookup.join(cut, lookup[right_on] == cut["__hot"], "left") \
+        .withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__hot", "__salts") \
+        .repartition(tasks, right_on, "__rsalt")
+    joined = left.join(right.hint("merge"), (left[left_on] == right[right_on]) & (left["__salt"] == right["__rsalt"]), how)
+    return joined.drop("__salt", "__rsalt")

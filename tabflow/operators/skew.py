@@ -97,8 +97,15 @@ def task_balance(df: DataFrame, stage: str, tasks: int) -> DataFrame:
         F.when(F.col("n_rows") > 0, F.col("largest_task") * F.lit(float(tasks)) / F.col("n_rows")).alias("over_mean"))
 
 
-def shuffled_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str, tasks: int, how: str = "inner") -> DataFrame:
-    """Sort-merge join of two sides that are both too large to broadcast, dealt over ``tasks`` by the key alone."""
+def join_tasks(df: DataFrame, tasks: int | None = None) -> int:
+    """Tasks of a join between two shuffled sides: Spark raises any number to the session's shuffle setting."""
+    return max(tasks or 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def shuffled_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: str, tasks: int | None = None,
+                  how: str = "inner") -> DataFrame:
+    """Sort-merge join of two sides that are both too large to broadcast, dealt over ``join_tasks`` by the key alone."""
+    tasks = join_tasks(facts, tasks)
     left, right = facts.repartition(tasks, left_on), lookup.repartition(tasks, right_on)
     return left.join(right.hint("merge"), left[left_on] == right[right_on], how)
 
@@ -118,7 +125,7 @@ def balanced_join(facts: DataFrame, lookup: DataFrame, left_on: str, right_on: s
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"balanced_join supports inner, left and left_semi, not {how!r}")
     spark = facts.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = join_tasks(facts, tasks)
     if how != "left":
         facts = facts.where(F.col(left_on).isNotNull())
     counts = facts.where(F.col(left_on).isNotNull()).groupBy(F.col(left_on).alias("__hot")).agg(F.count(F.lit(1)).alias("n"))

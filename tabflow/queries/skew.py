@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabflow.operators.skew import balanced_join, shuffled_join, task_balance
 from tabflow.queries.registry import query, tbl
 
-TASKS = 64
+TASKS = 256  # at least the session's shuffle setting, so that the SQL can name it
 PIECES = 4
 
 # Murmur3 constants that Spark's hash partitioning uses (fixed values)

@@ -56,7 +56,7 @@ IMPL = {
     "M1": "VectorAssembler", "M2": "ml.regression.fit_linear", "M3": "ml.regression.regression_metrics",
     "M4": "ml.recommend.als_fit / top_n_scored",
     "L1": "plans.cache.cached", "L2": "cached(level=)", "L3": "repartition / coalesce",
-    "L4": "sources.files.format_report", "L5": "plans.explain.explain_text / explain_sql",
+    "L4": "sources.files.format_report", "L5": "plans.explain.explain_text / explain_sql, plans.cost.scan_cost, operators.zorder",
     "L6": "plans.explain.same_plan", "L7": "plans.explain.count_exchanges",
     "P1": "jobs.accidents.run, jobs.star", "P2": "ingest_summary", "P3": "operators.upsert.upsert_layer, operators.versioned",
     "P4": "queries.sorting.supplier_revenue_report (entry)",
@@ -79,9 +79,9 @@ TESTS = {
     "T4": "test_streaming", "T5": "test_streaming", "T6": "test_streaming", "T7": "test_streaming",
     "T8": "test_streaming, test_invariants", "M2": "test_ml", "M3": "test_ml", "M4": "test_ml",
     "L1": "test_plans::test_cache_context_manager", "L2": "test_misc_ops::test_chosen_storage_level",
-    "L3": "test_plans::test_repartition_vs_coalesce", "L5": "test_plans", "L6": "test_plans::test_sql_and_api_same_plan",
+    "L3": "test_plans::test_repartition_vs_coalesce", "L5": "test_plans, test_layout", "L6": "test_plans::test_sql_and_api_same_plan",
     "L7": "test_plans::test_narrow_plan_has_no_exchange_wide_has_one", "P1": "test_jobs, test_invariants",
-    "P3": "test_jobs",
+    "P3": "test_jobs, test_versioned",
 }
 
 

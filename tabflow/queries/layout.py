@@ -14,9 +14,10 @@ from tabflow.sources.tables import table_path
 SINCE = "2001-01-01"
 
 
-def _block(spark, sf) -> int:
-    """Row group size: the default, or a small part of a small table, so that it has several."""
-    return min(128 << 20, max(4 << 10, input_bytes(spark, table_path(sf, "lineitem")) // 64))
+def _block(spark, sf, least: int) -> int:
+    """Row group size: the default, or a small part of a small table, so that it has several, but
+    not less than ``least``: footers and page indexes of tiny row groups outweigh what is skipped."""
+    return min(128 << 20, max(least, input_bytes(spark, table_path(sf, "lineitem")) // 64))
 
 
 def _lines(spark, sf):
@@ -36,7 +37,7 @@ def bytes_read(spark, sf):
     path = shared_path(spark, "lineitem-by-flag-and-date")
     lines = _lines(spark, sf)
     (lines.repartitionByRange("l_returnflag", "ship_day").sortWithinPartitions("l_returnflag", "ship_day")
-     .write.partitionBy("l_returnflag").option("parquet.block.size", _block(spark, sf)).parquet(path))
+     .write.partitionBy("l_returnflag").option("parquet.block.size", _block(spark, sf, 32 << 10)).parquet(path))
     li = spark.read.schema(lines.schema).options(**COUNTED_READS).parquet(path)
     part = li.where("l_returnflag = 'R'")
     since = part.where(f"ship_day >= DATE '{SINCE}'")
@@ -67,7 +68,7 @@ def zorder_rows_read(spark, sf):
     """A filter on either column of the z-ordered layer: its rows, and whether the scan read under half of all (measured)."""
     path, cols, out = shared_path(spark, "lineitem-z"), ["l_partkey", "ship_day"], None
     li = _lines(spark, sf).select("l_orderkey", *cols)
-    write_zordered(li, path, cols, block_bytes=_block(spark, sf))
+    write_zordered(li, path, cols, block_bytes=_block(spark, sf, 4 << 10))
     z = spark.read.schema(li.schema).options(**COUNTED_READS).parquet(path)
     twentieth = "CAST(percentile_disc(0.05) WITHIN GROUP (ORDER BY {}) AS bigint)"
     low = z.agg(F.expr(twentieth.format("l_partkey")).alias("l_partkey"),

@@ -23,7 +23,7 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 _MODULES = ("scans", "projections", "quality", "joins", "aggregations", "windows",
-            "sorting", "streams", "udfs_ml", "jobs", "reports", "skew", "layout")
+            "sorting", "streams", "udfs_ml", "jobs", "reports", "skew", "layout", "series")
 
 
 def query(name: str, ids: str, sql: str | None = None):

@@ -12,7 +12,8 @@ from tabflow.operators.relational import broadcast_if_bounded
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
-from tabflow.streaming.files import event_time, file_stream, run_to_parquet, run_to_state, wall_clock, write_drops
+from tabflow.streaming.files import (drop_number, event_time, file_stream, once_in_time, run_counting_late, run_to_parquet,
+                                     run_to_state, wall_clock, write_drops)
 from tabflow.streaming.sink import run_keyed
 
 N_DROPS = 6
@@ -171,3 +172,62 @@ def stream_progress(spark, sf):
     per_batch = rows.join(batch, "drop_file").groupBy("batch_id").agg(F.sum("rows_in_batch").alias("rows_in_batch"))
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return per_batch.withColumn("running_rows", F.sum("rows_in_batch").over(w))
+
+
+# an event in ten comes two drops after its time, one in seven of the others comes again in the next drop
+_LATE_SQL = f"""
+WITH k AS (SELECT *, epoch_us(ts) AS t, (SELECT epoch_us(min(ts)) FROM events) AS lo, (SELECT epoch_us(max(ts)) FROM events) AS hi FROM events),
+d AS (SELECT *, CAST(coalesce(least(floor((t - lo) * {float(N_DROPS)} / CAST(hi - lo AS DOUBLE)), {N_DROPS - 1}), 0) AS INTEGER) AS d0 FROM k),
+a AS (SELECT *, CASE WHEN event_id % 10 = 3 THEN least(d0 + 2, {N_DROPS - 1}) ELSE d0 END AS drop_no FROM d),
+kept AS (SELECT *, coalesce(date_trunc('milliseconds', max(ts) OVER (ORDER BY drop_no RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+                            - INTERVAL 1 HOUR >= ts, false) AS is_late FROM a)
+"""
+
+
+def _late_feed(spark, sf) -> tuple[DataFrame, str]:
+    """The events as a stream whose drops hold late and repeated rows; returns (stream, checkpoint)."""
+    ev = tbl(spark, sf, "events")
+    micros = F.unix_micros(event_time("ts"))
+    lo, hi = ev.agg(F.min(micros), F.max(micros)).first()
+    no, late = drop_number(micros, lo or 0, hi or 0, N_DROPS), F.col("event_id") % 10 == 3
+    again = F.when((F.col("event_id") % 7 == 0) & ~late & (no < N_DROPS - 1), F.array(no, no + 1)).otherwise(
+        F.array(F.when(late, F.least(no + 2, F.lit(N_DROPS - 1))).otherwise(no)))
+    folder = shared_path(spark, "late-drops")
+    per_drop = write_drops(ev.withColumn("arrives", F.explode(again)), folder, N_DROPS, number=F.col("arrives"))
+    return file_stream(spark, folder, EVENTS, per_drop), shared_path(spark, "ckpt")
+
+
+def sessions(stream: DataFrame, gap: str = "6 hours") -> DataFrame:
+    """Each user's sessions (events at most ``gap`` apart), written once the watermark passes their end."""
+    return (once_in_time(stream, ["event_id"], "ts", "1 hour").groupBy(F.session_window("event_ts", gap), "user_id").agg(*totals()[:2])
+            .select("user_id", wall_clock("session_window.start").alias("session_start"), wall_clock("session_window.end").alias("session_end"),
+                    "n_events", F.col("total_value").cast("double").alias("total_value")))
+
+
+@query("stream_sessions", "T7 T5", sql=_LATE_SQL + """,
+g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS opens
+      FROM kept WHERE NOT is_late WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM g),
+s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOURS AS session_end, count(*) AS n_events,
+             CAST(sum(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS total_value FROM n GROUP BY user_id, session_no)
+SELECT * FROM s WHERE session_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)
+""")
+def stream_sessions(spark, sf):
+    """Sessions of a feed that repeats rows and sends some late: gaps decide the windows, which merge as rows come."""
+    stream, ckpt = _late_feed(spark, sf)
+    s, out = sessions(stream), shared_path(spark, "stream-out")
+    run_to_parquet(s, out, ckpt)
+    return spark.read.schema(s.schema).parquet(out)
+
+
+@query("stream_late_rows", "T7 T8 A8", sql=_LATE_SQL + """
+SELECT event_type, count(*) FILTER (NOT is_late) AS n_kept, CAST((SELECT count(*) FROM kept WHERE is_late) AS BIGINT) AS late_in_all
+FROM kept GROUP BY event_type HAVING count(*) FILTER (NOT is_late) > 0
+""")
+def stream_late_rows(spark, sf):
+    """Rows kept by type, each once though the feed repeats it, and how many came too late (counted by Spark)."""
+    stream, ckpt = _late_feed(spark, sf)
+    s, out = once_in_time(stream, ["event_id"], "ts", "1 hour").select("event_id", "event_type"), shared_path(spark, "stream-out")
+    late = run_counting_late(s, out, ckpt)
+    kept = spark.read.schema(s.schema).parquet(out)
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_kept")).withColumn("late_in_all", F.lit(late).cast("bigint"))

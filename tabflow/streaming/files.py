@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ def drop_number(key, lo: int, hi: int, n: int):
 
 
 def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None = None,
-                rows_per_file: int = 4_000_000) -> int:
+                rows_per_file: int = 4_000_000, number: Column | None = None) -> int:
     """Append ``df`` to ``folder`` as ``n_files`` drops, one write job each,
     and return the number of files per drop (read each drop as one
     micro-batch with ``maxFilesPerTrigger`` set to it).
@@ -36,7 +36,8 @@ def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None
     time, so event time advances drop by drop and no row is late by
     construction. Rows whose order value is null are in the first drop.
     Without ``order_col`` rows are spread over the drops by a hash of all
-    columns. The input is read twice, for its range and to stage all drops at
+    columns. ``number`` (0 to ``n_files`` - 1, not null) deals the rows instead of either, for
+    feeds whose rows come late. The input is read twice, for its range and to stage all drops at
     once; each drop then copies its own staged part. A drop is split into
     enough files of about ``rows_per_file`` rows that no task writes more.
     """
@@ -49,7 +50,9 @@ def write_drops(df: DataFrame, folder: str, n_files: int, order_col: str | None
     per_drop = max(1, -(-int(stats["n"]) // (n_files * rows_per_file)))
     if stats["n"] == 0:
         return per_drop
-    if key is None:
+    if number is not None:
+        pass
+    elif key is None:
         number = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n_files))
     else:
         number = drop_number(key, stats["lo"] or 0, stats["hi"] or 0, n_files)
@@ -85,6 +88,26 @@ def batches_of(q) -> int:
     return int(q.lastProgress["batchId"]) + 1 if q.lastProgress else 0
 
 
+def run_counting_late(df: DataFrame, out: str, checkpoint: str) -> int:
+    """``run_to_parquet`` of a stream whose first stateful step is ``once_in_time``; returns the rows
+    that this run dropped for coming behind the watermark, from the state operators' own metrics."""
+    q = (df.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    reports = {p["batchId"]: p for p in q.recentProgress}
+    if len(q.recentProgress) >= int(df.sparkSession.conf.get("spark.sql.streaming.numRecentProgressUpdates")) - 1:  # one less is kept
+        raise RuntimeError("reports of batches are gone: raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in reports.values() for o in p["stateOperators"] if o["operatorName"] == "dedupe")
+
+
+def once_in_time(stream: DataFrame, keys: list[str], ts: str, delay: str, out: str = "event_ts") -> DataFrame:
+    """Each record (``keys`` and its time) once, though a feed sends it again. A record that comes more than
+    ``delay`` behind the watermark is dropped, row by row, before any aggregate, so its number is exact
+    (an aggregate counts its partial groups instead). Spark drops late rows by the watermark of the
+    batch before. State is kept for ``delay`` only. Adds the instant ``out``; a record without a time has none."""
+    return stream.withColumn(out, event_time(ts)).withWatermark(out, delay).dropDuplicates([*keys, out])
+
+
 def run_to_state(df: DataFrame, checkpoint: str, mode: str = "update") -> DataFrame:
     """Run an update-mode aggregate to its end and read its result from
     the state store in the checkpoint: the groups stay on the executors and on

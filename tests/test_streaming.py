@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -7,7 +8,7 @@ from tabflow.queries.streams import event_totals, segment_totals
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
 from tabflow.sources.tables import table
-from tabflow.streaming.files import event_time, file_stream, run_to_parquet, wall_clock, write_drops
+from tabflow.streaming.files import event_time, file_stream, once_in_time, run_counting_late, run_to_parquet, wall_clock, write_drops
 from tabflow.streaming.sink import EpochWriter, RowsFile, read_epoch, run_keyed
 
 EVENTS = DRIVER["events"]
@@ -129,3 +130,39 @@ def test_drops_keep_rows_without_an_order_value(spark, sf):
         write_drops(ev, folder, 4, order_col=order)
         back = spark.read.parquet(folder).select(ev.columns)
         assert back.exceptAll(ev).count() == 0 and back.count() == ev.count()
+
+
+def _late_drops(spark):
+    """Four drops: 2 comes again, 6 is a day late, 7 is late but within the delay, 8 has no time."""
+    at = [(1, 1, 0), (2, 2, 0), (2, 2, 1), (3, 26, 1), (4, 50, 2), (5, 51, 3), (6, 3, 3), (7, 25, 3), (8, None, 3)]
+    rows = [(i, None if h is None else datetime(2024, 1, 1 + h // 24, h % 24), 7, "view", 1.0, "{}", d) for i, h, d in at]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string, d int")
+    folder = shared_path(spark, "t-late")
+    write_drops(df, folder, 4, number=F.col("d"))
+    return file_stream(spark, folder, EVENTS).drop("d")
+
+
+def test_late_rows_are_counted_and_repeats_kept_once(spark):
+    from tabflow.queries.streams import sessions
+
+    out = shared_path(spark, "t-out")
+    s = once_in_time(_late_drops(spark), ["event_id"], "ts", "2 hours").select("event_id")
+    assert run_counting_late(s, out, shared_path(spark, "t-ckpt")) == 1
+    assert _rows(spark.read.schema("event_id long").parquet(out)) == [(i,) for i in (1, 2, 3, 4, 5, 7, 8)]
+    out = shared_path(spark, "t-out")
+    s = sessions(_late_drops(spark), "5 hours")
+    run_to_parquet(s, out, shared_path(spark, "t-ckpt"))
+    day = [datetime(2024, 1, d, h) for d, h in ((1, 1), (1, 7), (2, 2), (2, 7))]
+    assert _rows(spark.read.schema(s.schema).parquet(out)) == [(7, day[0], day[1], 2, 2.0), (7, day[2], day[3], 1, 1.0)]
+
+
+def test_late_rows_are_not_guessed_when_reports_are_gone(spark):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 2)
+    try:
+        s = once_in_time(_late_drops(spark), ["event_id"], "ts", "2 hours").select("event_id")
+        with pytest.raises(RuntimeError, match="numRecentProgressUpdates"):
+            run_counting_late(s, shared_path(spark, "t-out"), shared_path(spark, "t-ckpt"))
+    finally:
+        spark.conf.set(key, before)

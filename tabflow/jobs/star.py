@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tabflow.functions.codes import decode
 from tabflow.operators.quality import dedupe_by_key, distinct_rows
 from tabflow.operators.windows import top_n_per_group
-from tabflow.session import shared_path
+from tabflow.session import input_bytes, shared_path
 from tabflow.sources.files import read_layer, write_bucketed, write_layer
-from tabflow.sources.tables import table
+from tabflow.sources.tables import table, table_path
 
 # Stand-in code tables (fixed): order status and return flag labels.
 STATUS_LABELS = {"F": "fulfilled", "O": "open", "P": "partial"}
@@ -49,15 +49,23 @@ def clean_lines(df: DataFrame) -> DataFrame:
     return distinct_rows(kept)
 
 
+def buckets_for(size: int, target: int = 256 << 20, least: int = 32) -> int:
+    """A power of two, at least ``least``, that keeps a bucket of ``size`` bytes of input near ``target``:
+    layers of different sizes then have counts that divide each other."""
+    return max(least, 1 << (max(1, -(-size // target)) - 1).bit_length())
+
+
 def build_silver(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 buckets: int = 32) -> dict[str, DataFrame]:
+                 buckets: int | None = None) -> dict[str, DataFrame]:
     """Clean and write the silver layer; return it read back from storage.
 
     Orders and line items are bucketed on the order key with the same bucket
     count, so the gold joins between them read co-partitioned files and need
     no shuffle; customers are a plain layer (a lookup of the orders). ``buckets`` is
-    a property of the stored layer, apart from the session's shuffle setting.
+    a property of the stored layer, apart from the session's shuffle setting; its
+    default grows with the line items (``buckets_for``).
     """
+    buckets = buckets or buckets_for(input_bytes(spark, table_path(sf_dir, "lineitem")))
     root = root or shared_path(spark, "silver")
     tag = uuid.uuid4().hex[:8]
     orders = clean_orders(table(spark, sf_dir, "orders"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import day_number
+from tabflow.operators.aggregates import decimal_sum
 from tabflow.operators.relational import join_null_safe
 
 
@@ -74,11 +75,11 @@ def moving_average(series: DataFrame, order_col: str, value_col: str, rows: int
                    keys: Sequence[str] = (), out: str | None = None, scale: int | None = None) -> DataFrame:
     """Average over the current row and the ``rows - 1`` preceding rows.
     With ``scale`` (values have at most that many decimals) the frame sum is
-    rounded back to the exact decimal sum before dividing."""
+    the exact decimal sum, divided once."""
     base = Window.partitionBy(*keys).orderBy(order_col) if keys else Window.orderBy(order_col)
     w = base.rowsBetween(-(rows - 1), Window.currentRow)
     mean = (F.avg(value_col).over(w) if scale is None else
-            F.round(F.sum(value_col).over(w), scale) / F.count(value_col).over(w))
+            F.sum(F.col(value_col).cast(f"decimal(28,{scale})")).over(w).cast("double") / F.count(value_col).over(w))
     return series.withColumn(out or f"ma{rows}_{value_col}", mean)
 
 
@@ -105,7 +106,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value_col: str,
     group) and AQE splits a skewed key on the fact side. ``scale``: the value
     has at most that many decimals; the total is then the exact decimal sum.
     """
-    total = F.sum(value_col) if scale is None else F.round(F.sum(value_col), scale)
+    total = F.sum(value_col) if scale is None else decimal_sum(value_col, scale)
     totals = df.groupBy(*keys).agg(total.alias(total_col))
     return (join_null_safe(df, totals, list(keys))
             .withColumn(share_col, F.when(F.col(total_col) != 0,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.functions.text import distinct_words, word_counts
-from tabflow.operators.aggregates import count_by, decimal_mean, group_stats, top_k
+from tabflow.operators.aggregates import count_by, decimal_mean, decimal_sum, group_stats, top_k
 from tabflow.operators.relational import lookup_join
 from tabflow.queries.registry import query, tbl
 from tabflow.sources.tables import register_views
@@ -20,7 +20,7 @@ def agg_global(spark, sf):
     return tbl(spark, sf, "lineitem").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("l_quantity").alias("avg_qty"),
         F.max("l_extendedprice").alias("max_price"),
-        F.round(F.sum("l_extendedprice"), 2).alias("sum_price"), F.min("l_shipdate").alias("first_ship"))
+        decimal_sum("l_extendedprice").alias("sum_price"), F.min("l_shipdate").alias("first_ship"))
 
 
 @query("agg_count_by", "G2", sql="""
@@ -37,7 +37,7 @@ FROM lineitem GROUP BY l_suppkey
 """)
 def agg_zone_stats(spark, sf):
     return group_stats(tbl(spark, sf, "lineitem"), ["l_suppkey"], [
-        F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
+        F.count(F.lit(1)).alias("n_lines"), decimal_sum("l_extendedprice").alias("revenue"),
         decimal_mean("l_discount").alias("avg_discount"), F.avg("l_quantity").alias("avg_quantity")])
 
 
@@ -81,7 +81,7 @@ def sql_agg_by_hour(spark, sf):
     register_views(spark, sf, ["events"])
     return spark.sql("""
         SELECT HOUR(ts) AS hour, COUNT(*) AS n_events,
-               ROUND(SUM(value), 2) / COUNT(value) AS avg_value
+               CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value) AS avg_value
         FROM events WHERE event_type = 'purchase' GROUP BY HOUR(ts)
     """)
 
@@ -93,7 +93,7 @@ FROM events GROUP BY 1
 def daily_series_q(spark, sf):
     from tabflow.operators.windows import daily_series
     return daily_series(tbl(spark, sf, "events"), "ts", [
-        F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")])
+        F.count(F.lit(1)).alias("n_events"), decimal_sum("value").alias("total_value")])
 
 
 @query("agg_median", "G8", sql="""

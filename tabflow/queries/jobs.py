@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tabflow.jobs import star
-from tabflow.operators.aggregates import decimal_mean
+from tabflow.operators.aggregates import decimal_mean, decimal_sum
 from tabflow.operators.quality import distinct_rows, drop_nulls, within_bounds
 from tabflow.operators.upsert import upsert_layer
 from tabflow.operators.versioned import create_versioned, upsert_versioned
@@ -128,7 +128,7 @@ def ingest_orders_summary(spark, sf):
     return back.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_orders"), decimal_mean("o_totalprice").alias("avg_price"),
         F.percentile_approx("o_totalprice", 0.5, 1_000_000).alias("median_price"),
-        F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+        decimal_sum("o_totalprice").alias("total_price"))
 
 
 _UPSERTED = """

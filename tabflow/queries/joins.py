@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabflow.functions.columns import half_open
-from tabflow.operators.aggregates import pivot_counts
+from tabflow.operators.aggregates import decimal_sum, pivot_counts
 from tabflow.operators.relational import lookup_join
 from tabflow.operators.skew import salted_agg, skew_report
 from tabflow.queries.registry import query, tbl
@@ -79,7 +79,7 @@ def join_three_way(spark, sf):
     """Chain of lookups (supplier -> nation -> region) after pre-aggregating
     the facts per supplier, so the joins see one row per supplier."""
     per_supp = (tbl(spark, sf, "lineitem").groupBy("l_suppkey")
-                .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_extendedprice").alias("rev")))
+                .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_extendedprice").cast("decimal(28,2)")).alias("rev")))
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     na = tbl(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     rg = tbl(spark, sf, "region").select("r_regionkey", "r_name")
@@ -87,7 +87,7 @@ def join_three_way(spark, sf):
          .join(na, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
          .join(rg, F.col("n_regionkey") == F.col("r_regionkey"), "inner"))
     return (j.groupBy("n_name", "r_name", "s_name")
-            .agg(F.sum("n_lines").alias("n_lines"), F.round(F.sum("rev"), 2).alias("revenue")))
+            .agg(F.sum("n_lines").alias("n_lines"), F.sum("rev").cast("double").alias("revenue")))
 
 
 @query("join_full_outer", "D6", sql="""
@@ -102,7 +102,7 @@ def join_full_outer(spark, sf):
     b = tbl(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     m = (tbl(spark, sf, "orders").filter(half_open("o_orderdate", "1996-01-01", "1996-04-01"))
          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
-                                   F.round(F.sum("o_totalprice"), 2).alias("total")))
+                                   decimal_sum("o_totalprice").alias("total")))
     return b.join(m, b.c_custkey == m.o_custkey, "full_outer")
 
 
@@ -130,7 +130,7 @@ def _lines_by_part_type(spark, sf, strategy):
     pa = tbl(spark, sf, "part").select("p_partkey", "p_type")
     j = lookup_join(li, pa, left_on="l_partkey", right_on="p_partkey", how="inner", strategy=strategy)
     return j.groupBy("p_type").agg(F.count(F.lit(1)).alias("n_lines"),
-                                   F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
+                                   decimal_sum("l_extendedprice").alias("revenue"))
 
 
 @query("join_broadcast", "D7", sql=_BY_TYPE_SQL)
@@ -169,10 +169,10 @@ JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey =
 GROUP BY r.r_name
 """)
 def rollup_region_revenue(spark, sf):
-    """Aggregate -> join -> aggregate to a coarser level, carrying un-rounded
-    sums until the end (rounding only the final value)."""
+    """Aggregate -> join -> aggregate to a coarser level, carrying exact
+    decimal sums until the end."""
     per_supp = (tbl(spark, sf, "lineitem").groupBy("l_suppkey")
-                .agg(F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("rev")))
+                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(28,2)")).alias("rev")))
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     na = tbl(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     rg = tbl(spark, sf, "region").select("r_regionkey", "r_name")
@@ -181,7 +181,7 @@ def rollup_region_revenue(spark, sf):
          .join(rg, F.col("n_regionkey") == F.col("r_regionkey"), "inner"))
     return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("n_suppliers"),
                                    F.sum("n").alias("n_lines"),
-                                   F.round(F.sum("rev"), 2).alias("revenue"))
+                                   F.sum("rev").cast("double").alias("revenue"))
 
 
 @query("crosstab_pivot", "D12", sql="""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabflow.operators.aggregates import decimal_sum
 from tabflow.queries.registry import query, tbl
 from tabflow.schemas import DRIVER
 from tabflow.session import shared_path
@@ -89,7 +90,7 @@ FROM orders GROUP BY o_orderpriority
 def partition_counts(spark, sf):
     """Read-back reconciliation: rows and money per partition of the layer."""
     return _orders_layer(spark, sf).groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("sum_totalprice"))
+        F.count(F.lit(1)).alias("n_rows"), decimal_sum("o_totalprice").alias("sum_totalprice"))
 
 
 @query("pruned_scan", "L5", sql="""

@@ -33,7 +33,7 @@ def supplier_revenue_report(spark, sf, k: int = 10):
           .filter((c("l_quantity") > 0) & (c("l_extendedprice") > 0) & c("l_discount").between(0, 1)))
     stats = group_stats(li, ["l_suppkey"], [
         F.count(F.lit(1)).alias("n_lines"),
-        F.round(F.sum("l_extendedprice"), 2).alias("revenue"),
+        decimal_sum("l_extendedprice").alias("revenue"),
         decimal_sum(c("l_extendedprice") * (1 - c("l_discount")), 4).alias("net_revenue"),
         decimal_mean("l_discount").alias("avg_discount"), F.avg("l_quantity").alias("avg_quantity")])
     top = top_k(stats, [F.desc("revenue"), F.asc("l_suppkey")], k)

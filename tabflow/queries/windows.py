@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabflow.operators.aggregates import decimal_sum
 from tabflow.operators.windows import (daily_series, moving_average, range_window_sum, share_of_total,
                                        top_n_per_group, with_next, with_previous, with_ranks)
 from tabflow.operators.ranking import ranks_skew_safe, ranks_within_groups
@@ -64,7 +65,7 @@ def win_ranks_window(spark, sf):
 
 def _daily(spark, sf):
     return daily_series(tbl(spark, sf, "events"), "ts",
-                        [F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("revenue")])
+                        [F.count(F.lit(1)).alias("n_events"), decimal_sum("value").alias("revenue")])
 
 
 _DAILY_SQL = """
@@ -120,7 +121,7 @@ def win_share_of_total(spark, sf):
     li = tbl(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
                                            "l_extendedprice")
     top = top_n_per_group(li, ["l_suppkey"], [F.desc("l_extendedprice"), *LINE_TIES], 3)
-    totals = li.groupBy("l_suppkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("group_total"))
+    totals = li.groupBy("l_suppkey").agg(decimal_sum("l_extendedprice").alias("group_total"))
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_name")
     return (top.join(totals, on="l_suppkey", how="inner")
             .withColumn("share_pct", F.lit(100.0) * F.col("l_extendedprice") / F.col("group_total"))
@@ -152,7 +153,7 @@ def win_top5_per_month(spark, sf):
     """Aggregate first (month x supplier), then top-5 per month."""
     m = (tbl(spark, sf, "lineitem")
          .groupBy(F.month("l_shipdate").alias("ship_month"), "l_suppkey")
-         .agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue")))
+         .agg(decimal_sum("l_extendedprice").alias("revenue")))
     return top_n_per_group(m, ["ship_month"], [F.desc("revenue"), F.asc("l_suppkey")], 5)
 
 
@@ -168,6 +169,6 @@ def win_range_7d(spark, sf):
     """Calendar 7-day window (value range on the day number), gap-safe."""
     ev = tbl(spark, sf, "events").filter((F.col("event_type") == "purchase") & (F.col("value") > 20))
     d = daily_series(ev, "ts", [F.count(F.lit(1)).alias("n_events"),
-                                F.round(F.sum("value"), 2).alias("revenue")])
+                                decimal_sum("value").alias("revenue")])
     out = range_window_sum(d, "day", "revenue", days=7)
     return out.withColumn("sum7d_revenue", F.round("sum7d_revenue", 2))  # sums of cents

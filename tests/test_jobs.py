@@ -99,3 +99,13 @@ def test_silver_buckets_are_one_file_for_each_partition_value(spark, sf, tmp_pat
     years = silver["orders"].select("order_year").distinct().count()
     assert len(list((tmp_path / "silver" / "lineitem").rglob("part-*.parquet"))) <= 4
     assert len(list((tmp_path / "silver" / "orders").rglob("part-*.parquet"))) <= 4 * years
+
+
+def test_silver_buckets_grow_with_the_input(spark, sf, tmp_path, monkeypatch):
+    from tabflow.jobs import star
+
+    assert [star.buckets_for(n) for n in (0, 1 << 30, 8 << 30, (8 << 30) + 1, 100 << 40)] == [32, 32, 32, 64, 1 << 19]
+    monkeypatch.setattr(star, "input_bytes", lambda *a: 9 << 30)
+    silver = star.build_silver(spark, sf, root=str(tmp_path / "silver"))
+    assert 32 < len(list((tmp_path / "silver" / "lineitem").rglob("part-*.parquet"))) <= 64
+    assert silver["lineitem"].count() == spark.read.parquet(f"{sf}/lineitem.parquet").distinct().count()

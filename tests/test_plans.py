@@ -60,6 +60,12 @@ def test_sql_and_api_same_plan(spark, sf):
     assert same_plan(sql, api)
 
 
+def test_registered_hour_queries_have_one_plan(spark, sf):
+    from tabflow.queries.aggregations import agg_by_hour, sql_agg_by_hour
+
+    assert same_plan(sql_agg_by_hour(spark, sf), agg_by_hour(spark, sf))
+
+
 def test_top_n_uses_window_group_limit(spark, sf):
     from tabflow.operators.windows import top_n_per_group
     df = top_n_per_group(table(spark, sf, "lineitem"), ["l_suppkey"], [F.desc("l_extendedprice"),

@@ -56,21 +56,22 @@ def sketch_months(spark, sf):
     days = spark.read.parquet(path).withColumn("month", F.trunc("day", "month"))
     months = merge_sketches(days, ["month"])
     rows = orders.withColumn("month", F.trunc("day", "month"))
-    out = None
-    for merged, exact in ((months, rows), (merge_sketches(months, [F.lit(None).cast("date").alias("month")]), rows.withColumn("month", F.lit(None).cast("date")))):
-        est = sketch_values(merged).select(F.col("month").alias("m"), "o_custkey_distinct", "o_totalprice_median")
-        # one row for each month on the right
-        both = exact.join(est, exact.month.eqNullSafe(est.m)).groupBy("month", "o_custkey_distinct", "o_totalprice_median").agg(
-            F.count(F.lit(1)).alias("n_orders"), F.countDistinct("o_custkey").alias("n_customers"),
-            F.count("o_totalprice").alias("n"), F.count_if(F.col("o_totalprice") < F.col("o_totalprice_median")).alias("below"),
-            F.count_if(F.col("o_totalprice") <= F.col("o_totalprice_median")).alias("upto"))
-        slack = F.lit(3 * rank_error()) * F.col("n") + 1
-        part = both.select(
-            "month", "n_orders", "n_customers",
-            (F.abs(F.col("o_custkey_distinct") - F.col("n_customers")) <= F.lit(5 * distinct_error()) * F.col("n_customers") + 1).alias("customers_close"),
-            ((F.col("below") - slack <= F.col("n") / 2) & (F.col("upto") + slack >= F.col("n") / 2)).alias("median_close"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = ["o_custkey_distinct", "o_totalprice_median"]
+    by_month = sketch_values(months).select(F.col("month").alias("m"), *names)  # one row for each month
+    in_all = sketch_values(merge_sketches(months))  # one row, read as scalar sub-queries
+    beside = (rows.join(by_month, F.col("month").eqNullSafe(F.col("m"))),
+              orders.select(F.lit(None).cast("date").alias("month"), "o_custkey", "o_totalprice",
+                            *[in_all.select(c).scalar().alias(c) for c in names]))
+    slack = F.lit(3 * rank_error()) * F.col("n") + 1
+    far = F.abs(F.col(names[0]) - F.col("n_customers"))
+    out = [df.groupBy("month", *names).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.countDistinct("o_custkey").alias("n_customers"), F.count("o_totalprice").alias("n"),
+        F.count_if(F.col("o_totalprice") < F.col(names[1])).alias("below"), F.count_if(F.col("o_totalprice") <= F.col(names[1])).alias("upto"))
+        .select("month", "n_orders", "n_customers",
+                (far <= F.lit(5 * distinct_error()) * F.col("n_customers") + 1).alias("customers_close"),
+                ((F.col("below") - slack <= F.col("n") / 2) & (F.col("upto") + slack >= F.col("n") / 2)).alias("median_close"))
+        for df in beside]
+    return out[0].unionByName(out[1])
 
 
 @query("sample_bottom_k", "S5 S6", sql="""

@@ -20,6 +20,9 @@ SKETCHES, SKETCH_SIZE = 6, 2
 BLOCK = 512
 _SEEDS = mix(np.arange(1, SKETCHES * SKETCH_SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 PAIR_BLOCK = 1 << 18
+#: A column that may form more pairs is crowded; any other forms at most 32 pairs an entry.
+COLUMN_PAIRS = 1 << 10
+BLOCK_ELEMENTS = 1 << 18
 
 
 def shingles(data: bytes | None, k: int) -> np.ndarray:
@@ -129,14 +132,55 @@ def _columns(prefixes: DataFrame) -> DataFrame:
     return prefixes.mapInArrow(lean(entries), "h long, rid long, n long, comp long, " + ", ".join(f"{m} int" for m in more))
 
 
+def _size_blocks(n: np.ndarray) -> np.ndarray:
+    """The block of each row of a column sorted by size: at most BLOCK rows, and about
+    BLOCK_ELEMENTS elements (one row, if that alone has more)."""
+    if not len(n):
+        return np.empty(0, np.int64)
+    row, element = np.arange(len(n)) // BLOCK, (np.cumsum(n) - n) // BLOCK_ELEMENTS
+    return np.append(0, np.cumsum((np.diff(row) > 0) | (np.diff(element) > 0)))
+
+
+def _crowded(h, rid, n, comp, num: int, den: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which rows stay in the product, and the rows (h, rid, comp, side, block, first, last)
+    of the crowded columns: all of a column's nodes (side 0) and those outside its largest
+    component (side 1) in blocks by size, with the other side's blocks whose sizes allow the
+    bound. A column of one component forms no pair and goes."""
+    stays, rows = np.ones(len(h), bool), []
+    cut = starts_of(h)
+    for c in np.flatnonzero(np.diff(cut) ** 2 > 2 * COLUMN_PAIRS):
+        a, b = cut[c], cut[c + 1]
+        size = n[a:b]
+        _, which, count = np.unique(comp[a:b], return_inverse=True, return_counts=True)
+        outer = which != np.argmax(count)
+        fit = int((np.searchsorted(size, size * den // num, "right") - np.arange(1, b - a + 1)).sum())
+        if outer.any() and min(fit, int(outer.sum()) * int(b - a)) <= COLUMN_PAIRS:
+            continue
+        stays[a:b] = False
+        sides = [np.arange(a, b), a + np.flatnonzero(outer)]
+        blocks = [_size_blocks(n[at]) for at in sides]
+        cuts = [starts_of(x) for x in blocks]
+        low, high = ([n[at[x]] for at, x in zip(sides, ends)] for ends in ([x[:-1] for x in cuts], [x[1:] - 1 for x in cuts]))
+        for side, (at, block) in enumerate(zip(sides, blocks)):
+            first = np.searchsorted(high[1 - side], (low[side] * num + den - 1) // den, "left")[block]
+            last = np.searchsorted(low[1 - side], high[side] * den // num, "right")[block] - 1
+            some = first <= last
+            at = at[some]
+            rows.append(np.column_stack([h[at], rid[at], comp[at], np.full(len(at), side), block[some], first[some], last[some]]))
+    return stays, rows
+
+
+_PAIR, _ENTRY = ["x", "y", "overlap", "nx", "ny"], ["h", "rid", "comp", "side", "block", "first", "last"]
+
+
 def _product(groups, num: int, den: int):
     """The product of the block's columns with themselves: overlap counts of the pairs
     of different components whose sizes allow the bound, summed within the block. Pairs
-    that agree in a sketch are left out, as their whole sets have been compared.
+    that agree in a sketch are left out, as their whole sets have been compared. Crowded
+    columns form no pairs here: their entries come out instead, each once or twice.
 
     Columns are sorted by size, so the partners of a row end at the first that is
     too large; step d pairs every row with the one d places on, for all columns at once."""
-    names = ["x", "y", "overlap", "nx", "ny"]
     held: list[np.ndarray] = []
     waiting = 0
 
@@ -146,11 +190,21 @@ def _product(groups, num: int, den: int):
         cut = starts_of(pairs[:, 0], pairs[:, 1])
         head = pairs[cut[:-1]]
         sums = np.add.reduceat(pairs[:, 2], cut[:-1])
-        return pa.record_batch([pa.array(c) for c in (head[:, 0], head[:, 1], sums, head[:, 3], head[:, 4])], names)
+        return out(_PAIR, (head[:, 0], head[:, 1], sums, head[:, 3], head[:, 4]))
+
+    def out(names, columns):
+        of = dict(zip(names, columns))
+        return pa.record_batch([pa.array(of[c]) if c in of else pa.nulls(len(columns[0]), pa.int64()) for c in [*_PAIR, *_ENTRY]],
+                               [*_PAIR, *_ENTRY])
 
     for t in groups:
         h, rid, n, comp = (t.column(c).to_numpy() for c in ("h", "rid", "n", "comp"))
         keys = [t.column(f"k{j}").to_numpy() for j in range(SKETCHES)]
+        stays, crowded = _crowded(h, rid, n, comp, num, den)
+        if crowded:
+            yield out(_ENTRY, np.concatenate(crowded).T)
+        if not stays.all():
+            h, rid, n, comp, *keys = (c[stays] for c in (h, rid, n, comp, *keys))
         row = np.flatnonzero(h[1:] == h[:-1])
         d = 1
         while len(row):
@@ -235,10 +289,10 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048)
     return out
 
 
-def _block_pairs(groups, num: int, den: int):
+def _block_pairs(groups, keys: list[str], num: int, den: int):
     """A forest of the links between the two sides of each pair of blocks."""
     for t in groups:
-        key = [t.column(c).to_numpy() for c in ("tab", "sketch", "lo", "hi")]
+        key = [t.column(c).to_numpy() for c in keys]
         rid, comp, side = (t.column(c).to_numpy() for c in ("rid", "comp", "side"))
         s = t.column("s")
         edges = []
@@ -272,7 +326,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     and a forest of links leaves. 3. The product of the incidence matrix's prefix
     columns counts overlaps between nodes of different components that no sketch has
     brought together, block by block and then summed; a pair goes when what it can still
-    share stays below the bound its two sizes set. 4. The pairs left are checked on
+    share stays below the bound its two sizes set. A column whose pairs would be many, as
+    that of a large group of texts not quite alike, forms none: its nodes are compared by
+    whole sets as in step 2, block against block, so what is written grows with a column's
+    entries, not with their square. 4. The pairs left are checked on
     whole sets. By the prefix bound every link is between nodes of one component, of one
     sketch or of one prefix column, so none is lost; frequent n-grams come last in the
     order, so common lines form no pairs.
@@ -312,8 +369,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     outer_side = placed.where("outer").withColumn("hi", mine("b")).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("a") - 1))).withColumn("side", F.lit(1))
     columns = ["tab", "sketch", "lo", "hi", "side", "rid", "comp"]
     blocks = every_side.select(*columns).unionByName(outer_side.select(*columns)).join(sets, "rid")
-    within = written(by_key(blocks, ["tab", "sketch", "lo", "hi"], ["side", "rid"], lambda g: _block_pairs(g, num, den),
-                            "x long, y long"), "within")
+    pair = ["tab", "sketch", "lo", "hi"]
+    within = written(by_key(blocks, pair, ["side", "rid"], lambda g: _block_pairs(g, pair, num, den), "x long, y long"), "within")
     near = first.unionByName(within)
     label = components(near, "x", "y").withColumnRenamed("node", "rid")
 
@@ -321,16 +378,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     prefixes = nodes.select("rid", "n", "prefix").join(label, "rid", "left").join(groups, "rid", "left") \
         .select("rid", "n", "prefix", F.coalesce("component", "rid").alias("comp"),
                 *[F.coalesce(F.try_element_at("own", F.lit(j)), F.lit(0)).alias(f"k{j}") for j in range(SKETCHES)])
-    blockwise = by_key(_columns(prefixes), ["h"], ["n", "rid"], lambda g: _product(g, num, den),
-                   "x long, y long, overlap long, nx long, ny long")
+    product = written(by_key(_columns(prefixes), ["h"], ["n", "rid"], lambda g: _product(g, num, den),
+                             ", ".join(f"{c} long" for c in [*_PAIR, *_ENTRY])), "product")
     rest = lambda n: f"(({n} * {num} + {den - 1}) div {den} - 1)"  # noqa: E731  n less its prefix
-    pairs = blockwise.groupBy("x", "y").agg(F.sum("overlap").alias("overlap"), F.first("nx").alias("nx"), F.first("ny").alias("ny")) \
+    pairs = product.where("h is null").groupBy("x", "y").agg(F.sum("overlap").alias("overlap"), F.first("nx").alias("nx"), F.first("ny").alias("ny")) \
         .where(f"(overlap + greatest({rest('nx')}, {rest('ny')})) * {num + den} >= {num} * (nx + ny)")
     pairs = written(pairs.select("x", "y"), "candidates")
-    ids = pairs.select(F.col("x").alias("rid")).union(pairs.select("y"))
-    second = _verified(pairs, _sets(ids, nodes, rows, k), num, den)
-
-    final = components(near.unionByName(second), "x", "y")
+    crowded = product.where("h is not null").select(*_ENTRY)
+    ids = pairs.select(F.col("x").alias("rid")).union(pairs.select("y")).union(crowded.select("rid"))
+    sets = _sets(ids, nodes, rows, k)
+    second = _verified(pairs, sets, num, den)
+
+    # crowded columns: their nodes against those outside the largest component, as above
+    crowded = crowded.withColumn("other", F.explode(F.sequence("first", "last")))
+    either = lambda side: F.when(F.col("side") == side, F.col("block")).otherwise(F.col("other"))
+    blocks = crowded.select("h", either(0).alias("lo"), either(1).alias("hi"), "side", "rid", "comp").join(sets, "rid")
+    column = ["h", "lo", "hi"]
+    third = written(by_key(blocks, column, ["side", "rid"], lambda g: _block_pairs(g, column, num, den), "x long, y long"), "crowded")
+
+    final = components(near.unionByName(second).unionByName(third), "x", "y")
     own = sketched.select("doc_id", "n", "rid").join(final.withColumnRenamed("node", "rid"), "rid", "left")
     own = written(own.select("doc_id", "n", F.coalesce("component", "rid").alias("root")), "members")
     named = own.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -176,6 +176,47 @@ def test_jaccard_on_chains_of_near_copies(spark, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def variants(seed, count, changed):
+    """Texts of one base with ``changed`` words replaced at random: alike, but few of them linked."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for d in range(count):
+        text = [f"b{i}" for i in range(120 + 40 * (d % 4 == 0))]
+        for at in rng.choice(120, changed + d % 3, replace=False):
+            text[at] = f"n{rng.integers(12)}"
+        out.append((count - d, " ".join(text)))
+    return out
+
+
+def test_jaccard_rows_of_a_crowded_column_grow_with_its_entries():
+    import pyarrow as pa
+
+    def made(m):
+        size = np.sort(100 + np.arange(m) % 10)
+        column = {"h": np.zeros(m, np.int64), "rid": np.arange(m), "n": size, "comp": np.arange(m)}
+        entries = pa.table(column | {f"k{j}": np.zeros(m, np.int32) for j in range(jaccard.SKETCHES)})
+        return sum(b.num_rows for b in jaccard._product([entries], 80, 100))
+
+    assert made(2000) <= 2 * 2000 and made(4000) <= 2 * 4000
+    assert made(20) == 190
+
+
+#: Hardly any two nodes agree in such a sketch: their links come from columns.
+WIDE = {"SKETCHES": 1, "SKETCH_SIZE": 40, "_SEEDS": jaccard.mix(np.arange(1, 41, dtype=np.uint64))}
+
+
+@pytest.mark.parametrize("limits", [{}, {"COLUMN_PAIRS": 3, "BLOCK": 16, "BLOCK_ELEMENTS": 900}, {"COLUMN_PAIRS": 3, **WIDE}])
+def test_jaccard_on_a_group_of_texts_not_quite_alike(spark, monkeypatch, limits):
+    pairs = variants(8, 150, 4) + [(1000 + d, t) for d, t in variants(9, 20, 2)]
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
+    docs = spark.createDataFrame(rows(pairs), DOCS)
+    got = jaccard.near_duplicates(docs, 5, 80, 100, frequent=0).collect()
+    want = groups(pairs, 5, 80, 100)
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == want
+    assert 20 < len({c for _, _, c in want}) < len(pairs)
+
+
 def test_packing_keeps_ids_and_fills_sequences(spark, docs, empty):
     from tokenizers import Tokenizer
 

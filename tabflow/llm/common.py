@@ -7,12 +7,13 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabflow.session import shared_path
@@ -37,7 +38,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(GROUP_BYTES))
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` gave, when all that reads them has been written itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession):
+    """Within it, the shuffle files of a query go when the query ends, and not only when the
+    driver happens to collect its garbage. For work that runs no DataFrame object twice."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def parts(batches, rows: int = GROUP, size: int = GROUP_BYTES):

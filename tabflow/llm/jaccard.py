@@ -10,8 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import (bitmap, by_key, components, forest, grams, in_bitmap, lean, mix, parts, starts_of,
-                                texts, words, written)
+from tabflow.llm.common import (bitmap, brief_shuffles, by_key, components, dropped, forest, grams, in_bitmap, lean, mix,
+                                parts, starts_of, texts, words, written)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -75,6 +75,7 @@ def _frequent(docs: DataFrame, k: int, most: int) -> tuple[np.ndarray, np.ndarra
             break
         room, least = room - r["n"], r["level"]
     rows = counted.where(level >= least).toArrow()
+    dropped(counted)
     h, c = rows["h"].to_numpy().view(np.uint64), rows["c"].to_numpy()
     order = np.argsort(h)
     rank = np.empty(len(h), np.int32)
@@ -242,7 +243,9 @@ def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFr
 
     sets = in_bitmap(docs, "doc_id", marks).join(asked.select("doc_id").distinct(), "doc_id", "left_semi") \
         .select("text").mapInArrow(lean(whole), "rid long, s binary")
-    return written(sets.join(asked.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"]), "sets")
+    sets = written(sets.join(asked.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"]), "sets")
+    dropped(asked)
+    return sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -289,8 +292,36 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048)
     return out
 
 
+def _group_blocks(member: DataFrame, center: DataFrame, label: DataFrame) -> DataFrame:
+    """(tab, sketch, lo, hi, side, rid, comp): the nodes of each sketch group in pairs of
+    blocks, all on the left and those outside the component of the group's typical node on
+    the right; a node on both sides of one pair is one row (side 2).
+
+    The typical node has been compared with the whole group and is left out, and so are
+    groups whose other nodes are of one component, as all of two nodes."""
+    placed = member.join(center.select("tab", "sketch", F.col("c.rid").alias("typical")), ["tab", "sketch"]).join(label, "rid", "left") \
+        .select("tab", "sketch", "rid", "typical", F.coalesce("component", "rid").alias("comp"))
+    everyone = written(placed, "placed")
+    main = everyone.where("rid = typical").select("tab", "sketch", F.col("comp").alias("main"))
+    placed = everyone.where("rid <> typical").join(main, ["tab", "sketch"]).withColumn("outer", F.col("comp") != F.col("main"))
+    size = placed.groupBy("tab", "sketch").agg(F.count(F.lit(1)).alias("m"), F.count_if("outer").alias("o"), F.min("comp").alias("first"),
+                                               F.max("comp").alias("last")).where("o > 0 and first <> last")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    placed = placed.join(size, ["tab", "sketch"]).withColumn("a", blocks("m")).withColumn("b", blocks("o"))
+    mine = lambda c: F.pmod(F.xxhash64("rid"), F.col(c)).cast("int")
+    left = placed.withColumn("lo", mine("a")).withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("b") - 1))) \
+        .withColumn("side", F.when(F.col("outer") & (F.col("hi") == mine("b")), 2).otherwise(0))
+    right = placed.where("outer").withColumn("hi", mine("b")).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("a") - 1))) \
+        .where(F.col("lo") != mine("a")).withColumn("side", F.lit(1))
+    columns = ["tab", "sketch", "lo", "hi", "side", "rid", "comp"]
+    out = written(left.select(*columns).unionByName(right.select(*columns)), "blocks")
+    dropped(everyone)
+    return out
+
+
 def _block_pairs(groups, keys: list[str], num: int, den: int):
-    """A forest of the links between the two sides of each pair of blocks."""
+    """A forest of the links between the two sides of each pair of blocks; a row of side 2
+    is on both."""
     for t in groups:
         key = [t.column(c).to_numpy() for c in keys]
         rid, comp, side = (t.column(c).to_numpy() for c in ("rid", "comp", "side"))
@@ -299,7 +330,7 @@ def _block_pairs(groups, keys: list[str], num: int, den: int):
         cut = starts_of(*key)
         for a, b in zip(cut[:-1], cut[1:]):
             rows = np.arange(a, b)
-            left, right = rows[side[a:b] == 0], rows[side[a:b] == 1]
+            left, right = rows[side[a:b] != 1], rows[side[a:b] != 0]
             if not len(left) or not len(right):
                 continue
             sets = [[np.frombuffer(s[int(i)].as_buffer(), np.uint64) for i in part] for part in (left, right)]
@@ -337,16 +368,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     A text that is null, empty or without words has no shingles and links with nothing. A
     null doc_id has component null. Repeated rows, and rows that repeat an id, are documents
     each. Other columns are ignored; an empty table gives no rows."""
+    with brief_shuffles(docs.sparkSession):
+        return _grouped(docs, k, num, den, frequent, id_column, text)
+
+
+def _grouped(docs: DataFrame, k: int, num: int, den: int, frequent: int, id_column: str, text: str) -> DataFrame:
+    """The work of ``near_duplicates``; a written table goes when its last reader is written."""
     every = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = every.where(F.col("doc_id").isNotNull())
     sketched = written(_sketched(rows, k, num, den, _frequent(rows, k, frequent)), "sketched")
-    nodes = sketched.where("n > 0").groupBy("rid", "check", "n").agg(
-        F.min(F.struct("doc_id", "prefix", "sketches")).alias("m"))
-    nodes = written(nodes.select("rid", "n", "m.doc_id", "m.prefix", "m.sketches"), "nodes")
+    nodes = sketched.where("n > 0").groupBy("rid", "check", "n").agg(F.min(F.struct("doc_id", "sketches")).alias("m"))
+    nodes = written(nodes.select("rid", "n", "m.doc_id", "m.sketches"), "nodes")
 
     member = nodes.select("rid", "n", F.posexplode("sketches").alias("tab", "sketch"))
     shared = written(member.groupBy("tab", "sketch").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "sketches")
     member = written(member.join(shared, ["tab", "sketch"]), "members")
+    dropped(shared)
     sets = _sets(member, nodes, rows, k)
 
     # the most typical node of a group is the one whose sketches most nodes share
@@ -356,28 +393,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     first = _verified(stars.select(F.col("c.rid").alias("x"), F.col("rid").alias("y")).distinct(), sets, num, den)
     label = components(first, "x", "y").withColumnRenamed("node", "rid")
 
-    # nodes outside the component of their group's typical node against the whole group
-    placed = member.join(label, "rid", "left").select("tab", "sketch", "m", "rid", F.coalesce("component", "rid").alias("comp"))
-    placed = placed.join(center.select("tab", "sketch", F.col("c.rid").alias("rid")).join(label, "rid", "left")
-                         .select("tab", "sketch", F.coalesce("component", "rid").alias("main")), ["tab", "sketch"])
-    placed = written(placed.withColumn("outer", F.col("comp") != F.col("main")), "placed")
-    outer = placed.where("outer").groupBy("tab", "sketch").agg(F.count(F.lit(1)).alias("o"))
-    placed = placed.join(outer, ["tab", "sketch"]) \
-        .withColumn("a", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("b", F.ceil(F.col("o") / BLOCK).cast("int"))
-    mine = lambda c: F.pmod(F.xxhash64("rid"), F.col(c)).cast("int")
-    every_side = placed.withColumn("lo", mine("a")).withColumn("hi", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).withColumn("side", F.lit(0))
-    outer_side = placed.where("outer").withColumn("hi", mine("b")).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("a") - 1))).withColumn("side", F.lit(1))
-    columns = ["tab", "sketch", "lo", "hi", "side", "rid", "comp"]
-    blocks = every_side.select(*columns).unionByName(outer_side.select(*columns)).join(sets, "rid")
+    # nodes outside the component of their group's typical node against the others of the group
+    blocks = _group_blocks(member, center, label)
+    needed = in_bitmap(sets, "rid", bitmap(blocks, "rid"))
     pair = ["tab", "sketch", "lo", "hi"]
-    within = written(by_key(blocks, pair, ["side", "rid"], lambda g: _block_pairs(g, pair, num, den), "x long, y long"), "within")
+    within = written(by_key(blocks.join(needed, "rid"), pair, ["side", "rid"], lambda g: _block_pairs(g, pair, num, den), "x long, y long"), "within")
+    dropped(blocks, sets)
     near = first.unionByName(within)
     label = components(near, "x", "y").withColumnRenamed("node", "rid")
 
     groups = member.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("tab", "sketch"))).alias("own"))
-    prefixes = nodes.select("rid", "n", "prefix").join(label, "rid", "left").join(groups, "rid", "left") \
-        .select("rid", "n", "prefix", F.coalesce("component", "rid").alias("comp"),
+    attributes = nodes.join(label, "rid", "left").join(groups, "rid", "left") \
+        .select("rid", "doc_id", "n", F.coalesce("component", "rid").alias("comp"),
                 *[F.coalesce(F.try_element_at("own", F.lit(j)), F.lit(0)).alias(f"k{j}") for j in range(SKETCHES)])
+    # a prefix is shuffled here only, with its node's row; equal rows are one before it is
+    prefixes = sketched.where("n > 0").select("rid", "doc_id", "prefix").dropDuplicates(["rid", "doc_id"]).join(attributes, ["rid", "doc_id"])
     product = written(by_key(_columns(prefixes), ["h"], ["n", "rid"], lambda g: _product(g, num, den),
                              ", ".join(f"{c} long" for c in [*_PAIR, *_ENTRY])), "product")
     rest = lambda n: f"(({n} * {num} + {den - 1}) div {den} - 1)"  # noqa: E731  n less its prefix
@@ -387,6 +417,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     crowded = product.where("h is not null").select(*_ENTRY)
     ids = pairs.select(F.col("x").alias("rid")).union(pairs.select("y")).union(crowded.select("rid"))
     sets = _sets(ids, nodes, rows, k)
+    dropped(nodes, member)
     second = _verified(pairs, sets, num, den)
 
     # crowded columns: their nodes against those outside the largest component, as above
@@ -395,10 +426,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     blocks = crowded.select("h", either(0).alias("lo"), either(1).alias("hi"), "side", "rid", "comp").join(sets, "rid")
     column = ["h", "lo", "hi"]
     third = written(by_key(blocks, column, ["side", "rid"], lambda g: _block_pairs(g, column, num, den), "x long, y long"), "crowded")
+    dropped(product, pairs, sets)
 
     final = components(near.unionByName(second).unionByName(third), "x", "y")
+    dropped(first, within, second, third)
     own = sketched.select("doc_id", "n", "rid").join(final.withColumnRenamed("node", "rid"), "rid", "left")
-    own = written(own.select("doc_id", "n", F.coalesce("component", "rid").alias("root")), "members")
+    own = written(own.select("doc_id", "n", F.coalesce("component", "rid").alias("root")), "components")
+    dropped(sketched)
     named = own.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     linked = own.where("n > 0").join(named, "root").select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
     bare = own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

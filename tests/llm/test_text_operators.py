@@ -217,6 +217,53 @@ def test_jaccard_on_a_group_of_texts_not_quite_alike(spark, monkeypatch, limits)
     assert 20 < len({c for _, _, c in want}) < len(pairs)
 
 
+def test_jaccard_leaves_no_shuffle_files_and_one_result_behind(spark, docs):
+    import os
+    import time
+    from urllib.parse import urlparse
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    local = [d.toString() for d in manager.localDirs()]
+    shuffles = lambda: {f for top in local for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder = os.path.join(urlparse(spark.sparkContext.getCheckpointDir()).path, "tabflow")
+    tables = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before, held, setting = tables(), shuffles(), spark.conf.get(key, None)
+    got = jaccard.near_duplicates(docs, 4, 85, 100)
+    assert {t.rsplit("-", 1)[0] for t in tables() - before} <= {"links", "components"}
+    until = time.time() + 20  # files go a little after their query
+    while shuffles() - held and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - held
+    assert spark.conf.get(key, None) == setting
+    assert got.count() == got.count() == len(ROWS)
+
+
+def test_jaccard_blocks_hold_each_pair_that_is_not_compared_yet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    # sketch: its nodes, the typical one first, by component
+    groups_of = {1: {1: 1, 2: 2}, 2: {10: 10, 11: 10, 12: 12}, 3: {20: 20, 21: 21, 22: 22}, 4: {30: 30, 31: 31, 32: 31},
+                 5: {100 + i: 100 if i % 3 == 0 else 101 if i % 3 == 1 else 100 + i for i in range(40)}}
+    nodes = [(0, s, len(of), r, 9) for s, of in groups_of.items() for r in of]
+    member = spark.createDataFrame(nodes, "tab int, sketch int, m long, rid long, n long")
+    center = spark.createDataFrame([(0, s, (min(of), 9)) for s, of in groups_of.items()], "tab int, sketch int, c struct<rid: long, n: long>")
+    label = spark.createDataFrame([(r, c) for of in groups_of.values() for r, c in of.items()], "rid long, component long")
+    blocks = defaultdict(list)
+    for r in jaccard._group_blocks(member, center, label).collect():
+        assert r["rid"] in groups_of[r["sketch"]] and r["comp"] == groups_of[r["sketch"]][r["rid"]]
+        blocks[r["sketch"], r["lo"], r["hi"]].append((r["rid"], r["side"]))
+    met = defaultdict(set)
+    for (s, _, _), found in blocks.items():
+        assert len({r for r, _ in found}) == len(found)
+        met[s] |= {(min(x, y), max(x, y)) for x, a in found if a != 1 for y, b in found if b != 0 and x != y}
+    # two nodes, or others of one component, need no comparison; three need one of two rows
+    assert set(met) == {2, 3, 5}
+    assert met[2] == {(11, 12)} and sorted(blocks[3, 0, 0]) == [(21, 2), (22, 2)]
+    for s in (2, 3, 5):
+        of = groups_of[s]
+        assert met[s] >= {(x, y) for x in of for y in of if min(of) < x < y and of[x] != of[y]}
+
+
 def test_packing_keeps_ids_and_fills_sequences(spark, docs, empty):
     from tokenizers import Tokenizer
 

@@ -19,7 +19,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Letters of Latin-1: lower-casing and composition leave one code point each.
 _LETTER = "a-zß-öø-ÿ"
 _SAFE = re.compile("[\\t\\n\\r -~À-ÖØ-öø-ÿ]*")
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\s{_LETTER}0-9]+")
+# The tokenizer's own words but those of letters only: 's 't 're 've 'm 'll 'd, one digit, a run of other signs.
+_SIGNS = re.compile(f"[^\\s{_LETTER}](?:(?<=')(?:[stmd]|re|ve|ll)|(?<=[0-9])|[^\\s{_LETTER}0-9]*)")
 CACHE_WORDS = 300_000
 
 
@@ -34,7 +35,7 @@ class WordTokenizer:
     characters, so that a document can't write control ids into a sequence."""
 
     def __init__(self, path: str, control_as_text: bool = False):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = control_as_text
@@ -42,6 +43,10 @@ class WordTokenizer:
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
+        # the same model for words that are cut and lower-cased already, parted by spaces
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -53,7 +58,7 @@ class WordTokenizer:
             self.known.clear()
         for at in range(0, len(new), 2048):
             part = new[at:at + 2048]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(part):
                 self.known.update((w, self.whole(w)) for w in part)
@@ -64,8 +69,11 @@ class WordTokenizer:
                 begin = end
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        parts = [_PARTS.findall(t.lower()) if _SAFE.fullmatch(t) and "<|" not in t else None for t in texts]
-        new = list({w for p in parts if p for w in p} - self.known.keys())
+        parts = [_SIGNS.sub(r" \g<0> ", t.lower()).split() if _SAFE.fullmatch(t) and "<|" not in t else None for t in texts]
+        found: set[str] = set()
+        for p in parts:
+            found.update(p or ())
+        new = list(found - self.known.keys())
         if new:
             self.learn(new)
         known = self.known
@@ -74,7 +82,7 @@ class WordTokenizer:
         try:
             return [self.whole(t) if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, parts)]
         except KeyError:  # words cleared with the cache
-            self.learn(list({w for p in parts if p for w in p} - known.keys()))
+            self.learn(list(found - known.keys()))
             return [self.whole(t) if p is None else b"".join([known[w] for w in p]) for t, p in zip(texts, parts)]
 
 

@@ -287,6 +287,19 @@ def test_packing_keeps_ids_and_fills_sequences(spark, docs, empty):
     assert packing.pack(empty, vocabulary()).count() == 0
 
 
+def test_word_tokenizer_sends_cut_words_to_the_model_alone(monkeypatch):
+    """Words of Latin-1 texts need neither the normalizer nor the split of the whole tokenizer."""
+    rng = np.random.default_rng(9)
+    signs = list("  ab'st'reveml'd012,.\n\té\"'ÿ×÷ßÉA<|")
+    made = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 60, 3000)]
+    made = [t for t in made if packing._SAFE.fullmatch(t) and "<|" not in t]
+    t = packing.WordTokenizer(vocabulary())
+    want = [t.whole(x) for x in made]
+    monkeypatch.setattr(t, "whole", lambda text: pytest.fail("a whole text"))
+    assert t.words.normalizer is None and len(made) > 500
+    assert t.batch(made) == want and t.batch(made) == want
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_holds_every_constraint(rule):
     rng = np.random.default_rng(2)

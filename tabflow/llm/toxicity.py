@@ -41,6 +41,10 @@ _SPACED = re.compile(rf"(?<!\S)(?:(?:[\w{_SIGNS}] {{1,2}}){{2,}}[\w{_SIGNS}]"
 _EDGE = ".,;:?!\"'()[]{}<>-_#%&~^`/\\=*"
 _PLAIN_EDGE = "".join(c for c in _EDGE if c not in LEET)
 KNOWN_TOKENS = 50_000
+KNOWN_RESTS = 10_000
+SEEN_TOKENS = 100_000
+LONGEST_KEPT = 64  # signs of a token that is kept
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
 CHUNK = 1 << 20
 LONGEST_MASK = 24  # letters; more stars in a row are a line, not a word
 
@@ -110,15 +114,30 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return slots
 
 
-def decode(token: str, costs: list[float], cube: np.ndarray | None = None) -> str:
+def decode(token: str, costs: list[float], cube: np.ndarray | None = None, rests: dict | None = None) -> str:
     """Viterbi path through a token's lattice: least channel plus language model cost.
-    ``cube`` is the same costs by (next, last, before last) letter, for masked tokens."""
+    ``cube`` is the same costs by (next, last, before last) letter, for masked tokens.
+    ``rests`` keeps what follows two letters, as one path up to the first masked letter
+    leaves a rest that these two alone decide."""
     slots = [*lattice(token), [(" ", 0.0)]]
     square = SIZE * SIZE
     states = {(0, 0): (0.0, None)}
     for at, options in enumerate(slots):
         if options[0][0] == "*":
-            return unmask(states, slots[at:], cube_of(costs) if cube is None else cube)
+            cube = cube_of(costs) if cube is None else cube
+            if len(states) > 1:
+                return unmask(states, slots[at:], cube).strip()
+            (pair, (_, path)), = states.items()
+            rests = {} if rests is None else rests
+            key = (pair, *map(tuple, slots[at:]))
+            rest = rests.get(key)
+            if rest is None:
+                rest = unmask({pair: (0.0, None)}, slots[at:], cube)
+                if len(rests) >= KNOWN_RESTS:
+                    rests.clear()
+                if len(key) <= LONGEST_KEPT:
+                    rests[key] = rest
+            return (spelled(path) + rest).strip()
         after: dict = {}
         for (a, b), (cost, path) in states.items():
             for letters, extra in options:
@@ -181,7 +200,7 @@ def unmask(states: dict, slots: list, cube: np.ndarray) -> str:
         for c, back in zip(reversed(letters), reversed(steps[n])):
             out.append(LETTERS[y - 1] if letters == "*" else c)
             y, x = x, int(back[y - 1 if letters == "*" else 0, x])
-    return (spelled(states[x, y][1]) + "".join(reversed(out))).strip()
+    return spelled(states[x, y][1]) + "".join(reversed(out))
 
 
 class Restorer:
@@ -191,6 +210,8 @@ class Restorer:
         self.costs = costs.tolist() if isinstance(costs, np.ndarray) else costs
         self.cube = cube_of(costs)
         self.known: dict[str, list[str]] = {}
+        self.rests: dict[tuple, str] = {}
+        self.seen: dict[str, tuple[str, ...] | None] = {}  # None: one plain word
 
     def one(self, token: str) -> list[str]:
         got = self.known.get(token)
@@ -198,7 +219,7 @@ class Restorer:
             if len(self.known) >= KNOWN_TOKENS:
                 self.known.clear()
             plain = token.isalpha() and not _DISGUISED.search(token)  # one path only
-            got = self.known[token] = [token] if plain else decode(token, self.costs, self.cube).split()
+            got = self.known[token] = [token] if plain else decode(token, self.costs, self.cube, self.rests).split()
         return got
 
     def readings(self, token: str) -> set[str]:
@@ -207,13 +228,32 @@ class Restorer:
         bare = token.strip(_EDGE)
         return {token, bare, token.lstrip(_EDGE), token.rstrip(_EDGE), bare.lstrip("".join(LEET))} - {""}
 
+    def token(self, token: str) -> tuple[str, ...]:
+        """The words of what stands between spaces, and of its readings if it is disguised."""
+        found = set(_WORD.findall(token))
+        if _DISGUISED.search(token):
+            for reading in self.readings(token):
+                found.update(self.one(reading))
+        return tuple(found)
+
     def words(self, text: str | None) -> set[str]:
         if not text:
             return set()
         low = text.lower()
-        found = set(_WORD.findall(low))
-        for token in {r for t in set(low.split()) if _DISGUISED.search(t) for r in self.readings(t)}:
-            found.update(self.one(token))
+        found, seen = set(), self.seen
+        for token in set(low.split()):
+            if token in seen:
+                got = seen[token]
+            else:
+                got = None if token.isalpha() and not _TRIPLE.search(token) else self.token(token)
+                if len(seen) >= SEEN_TOKENS:
+                    seen.clear()
+                if len(token) <= LONGEST_KEPT:
+                    seen[token] = got
+            if got is None:
+                found.add(token)
+            else:
+                found.update(got)
         for m in _SPACED.finditer(low):
             spaced = " ".join(m.group().split())
             found.update(self.one(spaced))

@@ -420,6 +420,27 @@ def test_decoder_restores_sign_runs_masks_outer_signs_and_spaced_signs():
         assert r.words(text) is not None
 
 
+def test_masked_rests_and_seen_tokens_are_worked_out_once(monkeypatch):
+    words = "the idiot stupid loser said worthless things about a stupid clown and went home with a book".split()
+    raw = np.frombuffer(("\n\n" + " ".join(words * 50) + "\n\n").encode("latin-1"), np.uint8)
+    c = toxicity._TABLE[raw]
+    counts = np.bincount((c[:-2] * toxicity.SIZE + c[1:-1]) * toxicity.SIZE + c[2:], minlength=toxicity.SIZE ** 3)
+    costs = toxicity.char_costs(counts)
+    texts = ["clown*** the", "crown*** the", "the frown***", "stu*id id1ot", "4_ ___ l0*er", "x" * 70 + "*", "the loooser"]
+    alone = [toxicity.Restorer(costs).words(t) for t in texts]
+    calls = []
+    real = toxicity.unmask
+    monkeypatch.setattr(toxicity, "unmask", lambda *a: calls.append(a) or real(*a))
+    r = toxicity.Restorer(costs)
+    assert [r.words(t) for t in texts[:3]] == alone[:3]
+    assert len(calls) == 1  # one rest after the letters wn
+    assert [r.words(t) for t in texts] == alone and [r.words(t) for t in texts] == alone
+    assert "stupid" in alone[3] and "the" in alone[0] and alone[4] and max(map(len, r.seen)) <= toxicity.LONGEST_KEPT
+    many = " ".join(f"q{i}" for i in range(300))
+    monkeypatch.setattr(toxicity, "SEEN_TOKENS", 100)
+    assert r.words(many) == toxicity.Restorer(costs).words(many) and len(r.seen) <= 100
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark, empty):
     rng = np.random.default_rng(8)
     vocab = [f"{a}{b}" for a in "bcdfg" for b in ("ar", "el", "on", "un")]
